@@ -9,7 +9,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larkspur.operators.prepare import (
-    ASSEMBLED, FEATURES, ID, LABEL, feature_columns, feature_stages, prepare,
+    ASSEMBLED, FEATURES, ID, LABEL, feature_columns, feature_stages, prepare, stage_vectors,
 )
 
 # Penalty names and the share of L1 in each.
@@ -43,32 +43,40 @@ def spread(df: DataFrame) -> DataFrame:
 
 def fit_logistic(df: DataFrame, features: Sequence[str] | None = None, label: str = LABEL,
                  max_iter: int = 10, penalty: str | None = None, reg_param: float = 0.0,
-                 elastic_net_param: float | None = None, tol: float = 1e-6) -> PipelineModel:
+                 elastic_net_param: float | None = None, tol: float = 1e-6,
+                 stage_path: str | None = None) -> PipelineModel:
     """Assemble, scale and fit a binary or multinomial logistic regression.
 
     ``df`` holds prepared rows.  The fitted scaling is part of the model, so
     new rows are scaled as the training rows were, not by their own spread.
+    With ``stage_path`` the assembled rows are written there once and the
+    passes of the fit read that table.
     """
     mix = penalty_mix(penalty, reg_param) if elastic_net_param is None else elastic_net_param
     estimator = LogisticRegression(featuresCol=FEATURES, labelCol=label, maxIter=int(max_iter),
                                    regParam=reg_param, elasticNetParam=mix, tol=tol)
-    return _fit(df, features, label, estimator)
+    return _fit(df, features, label, estimator, stage_path)
 
 
 def fit_forest(df: DataFrame, features: Sequence[str] | None = None, label: str = LABEL,
-               num_trees: int = 20, max_depth: int = 5, seed: int = 0,
-               bootstrap: bool = True, feature_subset: str = "auto") -> PipelineModel:
+               num_trees: int = 20, max_depth: int = 5, seed: int = 0, bootstrap: bool = True,
+               feature_subset: str = "auto", stage_path: str | None = None) -> PipelineModel:
     """Assemble, scale and fit a random forest; one seed, one forest."""
     estimator = RandomForestClassifier(featuresCol=FEATURES, labelCol=label, numTrees=num_trees,
                                        maxDepth=max_depth, seed=seed, bootstrap=bootstrap,
                                        featureSubsetStrategy=feature_subset)
-    return _fit(df, features, label, estimator)
+    return _fit(df, features, label, estimator, stage_path)
 
 
-def _fit(df, features, label, estimator) -> PipelineModel:
+def _fit(df, features, label, estimator, stage_path) -> PipelineModel:
     columns = list(features or feature_columns(df.columns, label_col=label))
-    rows = df.select(label, *columns)
-    return Pipeline(stages=[*feature_stages(columns), estimator]).fit(rows)
+    assembler, scaler = feature_stages(columns)
+    rows = assembler.transform(df.select(label, *columns)).select(label, ASSEMBLED)
+    if stage_path is not None:
+        rows = stage_vectors(rows, stage_path, ASSEMBLED)
+    scaling = scaler.fit(rows)
+    fitted = estimator.fit(scaling.transform(rows))
+    return PipelineModel(stages=[assembler, scaling, fitted])
 
 
 def fit_vectors(df: DataFrame, estimator) -> PipelineModel:
@@ -122,13 +130,13 @@ def coefficients(spark: SparkSession, model: PipelineModel) -> DataFrame:
 
 
 def select_features(df: DataFrame, features: Sequence[str] | None = None, label: str = LABEL,
-                    max_iter: int = 10, reg_param: float = 0.1,
-                    elastic_net_param: float = 1.0) -> DataFrame:
+                    max_iter: int = 10, reg_param: float = 0.1, elastic_net_param: float = 1.0,
+                    stage_path: str | None = None) -> DataFrame:
     """Features that keep a non-zero coefficient under an L1 penalty."""
     if int(max_iter) != max_iter:
         raise ValueError("max_iter must be a whole number")
     model = fit_logistic(df, features, label, int(max_iter), reg_param=reg_param,
-                         elastic_net_param=elastic_net_param)
+                         elastic_net_param=elastic_net_param, stage_path=stage_path)
     return coefficients(df.sparkSession, model).filter("coefficient <> 0")
 
 
@@ -138,9 +146,3 @@ def training_history(spark: SparkSession, model: PipelineModel) -> DataFrame:
     return spark.createDataFrame([(i, float(v)) for i, v in enumerate(history)],
                                  "iteration INT, objective DOUBLE")
 
-
-__all__ = [
-    "ASSEMBLED", "PENALTIES", "coefficients", "evaluate_rows", "fit_forest", "fit_logistic",
-    "fit_vectors", "input_features", "penalty_mix", "project_predictions", "score",
-    "select_features", "spread", "training_history",
-]

@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from larkspur.functions.cleaning import missing_to_null, to_float, to_id
 
@@ -22,11 +23,17 @@ def feature_columns(columns: Sequence[str], id_col: str = ID, label_col: str = L
 def type_columns(df: DataFrame, id_col: str = ID, columns: Sequence[str] | None = None) -> DataFrame:
     """``id`` as int, the rest as 32-bit floats; unreadable values become NULL."""
     chosen = [c for c in (columns or df.columns) if c != id_col]
-    id_is_text = isinstance(df.schema[id_col].dataType, T.StringType)
-    return df.select(
-        to_id(F.col(id_col), id_is_text).alias(id_col),
-        *(to_float(F.col(c)).alias(c) for c in chosen),
-    )
+    return df.select(_id_cell(df, id_col).alias(id_col), *_float_cells(df, chosen))
+
+
+def _id_cell(df: DataFrame, id_col: str) -> Column:
+    return to_id(F.col(id_col), isinstance(df.schema[id_col].dataType, T.StringType))
+
+
+def _float_cells(df: DataFrame, columns: Sequence[str]) -> list:
+    """Float columns as they are, by name; others cast."""
+    types = {f.name: f.dataType for f in df.schema}
+    return [c if isinstance(types[c], T.FloatType) else to_float(F.col(c)).alias(c) for c in columns]
 
 
 def blank_missing(df: DataFrame) -> DataFrame:
@@ -36,7 +43,10 @@ def blank_missing(df: DataFrame) -> DataFrame:
 
 def drop_missing(df: DataFrame) -> DataFrame:
     """Only the rows that have a value in every column."""
-    return blank_missing(df).na.drop("any")
+    texts = {f.name: missing_to_null(F.col(f.name), f.dataType)
+             for f in df.schema if not isinstance(f.dataType, T.NumericType)}
+    # ``na.drop`` itself treats NaN as missing, so numbers need no rewriting.
+    return (df.withColumns(texts) if texts else df).na.drop("any")
 
 
 def prepare(df: DataFrame, id_col: str = ID, columns: Sequence[str] | None = None) -> DataFrame:
@@ -52,23 +62,30 @@ def split_rejects(df: DataFrame, id_col: str = ID,
                   columns: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Clean typed rows, and the raw rows that :func:`prepare` would drop."""
     chosen = [c for c in (columns or df.columns) if c != id_col]
-    id_is_text = isinstance(df.schema[id_col].dataType, T.StringType)
-    cells = [missing_to_null(to_id(F.col(id_col), id_is_text), T.IntegerType())]
-    cells += [missing_to_null(to_float(F.col(c)), T.FloatType()) for c in chosen]
-    incomplete = F.array_contains(F.array(*(cell.isNull() for cell in cells)), True)
-    return prepare(df, id_col, columns), df.filter(incomplete)
+    unreadable = F.exists(F.array(*_float_cells(df, chosen)), lambda v: v.isNull() | F.isnan(v))
+    return prepare(df, id_col, columns), df.filter(_id_cell(df, id_col).isNull() | unreadable)
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
-    """Write prepared rows once as Parquet and read them back.
+    """Write rows once as Parquet and read them back.
 
-    Fitting passes over its input several times.  A written table spares
-    re-parsing text on each pass and, unlike a cache, outlives lost executors.
+    A written table spares later passes the work that made it and, unlike a
+    cache, outlives lost executors.
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_vectors(df: DataFrame, path: str, column: str) -> DataFrame:
+    """:func:`stage` for prepared rows whose features stand in one vector.
+
+    Prepared values are 32-bit floats, so the vector is kept as a float array:
+    half the bytes of a vector, and one column to decode instead of thousands.
+    """
+    packed = df.withColumn(column, vector_to_array(column, "float32"))
+    return stage(packed, path).withColumn(column, array_to_vector(F.col(column).cast("array<double>")))
+
+
 def feature_stages(columns: Sequence[str], out: str = FEATURES) -> list:
     """Assemble ``columns`` into a vector and divide by the sample deviation.
 

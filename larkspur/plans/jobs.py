@@ -13,11 +13,11 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from larkspur.operators import classify, evaluate, linear, sgd
-from larkspur.operators.prepare import ID, prepare, split_rejects, stage
+from larkspur.operators.prepare import ID, prepare, split_rejects
 from larkspur.sources.arrays import read_arrays, write_arrays
 from larkspur.sources.models import load_model, save_model, write_predictions
 from larkspur.sources.shared import work_path
-from larkspur.sources.tables import read_csv
+from larkspur.sources.tables import read_csv, read_feature_csv
 
 # Names and settings used when a job is given none.
 DEFAULT_MODEL = "model"
@@ -31,19 +31,19 @@ def penalty_from_flags(ridge: bool, lasso: bool) -> str | None:
 
 def train(spark: SparkSession, train_path: str, model_path: str = DEFAULT_MODEL,
           algorithm: str = "logistic", ridge: bool = False, lasso: bool = False,
-          staged: bool = True, schema=None, **settings) -> PipelineModel:
+          staged: bool = True, **settings) -> PipelineModel:
     """Read, prepare, fit and save.
 
-    With ``staged`` the prepared rows are written once to the shared folder,
-    so the passes of a fit read typed Parquet instead of parsing text again.
+    With ``staged`` the assembled rows are written once to the shared folder,
+    so the passes of a fit read vectors instead of parsing text again.
     """
     if algorithm not in ("logistic", "forest"):
         raise ValueError(f"algorithm must be 'logistic' or 'forest', not {algorithm!r}")
     if algorithm == "forest" and (ridge or lasso):
         raise ValueError("a forest has no ridge or lasso penalty")
-    rows = classify.spread(prepare(read_csv(spark, train_path, schema)))
+    rows = classify.spread(prepare(read_feature_csv(spark, train_path)))
     if staged:
-        rows = stage(rows, work_path(spark, "prepared"))
+        settings["stage_path"] = work_path(spark, "prepared")
     if algorithm == "logistic":
         model = classify.fit_logistic(rows, penalty=penalty_from_flags(ridge, lasso), **settings)
     else:
@@ -53,18 +53,17 @@ def train(spark: SparkSession, train_path: str, model_path: str = DEFAULT_MODEL,
 
 
 def predict(spark: SparkSession, predict_path: str, model_path: str = DEFAULT_MODEL,
-            output_path: str = DEFAULT_OUTPUT, rejects_path: str | None = None, schema=None) -> None:
+            output_path: str = DEFAULT_OUTPUT, rejects_path: str | None = None) -> None:
     """Score a table with a saved model and write ``id,prediction`` CSV files.
 
     Rows whose id or features cannot be read get no prediction; they are
-    written to ``rejects_path`` when one is named.
+    written to ``rejects_path``, as the text they were, when one is named.
     """
     model = load_model(model_path)
-    raw = read_csv(spark, predict_path, schema)
-    write_predictions(classify.score(model, raw), output_path)
+    write_predictions(classify.score(model, read_feature_csv(spark, predict_path)), output_path)
     if rejects_path is not None:
-        _, rejects = split_rejects(raw, ID, classify.input_features(model))
-        write_predictions(rejects, rejects_path)
+        raw = read_csv(spark, predict_path)
+        write_predictions(split_rejects(raw, ID, classify.input_features(model))[1], rejects_path)
 
 
 def run(spark: SparkSession, train_path: str | None = None, predict_path: str | None = None,
@@ -80,9 +79,10 @@ def run(spark: SparkSession, train_path: str | None = None, predict_path: str |
 def select_features(spark: SparkSession, path: str, max_iter: int = 10, reg_param: float = 0.1,
                     elastic_net_param: float = 1.0) -> DataFrame:
     """Features of a table that survive an L1 penalty, with their weights."""
-    rows = stage(classify.spread(prepare(read_csv(spark, path))), work_path(spark, "prepared"))
+    rows = classify.spread(prepare(read_feature_csv(spark, path)))
     return classify.select_features(rows, max_iter=max_iter, reg_param=reg_param,
-                                    elastic_net_param=elastic_net_param)
+                                    elastic_net_param=elastic_net_param,
+                                    stage_path=work_path(spark, "prepared"))
 
 
 def train_arrays(spark: SparkSession, path: str, model_path: str, key: str = "id",
