@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from larkspur.operators.prepare import (
     ASSEMBLED, FEATURES, ID, LABEL, feature_columns, feature_stages, prepare, stage_vectors,
 )
+from larkspur.sources.shared import work_path
 
 # Penalty names and the share of L1 in each.
 PENALTIES = {"ridge": 0.0, "lasso": 1.0}
@@ -44,36 +45,37 @@ def spread(df: DataFrame) -> DataFrame:
 def fit_logistic(df: DataFrame, features: Sequence[str] | None = None, label: str = LABEL,
                  max_iter: int = 10, penalty: str | None = None, reg_param: float = 0.0,
                  elastic_net_param: float | None = None, tol: float = 1e-6,
-                 stage_path: str | None = None) -> PipelineModel:
+                 staged: bool = True) -> PipelineModel:
     """Assemble, scale and fit a binary or multinomial logistic regression.
 
     ``df`` holds prepared rows.  The fitted scaling is part of the model, so
     new rows are scaled as the training rows were, not by their own spread.
-    With ``stage_path`` the assembled rows are written there once and the
-    passes of the fit read that table.
+    With ``staged`` the assembled rows are written once to the shared folder
+    and every pass of the fit reads that table.
     """
     mix = penalty_mix(penalty, reg_param) if elastic_net_param is None else elastic_net_param
     estimator = LogisticRegression(featuresCol=FEATURES, labelCol=label, maxIter=int(max_iter),
                                    regParam=reg_param, elasticNetParam=mix, tol=tol)
-    return _fit(df, features, label, estimator, stage_path)
+    return _fit(df, features, label, estimator, staged)
 
 
 def fit_forest(df: DataFrame, features: Sequence[str] | None = None, label: str = LABEL,
                num_trees: int = 20, max_depth: int = 5, seed: int = 0, bootstrap: bool = True,
-               feature_subset: str = "auto", stage_path: str | None = None) -> PipelineModel:
+               feature_subset: str = "auto", staged: bool = True) -> PipelineModel:
     """Assemble, scale and fit a random forest; one seed, one forest."""
     estimator = RandomForestClassifier(featuresCol=FEATURES, labelCol=label, numTrees=num_trees,
                                        maxDepth=max_depth, seed=seed, bootstrap=bootstrap,
                                        featureSubsetStrategy=feature_subset)
-    return _fit(df, features, label, estimator, stage_path)
+    return _fit(df, features, label, estimator, staged)
 
 
-def _fit(df, features, label, estimator, stage_path) -> PipelineModel:
+def _fit(df, features, label, estimator, staged) -> PipelineModel:
     columns = list(features or feature_columns(df.columns, label_col=label))
     assembler, scaler = feature_stages(columns)
     rows = assembler.transform(df.select(label, *columns)).select(label, ASSEMBLED)
-    if stage_path is not None:
-        rows = stage_vectors(rows, stage_path, ASSEMBLED)
+    if staged:
+        single = all(isinstance(df.schema[c].dataType, T.FloatType) for c in columns)
+        rows = stage_vectors(rows, work_path(df.sparkSession, "assembled"), ASSEMBLED, single)
     scaling = scaler.fit(rows)
     fitted = estimator.fit(scaling.transform(rows))
     return PipelineModel(stages=[assembler, scaling, fitted])
@@ -131,12 +133,12 @@ def coefficients(spark: SparkSession, model: PipelineModel) -> DataFrame:
 
 def select_features(df: DataFrame, features: Sequence[str] | None = None, label: str = LABEL,
                     max_iter: int = 10, reg_param: float = 0.1, elastic_net_param: float = 1.0,
-                    stage_path: str | None = None) -> DataFrame:
+                    staged: bool = True) -> DataFrame:
     """Features that keep a non-zero coefficient under an L1 penalty."""
     if int(max_iter) != max_iter:
         raise ValueError("max_iter must be a whole number")
     model = fit_logistic(df, features, label, int(max_iter), reg_param=reg_param,
-                         elastic_net_param=elastic_net_param, stage_path=stage_path)
+                         elastic_net_param=elastic_net_param, staged=staged)
     return coefficients(df.sparkSession, model).filter("coefficient <> 0")
 
 

@@ -73,16 +73,22 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     cache, outlives lost executors.
     """
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    reader = df.sparkSession.read.schema(df.schema)
+    staged = reader.parquet(path)
+    # A local disk lists files in no fixed order, and seeded sampling depends
+    # on it; shared stores list by name, so long lists need no help.
+    files = staged.inputFiles()
+    return reader.parquet(*sorted(files)) if 0 < len(files) <= 1000 else staged
 
 
-def stage_vectors(df: DataFrame, path: str, column: str) -> DataFrame:
-    """:func:`stage` for prepared rows whose features stand in one vector.
+def stage_vectors(df: DataFrame, path: str, column: str, single: bool = True) -> DataFrame:
+    """:func:`stage` for rows whose features stand in one vector column.
 
-    Prepared values are 32-bit floats, so the vector is kept as a float array:
-    half the bytes of a vector, and one column to decode instead of thousands.
+    Prepared values are 32-bit floats, so with ``single`` the vector is kept
+    as a float array: half the bytes of a vector, and one column to decode
+    instead of thousands.
     """
-    packed = df.withColumn(column, vector_to_array(column, "float32"))
+    packed = df.withColumn(column, vector_to_array(column, "float32" if single else "float64"))
     return stage(packed, path).withColumn(column, array_to_vector(F.col(column).cast("array<double>")))
 
 

@@ -16,7 +16,6 @@ from larkspur.operators import classify, evaluate, linear, sgd
 from larkspur.operators.prepare import ID, prepare, split_rejects
 from larkspur.sources.arrays import read_arrays, write_arrays
 from larkspur.sources.models import load_model, save_model, write_predictions
-from larkspur.sources.shared import work_path
 from larkspur.sources.tables import read_csv, read_feature_csv
 
 # Names and settings used when a job is given none.
@@ -31,19 +30,13 @@ def penalty_from_flags(ridge: bool, lasso: bool) -> str | None:
 
 def train(spark: SparkSession, train_path: str, model_path: str = DEFAULT_MODEL,
           algorithm: str = "logistic", ridge: bool = False, lasso: bool = False,
-          staged: bool = True, **settings) -> PipelineModel:
-    """Read, prepare, fit and save.
-
-    With ``staged`` the assembled rows are written once to the shared folder,
-    so the passes of a fit read vectors instead of parsing text again.
-    """
+          **settings) -> PipelineModel:
+    """Read, prepare, fit and save; ``settings`` go to the fit."""
     if algorithm not in ("logistic", "forest"):
         raise ValueError(f"algorithm must be 'logistic' or 'forest', not {algorithm!r}")
     if algorithm == "forest" and (ridge or lasso):
         raise ValueError("a forest has no ridge or lasso penalty")
     rows = classify.spread(prepare(read_feature_csv(spark, train_path)))
-    if staged:
-        settings["stage_path"] = work_path(spark, "prepared")
     if algorithm == "logistic":
         model = classify.fit_logistic(rows, penalty=penalty_from_flags(ridge, lasso), **settings)
     else:
@@ -81,8 +74,7 @@ def select_features(spark: SparkSession, path: str, max_iter: int = 10, reg_para
     """Features of a table that survive an L1 penalty, with their weights."""
     rows = classify.spread(prepare(read_feature_csv(spark, path)))
     return classify.select_features(rows, max_iter=max_iter, reg_param=reg_param,
-                                    elastic_net_param=elastic_net_param,
-                                    stage_path=work_path(spark, "prepared"))
+                                    elastic_net_param=elastic_net_param)
 
 
 def train_arrays(spark: SparkSession, path: str, model_path: str, key: str = "id",
