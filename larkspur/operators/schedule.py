@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 # The schedule's customary settings.
 PLATEAU = {"factor": 0.1, "threshold": 1e-4, "smallest_change": 1e-8}
 
 
 def plateau_tracker(patience: int = 2, factor: float = PLATEAU["factor"],
-                    threshold: float = PLATEAU["threshold"], min_lr: float = 0.0):
+                    threshold: float = PLATEAU["threshold"]):
     """A function ``(state, loss) -> state`` over ``(lr, best, bad_epochs)``.
 
     An epoch is bad unless its loss beats the best one by the relative
@@ -26,46 +26,105 @@ def plateau_tracker(patience: int = 2, factor: float = PLATEAU["factor"],
             return lr, loss, 0
         if bad < patience:
             return lr, best, bad + 1
-        lower = max(lr * factor, min_lr)
+        lower = lr * factor
         return (lower if lr - lower > smallest_change else lr), best, 0
 
     return advance
 
 
 def plateau_rates(history: DataFrame, lr: float = 0.02, patience: int = 2,
-                  factor: float = PLATEAU["factor"], threshold: float = PLATEAU["threshold"]) -> DataFrame:
+                  factor: float = PLATEAU["factor"], threshold: float = PLATEAU["threshold"],
+                  part_epochs: int = 1_000_000) -> DataFrame:
     """Rate in force after each epoch, for many runs at once.
 
-    ``history`` is ``(run_id BIGINT, epoch BIGINT, loss DOUBLE)`` with epochs
-    in any increasing numbering.  Each run is a chain, so its epochs are read
-    in order; they are sorted by the shuffle, which spills, and then streamed
-    batch by batch with one small state.  No run is gathered in memory.
+    ``history`` is ``(run_id BIGINT, epoch BIGINT, loss DOUBLE)``, with unique
+    epochs in any increasing numbering and losses that are not negative.
+
+    A run is a chain: each epoch's state follows from the last.  To keep one
+    long run from filling one task, runs are cut into parts of ``part_epochs``
+    epoch numbers.  A first pass finds the state at the start of each part;
+    then all parts are walked side by side, streamed from a sorted shuffle.
     """
+    rows = history.select(
+        F.col("run_id").cast("bigint"), F.col("epoch").cast("bigint"), F.col("loss").cast("double"),
+        F.expr(f"cast(epoch AS BIGINT) div {int(part_epochs)}").alias("part"))
+    start = _part_starts(rows, lr, patience, factor, threshold)
     advance = plateau_tracker(patience, factor, threshold)
-    start = (lr, float("inf"), 0)
 
     def walk(frames):
-        run, state = None, start
+        at, state = None, None
         for frame in frames:
-            rates, bests, bads = [], [], []
-            for run_id, loss in zip(frame["run_id"].to_numpy(), frame["loss"].to_numpy()):
-                if run_id != run:
-                    run, state = run_id, start
+            out = []
+            columns = (frame[c].to_numpy() for c in ("run_id", "part", "loss", "lr", "best_loss", "bad_epochs"))
+            for run, part, loss, *begin in zip(*columns):
+                if loss < 0:
+                    raise ValueError("a plateau is defined for losses that are not negative")
+                if (run, part) != at:
+                    at, state = (run, part), begin
                 state = advance(state, loss)
-                rates.append(state[0])
-                bests.append(state[1])
-                bads.append(state[2])
+                out.append(state)
+            rates, bests, bads = zip(*out) if out else ((), (), ())
             yield pd.DataFrame({"run_id": frame["run_id"], "epoch": frame["epoch"], "lr": rates,
                                 "best_loss": bests, "bad_epochs": bads})
 
-    ordered = (
-        history.select(F.col("run_id").cast("bigint"), F.col("epoch").cast("bigint"), F.col("loss").cast("double"))
-        .repartition("run_id").sortWithinPartitions("run_id", "epoch")
-    )
+    ordered = (rows.join(start, ["run_id", "part"])
+               .repartition("run_id", "part").sortWithinPartitions("run_id", "part", "epoch"))
     return ordered.mapInPandas(
         walk, "run_id BIGINT, epoch BIGINT, lr DOUBLE, best_loss DOUBLE, bad_epochs INT")
 
 
+def _part_starts(rows: DataFrame, lr: float, patience: int, factor: float, threshold: float) -> DataFrame:
+    """``(run_id, part, lr, best_loss, bad_epochs)`` before each part's first epoch.
+
+    Only an epoch whose loss is below all earlier ones can be an improvement:
+    an earlier loss that was passed over was no better than the threshold
+    allowed, and the threshold only falls.  Those epochs, found in parallel,
+    are all that has to be read in order.  Everything between two
+    improvements is a count of bad epochs, hence a number of reductions.
+    """
+    earlier = Window.partitionBy("run_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        rows.groupBy("run_id", "part").agg(F.count(F.lit(1)).alias("n"), F.min("loss").alias("least"))
+        .select("run_id", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("place"),
+                F.min("least").over(earlier).alias("low")))
+    in_part = Window.partitionBy("run_id", "part").orderBy("epoch")
+    low_in_part = F.min("loss").over(in_part.rowsBetween(Window.unboundedPreceding, -1))
+    lowest = (
+        rows.join(parts, ["run_id", "part"])
+        .select("run_id", (F.col("place") + F.row_number().over(in_part)).alias("place"), "loss",
+                F.least("low", low_in_part).alias("low"))
+        .filter(F.col("low").isNull() | (F.col("loss") < F.col("low")))
+        .select("run_id", "place", "loss", F.lit(None).cast("bigint").alias("part")))
+    marks = parts.select("run_id", "place", F.lit(None).cast("double").alias("loss"), "part")
+    # A part's mark carries the number of epochs before it, so it sorts behind the last of them.
+    chain = (lowest.unionByName(marks).repartition("run_id").sortWithinPartitions("run_id", "place", "part"))
+    smallest_change, rates = PLATEAU["smallest_change"], [lr]
+    while rates[-1] - rates[-1] * factor > smallest_change:
+        rates.append(rates[-1] * factor)
+    per_cut = patience + 1
+
+    def walk(frames):
+        run, best, since, cuts = None, float("inf"), 0, 0
+        for frame in frames:
+            out = []
+            columns = (frame[c].to_numpy() for c in ("run_id", "place", "loss", "part"))
+            for run_id, place, loss, part in zip(*columns):
+                if run_id != run:
+                    run, best, since, cuts = run_id, float("inf"), 0, 0
+                if part != part:  # no part: one of the lowest losses
+                    if loss < best * (1.0 - threshold):
+                        cuts += (place - since - 1) // per_cut
+                        best, since = loss, place
+                else:
+                    reached = cuts + (place - since) // per_cut
+                    out.append((run_id, int(part), rates[int(min(reached, len(rates) - 1))], best,
+                                int((place - since) % per_cut)))
+            yield pd.DataFrame(out, columns=["run_id", "part", "lr", "best_loss", "bad_epochs"])
+
+    return chain.mapInPandas(
+        walk, "run_id BIGINT, part BIGINT, lr DOUBLE, best_loss DOUBLE, bad_epochs INT")
+
+
 def stop_epochs(history: DataFrame, target: float = 0.8) -> DataFrame:
     """First epoch of each run whose accuracy reaches the target."""
     return (history.filter(F.col("accuracy") >= target)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 def read_files(spark: SparkSession, path: str, name_pattern: str | None = None) -> DataFrame:
     """Files as ``(path, modificationTime, length, content)`` rows.
 
-    File bytes are only read when ``content`` is selected.
+    File bytes are only read when ``content`` is selected.  Spark plans no
+    scan for a file of zero bytes, so such a file gives no row.
     """
     reader = spark.read.format("binaryFile")
     if name_pattern is not None:

@@ -83,7 +83,7 @@ def test_copy_is_exactly_once_over_restarts(spark, tmp_path):
 
 
 def test_binary_objects_round_trip(spark, tmp_path):
-    contents = {"a.bin": bytes(range(256)) * 10, "b.bin": b"", "c.bin": b"\r\n\x00"}
+    contents = {"a.bin": bytes(range(256)) * 10, "b.bin": b"\x00", "c.bin": b"\r\n\x00"}
     for name, content in contents.items():
         (tmp_path / name).write_bytes(content)
     scanned = objects.read_files(spark, f"file://{tmp_path}", "*.bin")

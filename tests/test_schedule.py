@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from larkspur.operators import schedule
@@ -34,7 +35,7 @@ def check(spark, runs, **options):
     for run, losses in runs.items():
         want = by_hand(losses)
         assert [g[2] for g in got[run]] == [w[2] for w in want]
-        assert np.allclose([g[:2] for g in got[run]], [w[:2] for w in want], rtol=1e-12, atol=0)
+        assert np.allclose([g[:2] for g in got[run]], [w[:2] for w in want], rtol=1e-12, atol=0, equal_nan=True)
 
 
 def test_rate_falls_after_patience_runs_out(spark):
@@ -42,20 +43,28 @@ def test_rate_falls_after_patience_runs_out(spark):
     assert [round(g[0], 6) for g in got] == [0.02, 0.02, 0.02, 0.002, 0.002]
 
 
-def test_many_runs_of_many_shapes(spark):
+@pytest.mark.parametrize("part_epochs", [1, 7, 500, 1_000_000])
+def test_many_runs_of_many_shapes(spark, part_epochs):
     rng = np.random.default_rng(2)
     runs = {r: rng.exponential(size=rng.integers(1, 400)) for r in range(30)}
     runs[100] = np.linspace(1, 0.1, 3000)           # improves at each epoch
     runs[101] = np.full(3000, 1.0)                  # never improves
     runs[102] = 1 - np.arange(3000) * 3e-5          # improves by less than the threshold per epoch
     runs[103] = np.concatenate([np.full(50, 1.0), np.full(50, 0.5), np.full(50, 0.6)])
-    check(spark, runs)
+    check(spark, runs, part_epochs=part_epochs)
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(losses=st.lists(st.sampled_from([1.0, 0.99995, 0.9999, 0.9998, 0.5, 0.2, 2.0]), min_size=1, max_size=60))
 def test_any_history(spark, losses):
-    check(spark, {7: losses})
+    check(spark, {7: losses}, part_epochs=3)
+
+
+def test_odd_losses(spark):
+    inf, nan = float("inf"), float("nan")
+    check(spark, {1: [nan, inf, nan, 3.0, nan, 2.0, nan, nan, nan, 0.0, 0.0, 0.0, 0.0]}, part_epochs=2)
+    with pytest.raises(Exception, match="not negative"):
+        rates(spark, {1: [1.0, -1.0]})
 
 
 def test_stop_epoch(spark):
