@@ -45,9 +45,10 @@ def ordered_positions(df: DataFrame, key: str, buckets: int = 1024) -> DataFrame
     inner = sorted(set(as_number.approxQuantile(ORDER, shares, 0.5 / buckets)))
     edges = [float("-inf"), *inner, float("inf")]
     if len(edges) < 3:
-        tagged = as_number.withColumn(BUCKET, F.lit(0.0))
+        tagged = as_number.withColumn(BUCKET, F.lit(0))
     else:
         tagged = Bucketizer(splits=edges, inputCol=ORDER, outputCol=BUCKET).transform(as_number)
+        tagged = tagged.withColumn(BUCKET, F.col(BUCKET).cast("int"))
     return _number(tagged.drop(ORDER), key)
 
 
@@ -79,7 +80,7 @@ def shard(positions: DataFrame, world: int) -> DataFrame:
     if world < 1:
         raise ValueError("world must be at least 1")
     n = F.col(TOTAL)
-    padded = F.ceil(n / world).cast("bigint") * world
+    padded = F.expr(f"({TOTAL} + {int(world) - 1}) div {int(world)}") * world
     # Row p also stands at p + n, p + 2n, ... while that is below the padded count.
     places = F.explode(F.sequence(F.col(POSITION), padded - 1, n))
     return (

@@ -2,9 +2,8 @@
 
 Each epoch is ordered, sharded and batched by :mod:`larkspur.operators.sampling`
 and written once, clustered by step, to the shared folder.  A step then reads
-only its own rows: tasks turn them into partial gradients, Spark sums these
-cell by cell, and the driver gets one number per weight to update its small
-matrix.  Rows never pass through the driver, and a lost executor costs a
+only its own rows: tasks turn them into partial gradients, these are summed,
+and the driver updates its small matrix.  Rows never pass through the driver, and a lost executor costs a
 re-read of the written step, not of the whole epoch.
 """
 
@@ -25,6 +24,8 @@ from larkspur.sources.shared import work_path
 
 HISTORY_SCHEMA = ("epoch INT, batch INT, batch_rows BIGINT, n_batches INT, n_rows BIGINT, "
                   "loss DOUBLE")
+# Most partial sums that may reach the driver in one step: 8 MB of doubles.
+COLLECT_LIMIT = 1_000_000
 EPOCHS_SCHEMA = "epoch INT, lr DOUBLE, test_loss DOUBLE, accuracy DOUBLE"
 
 
@@ -60,8 +61,14 @@ class Trained:
         return spark.createDataFrame(self.epochs, EPOCHS_SCHEMA)
 
 
-def batch_sums(rows: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, float, int]:
-    """Summed softmax gradient, summed loss and row count of ``(features, label)`` rows."""
+def batch_sums(rows: DataFrame, weights: np.ndarray, tasks: int | None = None) -> tuple[np.ndarray, float, int]:
+    """Summed softmax gradient, summed loss and row count of ``(features, label)`` rows.
+
+    Partial sums come straight to the driver when ``tasks`` of them are few
+    numbers; otherwise, or when the number of tasks is unknown, a shuffle adds
+    them up first and the driver gets one number per weight.
+    """
+    tasks = tasks or COLLECT_LIMIT
     n_classes, width = weights.shape
     to_matrix = matrix_reader(width - 1)
     slopes, bias = np.ascontiguousarray(weights[:, :-1].T), weights[:, -1].copy()
@@ -89,14 +96,13 @@ def batch_sums(rows: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, float,
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values)], ["cell", "value"])
 
-    cells = (
-        rows.select("features", F.col("label").cast("int").alias("label"))
-        .mapInArrow(partial, "cell INT, value DOUBLE")
-        .groupBy("cell").agg(F.sum("value").alias("value"))
-    )
-    total = np.zeros(n_classes * width + 2)
-    for cell, value in cells.collect():  # one row per weight
-        total[cell] = value
+    n_cells = n_classes * width + 2
+    cells = (rows.select("features", F.col("label").cast("int").alias("label"))
+             .mapInArrow(partial, "cell INT, value DOUBLE"))
+    if tasks * n_cells > COLLECT_LIMIT:
+        cells = cells.groupBy("cell").agg(F.sum("value").alias("value"))
+    sums = cells.toArrow()
+    total = np.bincount(sums["cell"], weights=sums["value"], minlength=n_cells)
     return total[:-2].reshape(n_classes, width), float(total[-2]), int(total[-1])
 
 
@@ -189,8 +195,9 @@ def train(df: DataFrame, test: DataFrame, key: str, settings: Settings = Setting
             block = (spark.read.schema(step_schema)
                      .parquet(f"{path}/block={first // settings.steps_per_block}")
                      .persist(StorageLevel.MEMORY_AND_DISK))
+            tasks = block.rdd.getNumPartitions()
             for step in range(first, min(first + settings.steps_per_block, n_steps)):
-                grad, loss, count = batch_sums(block.filter(F.col("step") == step), result.weights)
+                grad, loss, count = batch_sums(block.filter(F.col("step") == step), result.weights, tasks)
                 result.weights = optimizer.step(result.weights, grad / count, lr_state[0])
                 result.steps.append((epoch, step, count, n_steps, n_rows, loss / count))
             block.unpersist()

@@ -423,6 +423,24 @@ def training_objective(spark, folder):
                        F.round(F.max_by("objective", "iteration"), 4).alias("last_objective"))
 
 
+@query("logistic_calibration", """
+WITH r AS (SELECT CAST(l_returnflag = 'R' AS DOUBLE) AS label, CAST(CAST(l_quantity AS FLOAT) AS DOUBLE) AS quantity,
+  CAST(CAST(l_extendedprice AS FLOAT) AS DOUBLE) AS extendedprice, CAST(CAST(l_discount AS FLOAT) AS DOUBLE) AS discount,
+  CAST(CAST(l_tax AS FLOAT) AS DOUBLE) AS tax FROM lineitem)
+SELECT round(avg(label), 4) AS label, round(avg(label * quantity) / avg(quantity), 4) AS quantity,
+       round(avg(label * extendedprice) / avg(extendedprice), 4) AS extendedprice,
+       round(avg(label * discount) / avg(discount), 4) AS discount, round(avg(label * tax) / avg(tax), 4) AS tax
+FROM r""")
+def logistic_calibration(spark, folder):
+    """At the optimum of an unpenalized fit, probabilities and labels weigh every feature alike."""
+    rows = _model_rows(spark, folder)
+    model = classify.fit_logistic(rows, max_iter=50, tol=1e-9)
+    p = F.element_at(vector_to_array("probability"), 2)
+    return model.transform(rows).agg(
+        F.round(F.avg(p), 4).alias("label"),
+        *(F.round(F.avg(p * F.col(c)) / F.avg(F.col(c).cast("double")), 4).alias(c) for c in FEATURES))
+
+
 @query("training_history")
 def training_history(spark, folder):
     model = classify.fit_logistic(_model_rows(spark, folder), max_iter=11, penalty="ridge", reg_param=2.5e-6)
@@ -622,14 +640,66 @@ def sgd_gradient_step(spark, folder):
     return _weight_rows(spark, optimizer.step(weights, grad / count, settings.lr))
 
 
-@query("sgd_epochs")
+def _sgd_sql(train: str, epochs: int, world: int, batch_size: int, lr: float) -> str:
+    """The whole run as a recursive query: ``s`` holds the weights after each step."""
+    total = f"CAST(ceil(n / {world}.0) AS BIGINT)"
+    return f"""ordered AS (
+  SELECT e, label, embedding, count(*) OVER (PARTITION BY e) AS n,
+         row_number() OVER (PARTITION BY e ORDER BY md5('0:' || e || ':' || vec_id)) - 1 AS pos
+  FROM embeddings, range(1, {epochs + 1}) AS r(e) WHERE {train}),
+padded AS (
+  SELECT e, label, embedding, n, pos + j * n AS pos FROM ordered, range(0, {world}) AS r(j)
+  WHERE pos + j * n < {total} * {world}),
+b AS (
+  SELECT (e - 1) * CAST(ceil({total} / {batch_size}.0) AS BIGINT) + pos // {world * batch_size} AS step,
+         e * 10000000000 + pos AS r, label, d,
+         CASE WHEN d = 64 THEN 1.0::DOUBLE ELSE CAST(embedding[d + 1] AS DOUBLE) END AS x
+  FROM padded, range(0, 65) AS k(d)),
+s AS (
+  SELECT CAST(0 AS BIGINT) AS step, c, d, 0.0::DOUBLE AS w, 0.0::DOUBLE AS v
+  FROM range(0, 10) AS a(c), range(0, 65) AS k(d)
+  UNION ALL
+  (WITH z AS (SELECT s.step, r, any_value(label) AS label, c, sum(w * x) AS z
+              FROM s JOIN b ON b.step = s.step AND b.d = s.d GROUP BY s.step, r, c),
+        q AS (SELECT *, exp(z - max(z) OVER (PARTITION BY r)) AS q FROM z),
+        p AS (SELECT step, r, c, q / sum(q) OVER (PARTITION BY r) - CAST(label = c AS DOUBLE) AS p FROM q),
+        g AS (SELECT p.step, c, d, avg(p * x) AS g FROM p JOIN b ON b.step = p.step AND b.r = p.r GROUP BY p.step, c, d),
+        u AS (SELECT s.step, s.c, s.d, w, 0.9::DOUBLE * v + g + 1e-4::DOUBLE * w AS v, g + 1e-4::DOUBLE * w AS pull
+              FROM s JOIN g ON g.c = s.c AND g.d = s.d)
+   SELECT step + 1, c, d, w - {lr}::DOUBLE * (pull + 0.9::DOUBLE * v), v FROM u))"""
+
+
+@query("sgd_weights", f"""WITH RECURSIVE {_sgd_sql('TRUE', 2, 3, 50, 0.5)}
+SELECT CAST(c AS INTEGER) AS class, CAST(d AS INTEGER) AS slot, round(w, 9) AS weight
+FROM s WHERE step = (SELECT max(step) FROM s)""")
+def sgd_weights(spark, folder):
+    """Weights after two epochs of mini-batches on three ranks."""
+    rows = _array_rows(spark, folder)
+    return _weight_rows(spark, sgd.train(rows, rows, "id", sgd.Settings(
+        epochs=2, world=3, batch_size=50, lr=0.5, target_accuracy=2.0)).weights)
+
+
+_TRAIN_PART = f"substr(md5(CAST(vec_id AS VARCHAR)), 1, 8) < '{arrays.share_cut(0.8)}'"
+
+
+@query("sgd_epochs", f"""WITH RECURSIVE {_sgd_sql(_TRAIN_PART, 3, 2, 128, 1.0)},
+ends AS (SELECT e, max(step) + 1 AS step
+         FROM (SELECT DISTINCT CAST(r // 10000000000 AS INTEGER) AS e, step FROM b) GROUP BY e),
+z AS (SELECT e, vec_id, label, c,
+             sum(w * CASE WHEN d = 64 THEN 1.0::DOUBLE ELSE CAST(embedding[d + 1] AS DOUBLE) END) AS z
+      FROM ends JOIN s USING (step), embeddings WHERE NOT ({_TRAIN_PART}) GROUP BY e, vec_id, label, c),
+l AS (SELECT e, ln(sum(exp(z))) - max(CASE WHEN c = label THEN z END) AS loss,
+             arg_max(c, z) = any_value(label) AS hit FROM z GROUP BY e, vec_id)
+SELECT e AS epoch, 1.0::DOUBLE AS lr, round(avg(loss), 9) AS test_loss, round(avg(CAST(hit AS DOUBLE)), 9) AS accuracy
+FROM l GROUP BY e""")
 def sgd_epochs(spark, folder):
-    """Per-epoch loss, rate and accuracy of a run on the train part."""
+    """Loss, rate and accuracy on the test part after each epoch."""
     rows = _array_rows(spark, folder)
     chosen = arrays.in_train_part(F.col("id"))
     trained = sgd.train(rows.filter(chosen), rows.filter(~chosen), "id",
-                        sgd.Settings(epochs=3, world=2, lr=1.0))
-    return trained.epoch_summary(spark)
+                        sgd.Settings(epochs=3, world=2, lr=1.0, target_accuracy=2.0))
+    return trained.epoch_summary(spark).withColumns(
+        {c: F.round(c, 9) for c in ("test_loss", "accuracy")})
 
 
 def _run_history(spark, folder) -> DataFrame:

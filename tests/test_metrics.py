@@ -35,6 +35,26 @@ def test_latest_settles_ties_by_id(spark):
     assert [r["pod"] for r in top] == [0, 1]
 
 
+def test_latest_is_the_same_for_every_kind_of_time_and_id(spark):
+    rows = [(i % 5 - 2, f"2024-0{1 + i % 3}-10 0{i % 4}:1{i % 2}:0{i % 7}.00000{i % 3}", i % 6, float(i)) for i in range(400)]
+    base = spark.createDataFrame(rows, "point_id BIGINT, ts STRING, pod INT, value DOUBLE")
+    # A unique id per row, below zero for half of them.
+    base = base.withColumn("point_id", (F.col("value") * 46116860184273879 - 9223372036854775807).cast("bigint"))
+    want = {}
+    for r in base.collect():
+        key = (r["ts"], r["point_id"])
+        want[r["pod"]] = max(want.get(r["pod"], (("", 0), 0.0)), (key, r["value"]))
+    for kind in ("timestamp", "timestamp_ntz"):
+        for id_type in ("bigint", "struct"):
+            typed = base.withColumn("ts", F.col("ts").cast(kind))
+            if id_type == "struct":
+                typed = typed.withColumn("point_id", F.struct("point_id"))
+            latest = rollup.latest_usage(typed, "pod")
+            assert {r["pod"]: r["value"] for r in latest.collect()} == {p: v for p, (_, v) in want.items()}
+            plan = latest._jdf.queryExecution().executedPlan().toString()
+            assert ("SortAggregate" in plan) == (id_type == "struct")
+
+
 def test_hot_keys_are_combined_before_the_shuffle(spark):
     plan = rollup.usage_over_time(sample(spark, [0]))._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_avg") > plan.index("Exchange")  # printed from the top down
