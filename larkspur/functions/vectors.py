@@ -27,9 +27,11 @@ def argmax_class(scores: Column) -> Column:
 
 def log_sum_exp(scores: Column) -> Column:
     """log(sum(exp(scores))), shifted by the maximum so that it cannot overflow."""
-    top = F.array_max(scores)
-    shifted = F.aggregate(scores, F.lit(0.0), lambda acc, s: acc + F.exp(s.cast("double") - top))
-    return F.log(shifted) + top
+    def shifted_by(top: Column) -> Column:
+        return F.log(F.aggregate(scores, F.lit(0.0), lambda acc, s: acc + F.exp(s.cast("double") - top))) + top
+
+    # A one-element array binds the maximum, so that it is not found anew for each score.
+    return F.element_at(F.transform(F.array(F.array_max(scores).cast("double")), shifted_by), 1)
 
 
 def cross_entropy(scores: Column, label: Column) -> Column:

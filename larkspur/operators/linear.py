@@ -9,9 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-
-from larkspur.functions.vectors import argmax_class
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 
 def zero_weights(n_classes: int, n_features: int) -> np.ndarray:
@@ -34,29 +32,46 @@ def matrix_reader(n_features: int):
 
 def score_arrays(df: DataFrame, weights: np.ndarray, features: str = "features",
                  scores: str = "scores") -> DataFrame:
-    """Add a ``scores`` array, one entry per class, batch by batch in Arrow."""
-    n_features = weights.shape[1] - 1
-    to_matrix = matrix_reader(n_features)
-    slopes, bias = np.ascontiguousarray(weights[:, :-1].T), weights[:, -1].copy()
-    n_classes = len(bias)
+    """The other columns of ``df`` with a ``scores`` array, one entry per class.
+
+    The features go to Python once, in Arrow batches, and are not sent back.
+    """
+    kept = [c for c in df.columns if c != features]
+    score_batch = _scorer(weights, features)
+    n_classes = len(weights)
 
     def run(record_batches):
         for batch in record_batches:
-            x = to_matrix(batch.column(features))
-            out = x @ slopes + bias
+            out = score_batch(batch)
             ends = np.arange(0, out.size + 1, n_classes, dtype=np.int32)
             column = pa.ListArray.from_arrays(pa.array(ends), pa.array(out.ravel()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, scores])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), column], [*kept, scores])
 
-    schema = T.StructType([*df.schema.fields, T.StructField(scores, T.ArrayType(T.DoubleType()))])
+    schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(scores, T.ArrayType(T.DoubleType()))])
     return df.mapInArrow(run, schema)
 
 
 def predict_arrays(df: DataFrame, weights: np.ndarray, key: str = "id",
                    features: str = "features") -> DataFrame:
-    """``(key, prediction)``: the class with the largest score."""
-    scored = score_arrays(df.select(key, features), weights, features)
-    return scored.select(key, argmax_class(F.col("scores")).alias("prediction"))
+    """``(key, prediction)``: the class with the largest score, the first one on a tie."""
+    score_batch = _scorer(weights, features)
+
+    def run(record_batches):
+        for batch in record_batches:
+            best = score_batch(batch).argmax(axis=1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(best)], [key, "prediction"])
+
+    schema = T.StructType([df.schema[key], T.StructField("prediction", T.IntegerType())])
+    return df.select(key, features).mapInArrow(run, schema)
+
+
+def _scorer(weights: np.ndarray, features: str):
+    to_matrix = matrix_reader(weights.shape[1] - 1)
+    slopes, bias = np.ascontiguousarray(weights[:, :-1].T), weights[:, -1].copy()
+
+    def score_batch(batch):
+        return to_matrix(batch.column(features)) @ slopes + bias
+    return score_batch
 
 
 def save_weights(spark: SparkSession, weights: np.ndarray, path: str) -> None:

@@ -28,6 +28,21 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_scratch.name
 
 
+def _work_root(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/larkspur-{spark.sparkContext.applicationId}"
+
+
 def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder for one written table."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path for one written table, under this application's work folder."""
+    return f"{_work_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete every table this application has put in its work folder.
+
+    Call it when nothing read from those tables is needed any more: staged
+    training rows also back the summary of a model fitted in this session.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(_work_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)

@@ -51,10 +51,5 @@ def write_closed(rollup: DataFrame, path: str, checkpoint: str) -> None:
 
 def read_updates(spark: SparkSession, path: str, *tags: str) -> DataFrame:
     """The newest version of each window written by :func:`write_updates`."""
-    values = F.struct("mean_value", "peak_value", "points")
-    return (
-        spark.read.parquet(path)
-        .groupBy("window_start", "measurement", *tags)
-        .agg(F.max_by(values, BATCH).alias("v"))
-        .select("window_start", "measurement", *tags, "v.*")
-    )
+    newest = [F.max_by(v, BATCH).alias(v) for v in ("mean_value", "peak_value", "points")]
+    return spark.read.parquet(path).groupBy("window_start", "measurement", *tags).agg(*newest)

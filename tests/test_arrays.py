@@ -85,6 +85,16 @@ def test_array_jobs_round_trip(spark, tmp_path):
     assert [got[i] for i in range(900)] == scores.argmax(1).tolist()
 
 
+def test_work_tables_can_be_cleared(spark):
+    from larkspur.sources.shared import clear_work, work_path
+    path = work_path(spark, "t")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    clear_work(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
 def test_parts_are_fixed_and_disjoint(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(10000).write.parquet(path)
