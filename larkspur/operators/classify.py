@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from larkspur.functions.cleaning import to_binary_label
 from larkspur.operators.prepare import (
     ASSEMBLED, FEATURES, ID, LABEL, feature_columns, feature_stages, prepare, stage_vectors,
 )
@@ -42,31 +43,39 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
 
 
+def logistic(label: str = LABEL, max_iter: int = 10, penalty: str | None = None,
+             reg_param: float = 0.0, elastic_net_param: float | None = None,
+             tol: float = 1e-6) -> LogisticRegression:
+    """An unfitted logistic regression, binary or multinomial by its labels."""
+    mix = penalty_mix(penalty, reg_param) if elastic_net_param is None else elastic_net_param
+    return LogisticRegression(featuresCol=FEATURES, labelCol=label, maxIter=int(max_iter),
+                              regParam=reg_param, elasticNetParam=mix, tol=tol)
+
+
+def forest(label: str = LABEL, num_trees: int = 20, max_depth: int = 5, seed: int = 0,
+           bootstrap: bool = True, feature_subset: str = "auto") -> RandomForestClassifier:
+    """An unfitted random forest; one seed, one forest."""
+    return RandomForestClassifier(featuresCol=FEATURES, labelCol=label, numTrees=num_trees,
+                                  maxDepth=max_depth, seed=seed, bootstrap=bootstrap,
+                                  featureSubsetStrategy=feature_subset)
+
+
 def fit_logistic(df: DataFrame, features: Sequence[str] | None = None, label: str = LABEL,
-                 max_iter: int = 10, penalty: str | None = None, reg_param: float = 0.0,
-                 elastic_net_param: float | None = None, tol: float = 1e-6,
-                 staged: bool = True) -> PipelineModel:
-    """Assemble, scale and fit a binary or multinomial logistic regression.
+                 staged: bool = True, **settings) -> PipelineModel:
+    """Assemble, scale and fit a logistic regression; ``settings`` as in :func:`logistic`.
 
     ``df`` holds prepared rows.  The fitted scaling is part of the model, so
     new rows are scaled as the training rows were, not by their own spread.
     With ``staged`` the assembled rows are written once to the shared folder
     and every pass of the fit reads that table.
     """
-    mix = penalty_mix(penalty, reg_param) if elastic_net_param is None else elastic_net_param
-    estimator = LogisticRegression(featuresCol=FEATURES, labelCol=label, maxIter=int(max_iter),
-                                   regParam=reg_param, elasticNetParam=mix, tol=tol)
-    return _fit(df, features, label, estimator, staged)
+    return _fit(df, features, label, logistic(label, **settings), staged)
 
 
 def fit_forest(df: DataFrame, features: Sequence[str] | None = None, label: str = LABEL,
-               num_trees: int = 20, max_depth: int = 5, seed: int = 0, bootstrap: bool = True,
-               feature_subset: str = "auto", staged: bool = True) -> PipelineModel:
-    """Assemble, scale and fit a random forest; one seed, one forest."""
-    estimator = RandomForestClassifier(featuresCol=FEATURES, labelCol=label, numTrees=num_trees,
-                                       maxDepth=max_depth, seed=seed, bootstrap=bootstrap,
-                                       featureSubsetStrategy=feature_subset)
-    return _fit(df, features, label, estimator, staged)
+               staged: bool = True, **settings) -> PipelineModel:
+    """Assemble, scale and fit a random forest; ``settings`` as in :func:`forest`."""
+    return _fit(df, features, label, forest(label, **settings), staged)
 
 
 def _fit(df, features, label, estimator, staged) -> PipelineModel:
@@ -81,9 +90,13 @@ def _fit(df, features, label, estimator, staged) -> PipelineModel:
     return PipelineModel(stages=[assembler, scaling, fitted])
 
 
-def fit_vectors(df: DataFrame, estimator) -> PipelineModel:
-    """Fit on rows that already carry ``(label, features VECTOR)``, as libsvm does."""
-    return Pipeline(stages=[estimator]).fit(df)
+def fit_vectors(df: DataFrame, estimator: LogisticRegression | RandomForestClassifier) -> PipelineModel:
+    """Fit on ``(label, features VECTOR)`` rows, as libsvm gives them, without scaling.
+
+    Labels coded -1/1 are taken as 0/1.
+    """
+    rows = df.withColumn(LABEL, to_binary_label(F.col(LABEL)))
+    return PipelineModel(stages=[estimator.fit(rows)])
 
 
 def input_features(model: PipelineModel) -> list[str]:
@@ -115,7 +128,7 @@ def project_predictions(scored: DataFrame, id_col: str = ID, with_probability: b
 
 def evaluate_rows(model: PipelineModel, prepared: DataFrame, label: str = LABEL) -> DataFrame:
     """``(label, prediction)`` of prepared rows, for the evaluation operators."""
-    return model.transform(prepared).select(F.col(label).cast("double").alias("label"), "prediction")
+    return model.transform(prepared).select(to_binary_label(F.col(label)).alias("label"), "prediction")
 
 
 def coefficients(spark: SparkSession, model: PipelineModel) -> DataFrame:
@@ -137,8 +150,8 @@ def select_features(df: DataFrame, features: Sequence[str] | None = None, label:
     """Features that keep a non-zero coefficient under an L1 penalty."""
     if int(max_iter) != max_iter:
         raise ValueError("max_iter must be a whole number")
-    model = fit_logistic(df, features, label, int(max_iter), reg_param=reg_param,
-                         elastic_net_param=elastic_net_param, staged=staged)
+    model = fit_logistic(df, features, label, staged, max_iter=max_iter, reg_param=reg_param,
+                         elastic_net_param=elastic_net_param)
     return coefficients(df.sparkSession, model).filter("coefficient <> 0")
 
 

@@ -64,7 +64,8 @@ def _number(tagged: DataFrame, order: str) -> DataFrame:
     in_bucket = F.row_number().over(Window.partitionBy(BUCKET).orderBy(order))
     return (
         tagged.withColumn("__row", in_bucket)
-        .join(F.broadcast(starts), BUCKET)
+        # Every bucket has a start; an inner join would only add a test that digests anew.
+        .join(F.broadcast(starts), BUCKET, "left")
         .withColumn(POSITION, F.col("__start") + F.col("__row") - 1)
         .drop(BUCKET, "__row", "__start")
     )

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from larkspur.functions import vectors
@@ -132,7 +132,6 @@ FROM embeddings, range(1, 65) AS r(i) GROUP BY 1, 2""")
 def libsvm_scan(spark, folder):
     path = work_path(spark, "libsvm")
     vector = F.expr("transform(embedding, v -> cast(v AS double))")
-    from pyspark.ml.functions import array_to_vector
     (table(spark, folder, "embeddings")
      .select(F.col("label").cast("double"), array_to_vector(vector).alias("features"))
      .write.format("libsvm").save(path))
@@ -441,6 +440,27 @@ def logistic_calibration(spark, folder):
         *(F.round(F.avg(p * F.col(c)) / F.avg(F.col(c).cast("double")), 4).alias(c) for c in FEATURES))
 
 
+@query("libsvm_training", """
+SELECT count(*) AS rows, round(avg(CAST(label >= 5 AS DOUBLE)), 4) AS label,
+       round(avg(CAST(label >= 5 AS DOUBLE)), 4) AS probability FROM embeddings""")
+def libsvm_training(spark, folder):
+    """Labels coded -1/1 in libsvm; a converged fit has their mean as its mean probability."""
+    text, model = work_path(spark, "libsvm"), work_path(spark, "model")
+    _signed_vectors(spark, folder).write.format("libsvm").save(text)
+    jobs.train_libsvm(spark, text, model, 64)
+    rows = tables.read_libsvm(spark, text, 64)
+    scored = models.load_model(model).transform(rows)
+    return scored.agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.avg(to_binary_label(F.col("label"))), 4).alias("label"),
+        F.round(F.avg(F.element_at(vector_to_array("probability"), 2)), 4).alias("probability"))
+
+
+def _signed_vectors(spark, folder) -> DataFrame:
+    return table(spark, folder, "embeddings").select(
+        F.when(F.col("label") >= 5, 1.0).otherwise(-1.0).alias("label"),
+        array_to_vector(vectors.to_dtype(F.col("embedding"), "fp64")).alias("features"))
+
+
 @query("training_history")
 def training_history(spark, folder):
     model = classify.fit_logistic(_model_rows(spark, folder), max_iter=11, penalty="ridge", reg_param=2.5e-6)
@@ -538,7 +558,6 @@ def column_deviation(spark, folder):
 SELECT CAST(i - 1 AS INTEGER) AS slot, round(stddev_samp(CAST(embedding[i] AS DOUBLE)), 9) AS value
 FROM embeddings, range(1, 65) AS r(i) GROUP BY 1""")
 def vector_deviation(spark, folder):
-    from pyspark.ml.functions import array_to_vector
     rows = table(spark, folder, "embeddings").select(
         array_to_vector(vectors.to_dtype(F.col("embedding"), "fp64")).alias("features"))
     return evaluate.vector_deviation(rows).select(

@@ -16,7 +16,7 @@ from larkspur.operators import classify, evaluate, linear, sgd
 from larkspur.operators.prepare import ID, prepare, split_rejects
 from larkspur.sources.arrays import read_arrays, write_arrays
 from larkspur.sources.models import load_model, save_model, write_predictions
-from larkspur.sources.tables import read_csv, read_feature_csv
+from larkspur.sources.tables import read_csv, read_feature_csv, read_libsvm
 
 # Names and settings used when a job is given none.
 DEFAULT_MODEL = "model"
@@ -77,6 +77,24 @@ def select_features(spark: SparkSession, path: str, max_iter: int = 10, reg_para
                                     elastic_net_param=elastic_net_param)
 
 
+def train_libsvm(spark: SparkSession, path: str, model_path: str, num_features: int,
+                 estimator=None) -> PipelineModel:
+    """Fit a classifier on a libsvm table of known width and save it.
+
+    The model stays usable for its training summary.  The estimator is a
+    logistic regression of 100 iterations unless one is given.
+    """
+    rows = classify.spread(read_libsvm(spark, path, num_features))
+    model = classify.fit_vectors(rows, estimator or classify.logistic(max_iter=100))
+    save_model(model, model_path)
+    return model
+
+
+def evaluate_libsvm(spark: SparkSession, path: str, model_path: str, num_features: int) -> DataFrame:
+    """Accuracy of a saved model on a libsvm table."""
+    return evaluate.accuracy(classify.evaluate_rows(load_model(model_path), read_libsvm(spark, path, num_features)))
+
+
 def train_arrays(spark: SparkSession, path: str, model_path: str, key: str = "id",
                  settings: sgd.Settings = sgd.Settings(), rename: Mapping[str, str] | None = None) -> sgd.Trained:
     """Train the linear array model on the train part, test on the test part."""

@@ -107,11 +107,23 @@ def test_forest_takes_no_penalty(spark):
         jobs.train(spark, "unused", algorithm="forest", ridge=True)
 
 
-def test_vectors_fit_without_assembly(spark, planted):
-    from pyspark.ml.classification import LogisticRegression
-    rows = prep.assemble(planted, ["a", "b"]).select("label", "features")
-    model = classify.fit_vectors(rows, LogisticRegression(maxIter=11, regParam=2.5e-6))
-    assert evaluate.accuracy(model.transform(rows)).first()["accuracy"] > 0.85
+@pytest.mark.parametrize("coding", [0, -1])
+def test_libsvm_jobs(spark, planted, tmp_path, coding):
+    text, model = str(tmp_path / "in.libsvm"), str(tmp_path / "model")
+    coded = F.when(F.col("label") == 1, 1.0).otherwise(float(coding)).alias("label")
+    prep.assemble(planted).select(coded, "features").write.format("libsvm").save(text)
+    fitted = jobs.train_libsvm(spark, text, model, 5)
+    result = jobs.evaluate_libsvm(spark, text, model, 5).first()
+    assert result["rows"] == 4000 and result["accuracy"] > 0.85
+    assert fitted.stages[-1].summary.accuracy == pytest.approx(result["accuracy"])
+    jobs.train_libsvm(spark, text, model, 5, classify.forest(num_trees=8))
+    assert jobs.evaluate_libsvm(spark, text, model, 5).first()["accuracy"] > 0.8
+
+
+def test_benchmark_reports_each_configuration(spark, planted):
+    report = jobs.benchmark(spark, planted, planted, [{"max_iter": 1}, {"max_iter": 5}]).collect()
+    assert [r["config"] for r in report] == ["max_iter=1", "max_iter=5"]
+    assert all(r["test_rows"] == 4000 and r["train_seconds"] > 0 and r["accuracy"] > 0.5 for r in report)
 
 
 def test_feature_selection_job(spark, planted, tmp_path):
