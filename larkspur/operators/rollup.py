@@ -15,10 +15,14 @@ def measurements(points: DataFrame) -> DataFrame:
 
 
 def in_range(points: DataFrame, start=None, end=None) -> DataFrame:
-    """Points with ``start <= ts < end``; either end may be open."""
+    """Points with ``start <= ts < end``; either end may be open.
+
+    Ends are times, or text read as one, in the wall-clock of the ``ts`` column.
+    """
+    kind = points.schema["ts"].dataType
     if start is not None:
-        points = points.filter(F.col("ts") >= F.lit(start))
-    return points if end is None else points.filter(F.col("ts") < F.lit(end))
+        points = points.filter(F.col("ts") >= F.lit(str(start)).cast(kind))
+    return points if end is None else points.filter(F.col("ts") < F.lit(str(end)).cast(kind))
 
 
 def pick(points: DataFrame, namespace=None, pod=None) -> DataFrame:

@@ -4,8 +4,9 @@ The order of an epoch is the order of ``md5(seed:epoch:key)``.  A row's exact
 place in it is found without a global sort: rows are split by the leading hex
 digits of the digest, each bucket numbers its own rows, and a table of bucket
 starts (at most ``16 ** digits`` rows, whatever the input size) is broadcast
-to shift them.  Digests spread evenly, so buckets are even too, provided that
-keys are unique; see ``find_repeated_keys`` and ``read_keyed_parquet``.
+to shift them.  Keys must be unique, so digests, and with them buckets, spread
+evenly whatever the data; a repeated key has no place of its own and fails the
+query.  ``read_keyed_parquet`` gives a key to a table that has none.
 """
 
 from __future__ import annotations
@@ -61,9 +62,11 @@ def _number(tagged: DataFrame, order: str) -> DataFrame:
         F.coalesce(F.sum("__count").over(before), F.lit(0)).alias("__start"),
         F.sum("__count").over(Window.partitionBy()).alias(TOTAL),
     )
-    in_bucket = F.row_number().over(Window.partitionBy(BUCKET).orderBy(order))
+    in_bucket = Window.partitionBy(BUCKET).orderBy(order)
+    unusable = F.col(order).isNull() | (F.lag(order).over(in_bucket) == F.col(order))
+    refuse = F.raise_error(F.lit("sampling needs a unique key without NULL; see find_repeated_keys and read_keyed_parquet"))
     return (
-        tagged.withColumn("__row", in_bucket)
+        tagged.withColumn("__row", F.when(unusable, refuse.cast("int")).otherwise(F.row_number().over(in_bucket)))
         # Every bucket has a start; an inner join would only add a test that digests anew.
         .join(F.broadcast(starts), BUCKET, "left")
         .withColumn(POSITION, F.col("__start") + F.col("__row") - 1)

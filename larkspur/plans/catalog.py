@@ -793,12 +793,12 @@ def pod_usage(spark, folder):
 
 
 @query("picked_pod_usage", _rollup_sql("namespace", "pod").replace("FROM events GROUP", """FROM events
-WHERE user_id % 5 = 2 AND ts >= TIMESTAMP '2024-01-02 00:00:00' AND ts < TIMESTAMP '2024-02-01 00:00:00' GROUP"""))
+WHERE ts >= (SELECT min(ts) FROM events) AND ts < (SELECT max(ts) FROM events) GROUP"""))
 def picked_pod_usage(spark, folder):
-    """The dashboard's pickers: one namespace over a time range."""
-    picked = rollup.pod_usage(_points(table(spark, folder, "events")), WIDTH, namespace=2,
-                              start="2024-01-02 00:00:00", end="2024-02-01 00:00:00")
-    return _rounded(picked)
+    """The dashboard's time-range picker, set from the first to just before the last point."""
+    rows = _points(table(spark, folder, "events"))
+    start, end = rows.agg(F.min("ts"), F.max("ts")).first()
+    return _rounded(rollup.pod_usage(rows, WIDTH, start=start, end=end))
 
 
 @query("latest_usage", """

@@ -28,6 +28,16 @@ def test_range_is_half_open(spark):
     assert sorted(r["point_id"] for r in rows.collect()) == [0, 1]
 
 
+def test_pickers_choose_namespace_and_pod(spark):
+    rows = sample(spark, range(40))
+    picked = rollup.pod_usage(rows, "1 hour", namespace=1, pod=3, start=START, end=START + dt.timedelta(seconds=36))
+    assert {(r["namespace"], r["pod"]) for r in picked.collect()} == {(1, 3)}
+    assert picked.agg(F.sum("points")).first()[0] == len([i for i in range(36) if i % 4 == 3])
+    plan = rollup.in_range(spark.read.parquet("/root/testdata/sf0.001/events.parquet"), "2024-01-02", "2024-01-03") \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
+
+
 def test_latest_settles_ties_by_id(spark):
     got = rollup.latest_usage(sample(spark, [5, 5, 5, 5, 5, 5, 5, 5]), "pod")
     assert {r["pod"]: r["value"] for r in got.collect()} == {0: 4.0, 1: 5.0, 2: 6.0, 3: 7.0}

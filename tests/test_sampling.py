@@ -65,6 +65,16 @@ def test_file_place_keys_drive_the_sampler(spark, folder):
     assert placed.select("pos").distinct().count() == rows.count()
 
 
+@pytest.mark.parametrize("place", [sampling.ordered_positions, lambda df, key: sampling.shuffled_positions(df, key, 1, 1)])
+def test_repeated_keys_are_refused(spark, place):
+    rows = spark.range(100).selectExpr("id % 99 AS k")
+    assert [tuple(r) for r in tables.find_repeated_keys(rows, "k").collect()] == [(0, 2)]
+    with pytest.raises(Exception, match="unique key"):
+        place(rows, "k").collect()
+    with pytest.raises(Exception, match="unique key"):
+        place(spark.range(9).selectExpr("nullif(id, 4) AS k"), "k").collect()
+
+
 def test_arguments_are_checked(spark):
     with pytest.raises(ValueError):
         sampling.shuffled_positions(spark.range(1), "id", 1, 1, digits=9)
