@@ -63,14 +63,16 @@ def _number(tagged: DataFrame, order: str) -> DataFrame:
         F.sum("__count").over(Window.partitionBy()).alias(TOTAL),
     )
     in_bucket = Window.partitionBy(BUCKET).orderBy(order)
-    unusable = F.col(order).isNull() | (F.lag(order).over(in_bucket) == F.col(order))
-    refuse = F.raise_error(F.lit("sampling needs a unique key without NULL; see find_repeated_keys and read_keyed_parquet"))
+    unusable = F.col(order).isNull() | (F.col("__last") == F.col(order))
+    refuse = F.raise_error(F.lit("sampling needs a unique key without NULL; "
+                                 "see find_repeated_keys and read_keyed_parquet"))
+    place = F.col("__start") + F.col("__row") - 1
     return (
-        tagged.withColumn("__row", F.when(unusable, refuse.cast("int")).otherwise(F.row_number().over(in_bucket)))
+        tagged.withColumns({"__row": F.row_number().over(in_bucket), "__last": F.lag(order).over(in_bucket)})
         # Every bucket has a start; an inner join would only add a test that digests anew.
         .join(F.broadcast(starts), BUCKET, "left")
-        .withColumn(POSITION, F.col("__start") + F.col("__row") - 1)
-        .drop(BUCKET, "__row", "__start")
+        .withColumn(POSITION, F.when(unusable, refuse.cast("bigint")).otherwise(place))
+        .drop(BUCKET, "__row", "__last", "__start")
     )
 
 
