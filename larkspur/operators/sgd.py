@@ -61,6 +61,32 @@ class Trained:
         return spark.createDataFrame(self.epochs, EPOCHS_SCHEMA)
 
 
+def _forward(weights: np.ndarray):
+    """A function from an Arrow batch to its features, labels, shifted scores, their mass and losses.
+
+    Returned as a closure so that tasks need no copy of this package.
+    """
+    n_classes, width = weights.shape
+    to_matrix = matrix_reader(width - 1)
+    slopes, bias = np.ascontiguousarray(weights[:, :-1].T), weights[:, -1].copy()
+
+    def forward(batch):
+        x = to_matrix(batch.column("features"))
+        y = batch.column("label").to_numpy(zero_copy_only=False)
+        if y.dtype.kind != "i" or y.min() < 0 or y.max() >= n_classes:
+            raise ValueError(f"labels must be whole numbers from 0 to {n_classes - 1}")
+        logits = x @ slopes + bias
+        logits -= logits.max(axis=1, keepdims=True)
+        mass = np.exp(logits).sum(axis=1)
+        return x, y, logits, mass, np.log(mass) - logits[np.arange(len(y)), y]
+
+    return forward
+
+
+def _labelled(rows: DataFrame) -> DataFrame:
+    return rows.select("features", F.col("label").cast("int").alias("label"))
+
+
 def batch_sums(rows: DataFrame, weights: np.ndarray, tasks: int | None = None) -> tuple[np.ndarray, float, int]:
     """Summed softmax gradient, summed loss and row count of ``(features, label)`` rows.
 
@@ -68,67 +94,50 @@ def batch_sums(rows: DataFrame, weights: np.ndarray, tasks: int | None = None) -
     numbers; otherwise, or when the number of tasks is unknown, a shuffle adds
     them up first and the driver gets one number per weight.
     """
-    tasks = tasks or COLLECT_LIMIT
     n_classes, width = weights.shape
-    to_matrix = matrix_reader(width - 1)
-    slopes, bias = np.ascontiguousarray(weights[:, :-1].T), weights[:, -1].copy()
+    n_cells = n_classes * width + 2
+    forward = _forward(weights)
 
     def partial(record_batches):
         grad, loss, count = np.zeros((n_classes, width)), 0.0, 0
         for batch in record_batches:
-            x = to_matrix(batch.column("features"))
-            y = batch.column("label").to_numpy(zero_copy_only=False)
-            if not len(y):
+            if not batch.num_rows:
                 continue
-            logits = x @ slopes + bias
-            logits -= logits.max(axis=1, keepdims=True)
-            at_label = logits[np.arange(len(y)), y]
-            p = np.exp(logits)
-            mass = p.sum(axis=1)
-            loss += float((np.log(mass) - at_label).sum())
-            p /= mass[:, None]
-            p[np.arange(len(y)), y] -= 1.0
-            grad[:, :-1] += p.T @ x
-            grad[:, -1] += p.sum(axis=0)
+            x, y, logits, mass, losses = forward(batch)
+            pull = np.exp(logits) / mass[:, None]
+            pull[np.arange(len(y)), y] -= 1.0
+            grad[:, :-1] += pull.T @ x
+            grad[:, -1] += pull.sum(axis=0)
+            loss += float(losses.sum())
             count += len(y)
         if count:
             values = np.concatenate([grad.ravel(), [loss, count]])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values)], ["cell", "value"])
+                [pa.array(np.arange(n_cells, dtype=np.int32)), pa.array(values)], ["cell", "value"])
 
-    n_cells = n_classes * width + 2
-    cells = (rows.select("features", F.col("label").cast("int").alias("label"))
-             .mapInArrow(partial, "cell INT, value DOUBLE"))
-    if tasks * n_cells > COLLECT_LIMIT:
+    cells = _labelled(rows).mapInArrow(partial, "cell INT, value DOUBLE")
+    if (tasks or COLLECT_LIMIT) * n_cells > COLLECT_LIMIT:
         cells = cells.groupBy("cell").agg(F.sum("value").alias("value"))
     sums = cells.toArrow()
     total = np.bincount(sums["cell"], weights=sums["value"], minlength=n_cells)
     return total[:-2].reshape(n_classes, width), float(total[-2]), int(total[-1])
 
 
-def test_sums(rows: DataFrame, weights: np.ndarray) -> tuple[float, float]:
+def evaluation(rows: DataFrame, weights: np.ndarray) -> tuple[float, float]:
     """Mean loss and accuracy over every row of a test table."""
-    n_classes, width = weights.shape
-    to_matrix = matrix_reader(width - 1)
-    slopes, bias = np.ascontiguousarray(weights[:, :-1].T), weights[:, -1].copy()
+    forward = _forward(weights)
 
     def partial(record_batches):
         for batch in record_batches:
-            x = to_matrix(batch.column("features"))
-            y = batch.column("label").to_numpy(zero_copy_only=False)
-            if not len(y):
+            if not batch.num_rows:
                 continue
-            logits = x @ slopes + bias
-            logits -= logits.max(axis=1, keepdims=True)
-            loss = np.log(np.exp(logits).sum(axis=1)) - logits[np.arange(len(y)), y]
+            _, y, logits, _, losses = forward(batch)
             hits = int((logits.argmax(axis=1) == y).sum())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([float(loss.sum())]), pa.array([hits]), pa.array([len(y)])],
-                ["loss", "hits", "n"])
+                [pa.array([float(losses.sum())]), pa.array([hits]), pa.array([len(y)])], ["loss", "hits", "n"])
 
     total = (
-        rows.select("features", F.col("label").cast("int").alias("label"))
-        .mapInArrow(partial, "loss DOUBLE, hits BIGINT, n BIGINT")
+        _labelled(rows).mapInArrow(partial, "loss DOUBLE, hits BIGINT, n BIGINT")
         .agg(F.sum("loss").alias("loss"), F.sum("hits").alias("hits"), F.sum("n").alias("n")).first()
     )
     if not total["n"]:
@@ -201,7 +210,7 @@ def train(df: DataFrame, test: DataFrame, key: str, settings: Settings = Setting
                 result.weights = optimizer.step(result.weights, grad / count, lr_state[0])
                 result.steps.append((epoch, step, count, n_steps, n_rows, loss / count))
             block.unpersist()
-        test_loss, accuracy = test_sums(test, result.weights)
+        test_loss, accuracy = evaluation(test, result.weights)
         result.epochs.append((epoch, lr_state[0], test_loss, accuracy))
         lr_state = advance(lr_state, test_loss)
         if accuracy >= settings.target_accuracy:

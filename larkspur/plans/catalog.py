@@ -467,9 +467,29 @@ def training_history(spark, folder):
     return classify.training_history(spark, model)
 
 
-@query("logistic_predictions")
+def _descent_sql(rounds: int = 40) -> str:
+    """The same optimum by gradient descent on centred, scaled features: ``fit`` holds its weights."""
+    centred = ", ".join(f"({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () AS x{i}"
+                        for i, c in enumerate(FEATURES))
+    wide = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in ("label", *FEATURES))
+    n = range(len(FEATURES))
+    score = "b + " + " + ".join(f"b{i} * x{i}" for i in n)
+    names = ", ".join(f"b{i}" for i in n)
+    steps = ", ".join(f"b{i} - 4 * avg((p - label) * x{i})" for i in n)
+    return f"""x AS (SELECT id, label, {centred} FROM (SELECT id, {wide} FROM complete) AS w),
+fit AS (
+  SELECT 0 AS i, 0.0::DOUBLE AS b, {", ".join(f"0.0::DOUBLE AS b{i}" for i in n)}
+  UNION ALL
+  SELECT i + 1, b - 4 * avg(p - label), {steps}
+  FROM (SELECT fit.*, x.*, 1 / (1 + exp(-({score}))) AS p FROM fit, x WHERE i < {rounds}) AS r
+  GROUP BY i, b, {names}),
+scored AS (SELECT id, {score} AS score FROM fit, x WHERE i = {rounds})"""
+
+
+@query("logistic_predictions", f"""WITH RECURSIVE {TYPED_SQL}, {_descent_sql()}
+SELECT id, CAST(score > 0 AS INTEGER) AS prediction FROM scored""")
 def logistic_predictions(spark, folder):
-    """From CSV text to ``(id, prediction)``, through a saved model."""
+    """From dirty CSV text to ``(id, prediction)``, through a saved model."""
     text, model, out = (work_path(spark, n) for n in ("text", "model", "predictions"))
     _dirty_view(spark, folder).write.option("header", True).csv(text)
     jobs.run(spark, text, text, model, out)
@@ -484,6 +504,31 @@ def forest_predictions(spark, folder):
     return tables.read_csv(spark, out, "id INT, prediction INT")
 
 
+@query("penalized_fits", f"""WITH RECURSIVE {CELL_SQL},
+d AS (SELECT stddev_samp(CAST(crossed AS DOUBLE)) AS sd, avg(CAST(crossed AS DOUBLE)) AS w1 FROM cells),
+y AS (SELECT avg(label) FILTER (NOT crossed) AS y0, avg(label) FILTER (crossed) AS y1 FROM cells),
+k AS (SELECT sd, w1, 1 - w1 AS w0, y0, y1, sign(y1 - y0) AS s, 0.05::DOUBLE AS l FROM d, y),
+newton AS (
+  SELECT 0 AS i, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b
+  UNION ALL
+  SELECT i + 1, a - (hbb * ga - hab * gb) / (haa * hbb - hab * hab), b - (haa * gb - hab * ga) / (haa * hbb - hab * hab)
+  FROM (SELECT i, a, b, w0 * (p0 - y0) + w1 * (p1 - y1) AS ga, w1 * (p1 - y1) / sd + l * b AS gb,
+               w0 * p0 * (1 - p0) + w1 * p1 * (1 - p1) AS haa, w1 * p1 * (1 - p1) / sd AS hab,
+               w1 * p1 * (1 - p1) / sd / sd + l AS hbb
+        FROM (SELECT *, 1 / (1 + exp(-a)) AS p0, 1 / (1 + exp(-a - b / sd)) AS p1 FROM newton, k) AS n1) AS n2
+  WHERE i < 40),
+lasso AS (SELECT sd, y0 + l * sd / w0 * s AS p0, y1 - l * sd / w1 * s AS p1 FROM k)
+SELECT 'ridge' AS penalty, round(b, 4) AS coefficient FROM newton WHERE i = 40
+UNION ALL SELECT 'lasso', round(sd * (ln(p1 / (1 - p1)) - ln(p0 / (1 - p0))), 4) FROM lasso""")
+def penalized_fits(spark, folder):
+    """One binary feature under each penalty: lasso shrinks by a closed form, ridge by two equations."""
+    rows = _cell_rows(spark, folder).select("id", "label", "crossed")
+    fits = [classify.coefficients(spark, classify.fit_logistic(
+        rows, max_iter=100, penalty=p, reg_param=0.05, tol=1e-10)).withColumn("penalty", F.lit(p))
+        for p in ("ridge", "lasso")]
+    return fits[0].unionByName(fits[1]).select("penalty", F.round("coefficient", 4).alias("coefficient"))
+
+
 @query("penalty_coefficients")
 def penalty_coefficients(spark, folder):
     rows = _planted_rows(spark, folder)

@@ -73,6 +73,20 @@ def test_training_stops_at_the_target(spark):
     assert len(trained.epochs) < 5 and trained.epochs[-1][3] >= 0.8
 
 
+def test_few_and_many_tasks_add_up_alike(spark):
+    x, y = make()
+    rows, w = frame(spark, x, y), np.random.default_rng(2).normal(size=(3, 5))
+    few, many = sgd.batch_sums(rows, w, tasks=8), sgd.batch_sums(rows, w)
+    assert np.allclose(few[0], many[0]) and few[1:] == pytest.approx(many[1:])
+
+
+@pytest.mark.parametrize("label", [-1, 3, None])
+def test_labels_outside_the_classes_are_refused(spark, label):
+    rows = spark.createDataFrame([([1.0], 0), ([1.0], label)], "features ARRAY<DOUBLE>, label INT")
+    with pytest.raises(Exception, match="labels must be"):
+        sgd.batch_sums(rows, linear.zero_weights(3, 1))
+
+
 def test_array_jobs_round_trip(spark, tmp_path):
     x, y = make()
     data, model, out = (str(tmp_path / n) for n in ("data", "model", "out"))
