@@ -2,30 +2,35 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-_local_scratch: tempfile.TemporaryDirectory | None = None
+_own_folder: str | None = None
+
+
+def use_folder(path: str) -> None:
+    """Name the shared folder for sessions whose cluster names none, as in tests."""
+    global _own_folder
+    _own_folder = path
+
+
+def named_folder(spark: SparkSession) -> str | None:
+    """The folder that the session's ``spark.checkpoint.dir`` names, if any."""
+    return spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
 
 
 def shared_folder(spark: SparkSession) -> str:
     """Root folder for intermediate tables, visible to every executor.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only a local session
-    without that setting gets a temporary folder, removed at process exit.
+    The cluster names it in ``spark.checkpoint.dir``; :func:`use_folder` sets
+    one only for sessions without that setting.
     """
-    named = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    folder = named_folder(spark) or _own_folder
+    if not folder:
         raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-    global _local_scratch
-    if _local_scratch is None:
-        _local_scratch = tempfile.TemporaryDirectory(prefix="larkspur-")
-    return _local_scratch.name
+    return folder.rstrip("/")
 
 
 def _work_root(spark: SparkSession) -> str:

@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -61,7 +62,7 @@ def compare(spark, con, folder, name):
 
 def main(folder="/root/testdata/sf0.01", *names):
     spark = (SparkSession.builder.master("local[8]").appName("check")
-             .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "12g")
+             .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "12g").config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="larkspur-"))
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("OFF")
     con, bad = connect(folder), []
