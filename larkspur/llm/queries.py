@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from larkspur.llm import chat, decontaminate, mixing
+from larkspur.llm import chat, decontaminate, html_text, mixing, quality
 from larkspur.llm.common import n_words, read_table, staged
 
 QUERIES, SQL = {}, {}
@@ -94,3 +94,18 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("hit_items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort(F.transform("hit_items", lambda i: i.cast("string"))), ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query()
+def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """The article of every page."""
+    pages = read_table(spark, folder, "pages").select("page_id", "url", "html")
+    return html_text.extract_main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
+@query()
+def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality scores of all documents, learned from labelled ones that are not held out."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    scored = quality.score_documents(docs, read_table(spark, folder, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
