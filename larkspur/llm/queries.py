@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from larkspur.llm import chat, decontaminate, html_text, mixing, quality
+from larkspur.llm import chat, decontaminate, html_text, mixing, quality, substrings, suffixes
 from larkspur.llm.common import n_words, read_table, staged
 
 QUERIES, SQL = {}, {}
@@ -109,3 +109,19 @@ def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     scored = quality.score_documents(docs, read_table(spark, folder, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query()
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words left of every document after 13-word windows of earlier documents."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return substrings.remove_earlier_words(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes left of every document after 200-byte strings that start anywhere else."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return suffixes.remove_repeated_bytes(docs).select(
+        "doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
