@@ -20,7 +20,7 @@ import numpy as np
 from larkspur.llm.common import mix64
 
 # Text bytes handled at once; a longer text is a chunk of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 # Odd multipliers and their inverses modulo 2^64.
@@ -78,11 +78,11 @@ class Words:
         self.first = np.searchsorted(starts, bounds)
 
 
-def chunks(texts: Sequence[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts that together are about ``CHUNK_BYTES`` long."""
+def chunks(texts: Sequence[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts that together are about ``limit`` bytes long."""
     first = size = 0
     for i, text in enumerate(texts):
-        if size and size + len(text) > CHUNK_BYTES:
+        if size and size + len(text) > limit:
             yield first, i
             first, size = i, 0
         size += len(text) + 1

@@ -31,6 +31,8 @@ from larkspur.llm.anchors import Hasher, Words, chunks, merge_ranges, runs
 from larkspur.llm.common import staged, text_bytes
 
 NO_ID = np.iinfo(np.int64).max
+# Bytes of text within which repeated spans are settled before anything is shipped.
+BLOCK_BYTES = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -86,59 +88,63 @@ RUN_SCHEMA = "a BIGINT, s BIGINT, key BIGINT, doc BIGINT, lo INT, hi INT, many B
 
 
 def _run_rows(spec: Repeats) -> Callable:
-    """Step 1: runs of all texts of a batch, and what is covered within the batch."""
+    """Step 1: runs of all texts of a block, and what is covered within the block."""
     n, k = spec.size, spec.anchor
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = list(text_bytes(batch.column("text")))
-            keys = batch.column("key").to_numpy()
-            docs = batch.column("doc").to_numpy()
-            parts = []
-            for first_text, last_text in chunks(texts):
-                data, start, end, first = spec.buffer(texts[first_text:last_text])
-                units = len(data) if start is None else len(start)
-                if units < n:
-                    continue
-                piece = Hasher(data, 0)
-                i = np.arange(units - k + 1)
-                pieces = piece(i, i + k) if start is None else piece(start[:units - k + 1], end[k - 1:])
-                text, anchor, low, high = runs(pieces, first, n, k)
-                span = Hasher(data, 1)
-                s = span(low, high + n) if start is None else span(start[low], end[high + n - 1])
-                base = first[text]
-                parts.append((pieces[anchor], s, text + first_text, low - base, high - base))
-            if not parts:
+            all_texts = list(text_bytes(batch.column("text")))
+            all_keys = batch.column("key").to_numpy()
+            all_docs = batch.column("doc").to_numpy()
+            for low_text, high_text in chunks(all_texts, BLOCK_BYTES):
+                yield from settle(*(x[low_text:high_text] for x in (all_texts, all_keys, all_docs)))
+
+    def settle(texts: list[bytes], keys: np.ndarray, docs: np.ndarray) -> Iterator[pa.RecordBatch]:
+        parts = []
+        for first_text, last_text in chunks(texts):
+            data, start, end, first = spec.buffer(texts[first_text:last_text])
+            units = len(data) if start is None else len(start)
+            if units < n:
                 continue
-            a, s, text, low, high = (np.concatenate(p) for p in zip(*parts))
-            doc = docs[text]
-            order = np.lexsort((low, text, doc, s, a))
-            a, s, text, low, high, doc = (x[order] for x in (a, s, text, low, high, doc))
-            new = np.concatenate(([True], (a[1:] != a[:-1]) | (s[1:] != s[:-1]))) if len(a) else np.zeros(0, bool)
-            group = np.cumsum(new) - 1
-            begins = np.flatnonzero(new)
-            if spec.earlier:
-                covered = doc > doc[begins][group]
-                ship, many = ~covered, np.zeros(len(a), dtype=bool)
-            else:
-                many = np.bincount(group)[group] > 1 if len(a) else new
-                covered, ship = many, new
-            cover_text, cover = cover_lists(text[covered], low[covered], high[covered] + n)
-            ship = np.flatnonzero(ship)
-            n_cover = len(cover)
-            own_keys = keys[cover_text]
-            zeros = np.zeros(n_cover, dtype=np.int32)
-
-            def both(shipped, passed):
-                return pa.array(np.concatenate((shipped, passed)))
-
-            yield pa.RecordBatch.from_arrays([
-                both(a[ship].view(np.int64), own_keys), both(s[ship].view(np.int64), own_keys),
-                both(keys[text[ship]], own_keys), both(doc[ship], own_keys),
-                both(low[ship].astype(np.int32), zeros), both(high[ship].astype(np.int32), zeros),
-                both(many[ship], zeros.astype(bool)),
-                pa.concat_arrays([pa.nulls(len(ship), cover.type), cover]),
-            ], names=["a", "s", "key", "doc", "lo", "hi", "many", "cover"])
+            piece = Hasher(data, 0)
+            i = np.arange(units - k + 1)
+            pieces = piece(i, i + k) if start is None else piece(start[:units - k + 1], end[k - 1:])
+            text, anchor, low, high = runs(pieces, first, n, k)
+            span = Hasher(data, 1)
+            s = span(low, high + n) if start is None else span(start[low], end[high + n - 1])
+            base = first[text]
+            parts.append((pieces[anchor], s, text + first_text, low - base, high - base))
+        if not parts:
+            return
+        a, s, text, low, high = (np.concatenate(p) for p in zip(*parts))
+        doc = docs[text]
+        order = np.lexsort((low, text, doc, s, a))
+        a, s, text, low, high, doc = (x[order] for x in (a, s, text, low, high, doc))
+        new = np.concatenate(([True], (a[1:] != a[:-1]) | (s[1:] != s[:-1]))) if len(a) else np.zeros(0, bool)
+        group = np.cumsum(new) - 1
+        begins = np.flatnonzero(new)
+        if spec.earlier:
+            covered = doc > doc[begins][group]
+            ship, many = ~covered, np.zeros(len(a), dtype=bool)
+        else:
+            many = np.bincount(group)[group] > 1 if len(a) else new
+            covered, ship = many, new
+        cover_text, cover = cover_lists(text[covered], low[covered], high[covered] + n)
+        ship = np.flatnonzero(ship)
+        n_cover = len(cover)
+        own_keys = keys[cover_text]
+        zeros = np.zeros(n_cover, dtype=np.int32)
+
+        def both(shipped, passed):
+            return pa.array(np.concatenate((shipped, passed)))
+
+        yield pa.RecordBatch.from_arrays([
+            both(a[ship].view(np.int64), own_keys), both(s[ship].view(np.int64), own_keys),
+            both(keys[text[ship]], own_keys), both(doc[ship], own_keys),
+            both(low[ship].astype(np.int32), zeros), both(high[ship].astype(np.int32), zeros),
+            both(many[ship], zeros.astype(bool)),
+            pa.concat_arrays([pa.nulls(len(ship), cover.type), cover]),
+        ], names=["a", "s", "key", "doc", "lo", "hi", "many", "cover"])
 
     return emit
 
