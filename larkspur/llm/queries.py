@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from larkspur.llm import chat, decontaminate, html_text, mixing, quality, substrings, suffixes
+from larkspur.llm import chat, decontaminate, html_text, mixing, near_duplicates, quality, substrings, suffixes
 from larkspur.llm.common import n_words, read_table, staged
 
 QUERIES, SQL = {}, {}
@@ -125,3 +125,10 @@ def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     return suffixes.remove_repeated_bytes(docs).select(
         "doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Class, number of similar texts and number of copies of every document."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return near_duplicates.similar_classes(docs).select("doc_id", "class_id", "n_links", "n_copies")
