@@ -165,6 +165,13 @@ def mix(docs: DataFrame, n_shards: int = 64, cycle: Sequence[float] = (1, 2, 3),
     return copies.drop("_b_source", "_b_block", *INNER)
 
 
+def cut_texts(mixed: DataFrame) -> DataFrame:
+    """A mix whose partly taken documents have only the words taken, joined by single spaces."""
+    words = F.expr(r"filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> '')")
+    part = F.array_join(F.slice(words, F.lit(1), F.col("mix_words").cast("int")), " ")
+    return mixed.withColumn("text", F.when(F.col("mix_words") < F.col("mix_size"), part).otherwise(F.col("text")))
+
+
 def write_shards(mixed: DataFrame, path: str) -> None:
     """Write a mix, one folder per shard, each shuffled; a shard may span several files."""
     (mixed.repartition("mix_shard", F.pmod(F.col("mix_place"), F.lit(16)))

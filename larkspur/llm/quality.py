@@ -144,12 +144,22 @@ def tree_rules(forest) -> list[Rule]:
     return list(found)
 
 
-def fit(labelled: DataFrame, label: str = "quality", max_sample: int = 20_000, n_trees: int = 12, depth: int = 3,
-        penalty: float = 0.001, seed: int = 0) -> RuleModel:
-    """Learn rules from rows with statistics, ``doc_id`` and a 0/1 label."""
-    rows = labelled.filter(F.col(label).isNotNull()).select(*STATISTICS, F.col(label).cast("double").alias("label"), "doc_id")
-    sample = rows.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id", "label", *STATISTICS).limit(max_sample).drop("doc_id")
-    sample = staged(sample.coalesce(1), "rules-sample")
+def sample_labels(labels: DataFrame, label: str, max_sample: int, seed: int) -> DataFrame:
+    """At most so many labelled ids, those of least hash."""
+    known = labels.filter(F.col(label).isNotNull()).select("doc_id", F.col(label).cast("double").alias("label"))
+    return known.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id", "label").limit(max_sample)
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_sample: int = 20_000, n_trees: int = 12,
+        depth: int = 3, penalty: float = 0.001, seed: int = 0) -> RuleModel:
+    """Learn rules from ``(doc_id, text)`` and labels 0/1 by ``doc_id``.
+
+    The sample of ids is small by its bound, so it is sent to the scan, and
+    only texts in it are measured.
+    """
+    ids = F.broadcast(sample_labels(labels, label, max_sample, seed))
+    sample = with_statistics(docs.select("doc_id", "text").join(ids, "doc_id")).select("label", "doc_id", *STATISTICS)
+    sample = staged(staged(sample, "rules-rows").coalesce(1).sortWithinPartitions("doc_id", "label", *STATISTICS).drop("doc_id"), "rules-sample")
     share = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(share) < 2:
         odds = {(): 0.0, (0.0,): -20.0, (1.0,): 20.0}[tuple(share)]
@@ -172,14 +182,13 @@ def held_out(doc_id: Column) -> Column:
 
 def score_documents(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = 0.3,
                     **settings) -> DataFrame:
-    """``docs`` with statistics, ``held_out``, ``score`` and ``predicted``.
+    """``docs`` with ``held_out``, ``score`` and ``predicted``; columns of these names are replaced.
 
-    Learns from labelled documents that are not held out.  Texts are measured
-    once; the measures, not the texts, are staged for the fit.
+    Learns from labelled documents that are not held out, then measures and
+    scores every document in one pass without a shuffle.
     """
-    measured = staged(with_statistics(docs), "statistics")
-    known = labels.select("doc_id", label)
-    learn = measured.filter(~held_out(F.col("doc_id"))).select("doc_id", *STATISTICS).join(known, "doc_id")
-    model = fit(learn, label, **settings)
-    scored = without(measured, ["held_out", "score", "predicted"]).withColumn("score", model.score())
-    return scored.withColumn("held_out", held_out(F.col("doc_id"))).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    model = fit(docs, labels.filter(~held_out(F.col("doc_id"))), label, **settings)
+    base = without(docs, ["held_out", "score", "predicted", *STATISTICS])
+    scored = with_statistics(base).withColumn("score", model.score())
+    return scored.select(*base.columns, held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"))

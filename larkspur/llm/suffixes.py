@@ -31,10 +31,11 @@ from larkspur.llm.substrings import SPANS, runs_of
 OUT = ("n_bytes", "n_removed", "kept", "removed")
 
 
-def remove_repeated_bytes(docs: DataFrame, size: int = 200, lead: int = 48) -> DataFrame:
-    """``docs`` with ``n_bytes``, ``n_removed``, ``kept`` (binary) and ``removed``.
+def remove_repeated_bytes(docs: DataFrame, size: int = 200, lead: int = 48, as_text: bool = False) -> DataFrame:
+    """``docs`` with ``n_bytes``, ``n_removed``, ``kept`` and ``removed``.
 
-    ``removed`` lists the maximal removed runs as ranges of bytes.  Columns of
+    ``kept`` holds the remaining bytes; ``as_text``, it is a string without
+    the parts of characters that a cut may leave.  ``removed`` lists the maximal removed runs as ranges of bytes.  Columns of
     ``docs`` with these names are replaced.
     """
     spec = Repeats(words=False, size=size, anchor=min(lead, size), earlier=False, lead=True)
@@ -43,7 +44,7 @@ def remove_repeated_bytes(docs: DataFrame, size: int = 200, lead: int = 48) -> D
     ranges = covered_ranges(keyed, spec).select(F.col("key").alias("_range_key"), "covers")
     joined = base.withColumn("_key", text_key()).join(ranges, F.col("_key") == F.col("_range_key"), "left").drop("_key", "_range_key")
     schema = T.StructType([*base.schema.fields, T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
-                           T.StructField("kept", T.BinaryType()), T.StructField("removed", SPANS)])
+                           T.StructField("kept", T.StringType() if as_text else T.BinaryType()), T.StructField("removed", SPANS)])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -52,11 +53,12 @@ def remove_repeated_bytes(docs: DataFrame, size: int = 200, lead: int = 48) -> D
                 mask = covered_mask(batch.column("covers"), row, len(text))
                 counts.append(len(text))
                 gone.append(int(mask.sum()))
-                kept.append(np.frombuffer(text, dtype=np.uint8)[~mask].tobytes())
+                left = np.frombuffer(text, dtype=np.uint8)[~mask].tobytes()
+                kept.append(left.decode("utf-8", "ignore") if as_text else left)
                 removed.append([{"start": int(i), "end": int(j)} for i, j in zip(*runs_of(mask))])
             spans = pa.array(removed, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in schema.names[:-4]), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()),
-                 pa.array(kept, pa.binary()), spans], names=schema.names)
+                 pa.array(kept, pa.string() if as_text else pa.binary()), spans], names=schema.names)
 
     return joined.mapInArrow(cut, schema)
