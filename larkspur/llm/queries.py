@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from larkspur.llm import chat, decontaminate, html_text, mixing, near_duplicates, quality, substrings, suffixes
+from larkspur.llm import (
+    chat, decontaminate, fingerprints, html_text, mixing, near_duplicates, quality, substrings, suffixes,
+)
 from larkspur.llm.common import n_words, read_table, staged
 
 QUERIES, SQL = {}, {}
@@ -132,3 +134,9 @@ def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Class, number of similar texts and number of copies of every document."""
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     return near_duplicates.similar_classes(docs).select("doc_id", "class_id", "n_links", "n_copies")
+
+
+@query()
+def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents and their edited texts, compared with them and with the next document."""
+    return fingerprints.compare_with_next(read_table(spark, folder, "documents").select("doc_id", "text"))
