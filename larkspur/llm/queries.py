@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larkspur.llm import (
-    chat, decontaminate, fingerprints, html_text, mixing, near_duplicates, quality, substrings, suffixes,
+    chat, decontaminate, fingerprints, html_text, lm_scores, mixing, near_duplicates, quality, substrings, suffixes,
 )
 from larkspur.llm.common import n_words, read_table, staged
 
@@ -140,3 +140,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of all documents and their edited texts, compared with them and with the next document."""
     return fingerprints.compare_with_next(read_table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query()
+def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Bigram and unigram scores of all documents, learned from those that are not held out."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return lm_scores.score_documents(docs, ~lm_scores.held_out(F.col("doc_id")))
