@@ -110,7 +110,8 @@ def runs(pieces: np.ndarray, first: np.ndarray, n: int, k: int) -> tuple[np.ndar
     width = n - k + 1
     if len(pieces) < width:
         return tuple(np.zeros(0, dtype=np.int64) for _ in range(4))
-    bits = np.uint64(max(1, int(len(pieces)).bit_length()))
+    # The same bits of the hash count in every buffer, so that equal windows agree.
+    bits = np.uint64(max(28, int(len(pieces)).bit_length()))
     places = np.arange(len(pieces), dtype=np.uint64)
     top = (np.uint64(1) << bits) - np.uint64(1)
     least = _sliding_least((pieces >> bits << bits) | (top - places), width)

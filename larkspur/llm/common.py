@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from larkspur.sources.shared import work_path
@@ -42,6 +43,16 @@ def text_bytes(column: pa.ChunkedArray | pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
+def slices(batch: pa.RecordBatch, limit: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """A batch in parts whose texts are together about ``limit`` bytes long."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    low = 0
+    while low < batch.num_rows:
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + limit, side="right")))
+        yield batch.slice(low, high - low)
+        low = high
+
+
 def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 

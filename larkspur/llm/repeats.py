@@ -28,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from larkspur.llm.anchors import Hasher, Words, chunks, merge_ranges, runs
-from larkspur.llm.common import staged, text_bytes
+from larkspur.llm.common import slices, staged, text_bytes
 
 NO_ID = np.iinfo(np.int64).max
 # Bytes of text within which repeated spans are settled before anything is shipped.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 
 
 @dataclass(frozen=True)
@@ -59,10 +59,6 @@ class Repeats:
         return np.frombuffer(b"".join(texts), dtype=np.uint8), None, None, np.cumsum([0] + [len(t) for t in texts])
 
 
-def text_key() -> F.Column:
-    return F.xxhash64("doc_id", "text")
-
-
 def cover_lists(text: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, pa.ListArray]:
     """Maximal ranges of each text that has any, as one list a text."""
     low, high = merge_ranges((text.astype(np.int64) << 32) + low, (text.astype(np.int64) << 32) + high)
@@ -84,7 +80,8 @@ def covered_mask(lists: pa.ListArray | pa.ChunkedArray, row: int, size: int) ->
 
 
 COVER = "ARRAY<STRUCT<lo: INT, hi: INT>>"
-RUN_SCHEMA = "a BIGINT, s BIGINT, key BIGINT, doc BIGINT, lo INT, hi INT, many BOOLEAN, cover " + COVER
+# ``place`` packs a run's first window, number of further windows, and whether its span repeats in its block.
+RUN_SCHEMA = "a BIGINT, s BIGINT, key BIGINT, doc BIGINT, place BIGINT, cover " + COVER
 
 
 def _run_rows(spec: Repeats) -> Callable:
@@ -93,13 +90,12 @@ def _run_rows(spec: Repeats) -> Callable:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            all_texts = list(text_bytes(batch.column("text")))
-            all_keys = batch.column("key").to_numpy()
-            all_docs = batch.column("doc").to_numpy()
-            for low_text, high_text in chunks(all_texts, BLOCK_BYTES):
-                yield from settle(*(x[low_text:high_text] for x in (all_texts, all_keys, all_docs)))
+            for part in slices(batch, BLOCK_BYTES):
+                yield from settle(part)
 
-    def settle(texts: list[bytes], keys: np.ndarray, docs: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def settle(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        texts = list(text_bytes(batch.column("text")))
+        keys, docs = batch.column("_key").to_numpy(), batch.column("_doc").to_numpy()
         parts = []
         for first_text, last_text in chunks(texts):
             data, start, end, first = spec.buffer(texts[first_text:last_text])
@@ -133,7 +129,7 @@ def _run_rows(spec: Repeats) -> Callable:
         ship = np.flatnonzero(ship)
         n_cover = len(cover)
         own_keys = keys[cover_text]
-        zeros = np.zeros(n_cover, dtype=np.int32)
+        place = (low[ship] << 17) | ((high[ship] - low[ship]) << 1) | many[ship]
 
         def both(shipped, passed):
             return pa.array(np.concatenate((shipped, passed)))
@@ -141,10 +137,9 @@ def _run_rows(spec: Repeats) -> Callable:
         yield pa.RecordBatch.from_arrays([
             both(a[ship].view(np.int64), own_keys), both(s[ship].view(np.int64), own_keys),
             both(keys[text[ship]], own_keys), both(doc[ship], own_keys),
-            both(low[ship].astype(np.int32), zeros), both(high[ship].astype(np.int32), zeros),
-            both(many[ship], zeros.astype(bool)),
+            both(place, np.zeros(n_cover, dtype=np.int64)),
             pa.concat_arrays([pa.nulls(len(ship), cover.type), cover]),
-        ], names=["a", "s", "key", "doc", "lo", "hi", "many", "cover"])
+        ], names=["a", "s", "key", "doc", "place", "cover"])
 
     return emit
 
@@ -155,25 +150,25 @@ def _edge_rows(spec: Repeats) -> Callable:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = {c: [] for c in ("a", "lead", "key", "doc", "lo", "open", "wide", "span")}
-            for text, key, doc, edges in zip(text_bytes(batch.column("text")), batch.column("key").to_pylist(),
-                                             batch.column("doc").to_pylist(), batch.column("edges").to_pylist()):
+            rows = {c: [] for c in ("a", "lead", "key", "doc", "lo", "open", "span")}
+            for text, key, doc, edges in zip(text_bytes(batch.column("text")), batch.column("_key").to_pylist(),
+                                             batch.column("_doc").to_pylist(), batch.column("edges").to_pylist()):
                 data, start, end, _ = spec.buffer([text])
                 whole = data.tobytes()
                 for e in edges:
                     low, high = e["lo"], e["hi"] + n - 1
                     span = whole[low:high + 1] if start is None else whole[start[low]:end[high]]
                     for c, v in (("a", e["a"]), ("lead", span[:8]), ("key", key), ("doc", doc), ("lo", low),
-                                 ("open", e["open"]), ("wide", e["wide"]), ("span", span)):
+                                 ("open", e["open"]), ("span", span)):
                         rows[c].append(v)
             types = dict(a=pa.int64(), lead=pa.binary(), key=pa.int64(), doc=pa.int64(), lo=pa.int32(), open=pa.bool_(),
-                         wide=pa.bool_(), span=pa.binary())
+                         span=pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(rows[c], types[c]) for c in types], names=list(types))
 
     return emit
 
 
-EDGE_SCHEMA = "a BIGINT, lead BINARY, key BIGINT, doc BIGINT, lo INT, open BOOLEAN, wide BOOLEAN, span BINARY"
+EDGE_SCHEMA = "a BIGINT, lead BINARY, key BIGINT, doc BIGINT, lo INT, open BOOLEAN, span BINARY"
 
 
 def _windows(spec: Repeats, spans: list[bytes]) -> tuple[np.ndarray, ...]:
@@ -245,32 +240,47 @@ def _wide_rows(spec: Repeats) -> Callable:
     return emit
 
 
-def covered_ranges(keyed: DataFrame, spec: Repeats) -> DataFrame:
-    """``(key, covers)`` of all texts with covered units, for ``(key, doc, text)`` rows.
+def keyed(docs: DataFrame, earlier: bool) -> DataFrame:
+    """``docs`` with ``_key``, which tells texts apart, and ``_doc``, the id that orders them."""
+    order = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) if earlier else F.lit(0).cast("long")
+    return docs.withColumns({"_key": F.xxhash64("doc_id", "text"), "_doc": order})
+
 
-    ``covers`` lists ranges ``[lo, hi)`` of units, which may overlap.
+def covered_ranges(docs: DataFrame, spec: Repeats) -> DataFrame:
+    """``(key, covers)`` of all texts with covered units, for rows of :func:`keyed`.
+
+    ``covers`` lists ranges ``[lo, hi)`` of units, which may overlap.  Texts
+    move to their edges by the same exchange that moves them to their ranges.
     """
-    found = keyed.mapInArrow(_run_rows(spec), RUN_SCHEMA).repartition("a")
+    found = docs.select("_key", "_doc", "text").mapInArrow(_run_rows(spec), RUN_SCHEMA).repartition("a")
     span, anchor = Window.partitionBy("a", "s"), Window.partitionBy("a")
-    covered = F.col("doc") > F.min("doc").over(span) if spec.earlier else (F.count("*").over(span) > 1) | F.max("many").over(span)
+    many = F.max(F.col("place").bitwiseAND(1)).over(span) == 1
+    covered = F.col("doc") > F.min("doc").over(span) if spec.earlier else (F.count("*").over(span) > 1) | many
     ranked = found.withColumns({
-        "rank": F.row_number().over(span.orderBy("key", "lo")), "covered": covered,
+        "rank": F.row_number().over(span.orderBy("key", "place")), "covered": covered,
     }).withColumn("spans", F.sum((F.col("rank") == 1).cast("int")).over(anchor))
     edge = (F.col("spans") > 1) & (~F.col("covered") if spec.earlier else ~F.col("covered") | (F.col("rank") == 1)) & F.col("cover").isNull()
+    low = F.shiftright("place", 17).cast("int")
+    high = low + F.shiftright("place", 1).bitwiseAND(0xFFFF).cast("int")
     settled = ranked.filter(F.col("cover").isNotNull() | F.col("covered") | edge).select(
         "key", "cover", "covered", edge.alias("edge"),
-        F.struct("a", "lo", "hi", (~F.col("covered")).alias("open"), (F.col("spans") > spec.wide).alias("wide")).alias("run"))
+        F.struct("a", low.alias("lo"), high.alias("hi"), (~F.col("covered")).alias("open"),
+                 (F.col("spans") > spec.wide).alias("wide")).alias("run"))
     by_text = settled.groupBy("key").agg(
         F.flatten(F.collect_list("cover")).alias("inner"),
         F.collect_list(F.when(F.col("covered") & F.col("cover").isNull(), F.struct(
             "run.lo", (F.col("run.hi") + spec.size).alias("hi")))).alias("whole"),
         F.collect_list(F.when(F.col("edge"), F.col("run"))).alias("edges"))
     ranges = staged(by_text.select("key", F.concat("inner", "whole").alias("covers"), "edges"), "ranges")
-    edges = keyed.join(ranges.filter(F.size("edges") > 0).select("key", "edges"), "key").mapInArrow(_edge_rows(spec), EDGE_SCHEMA)
-    near = edges.filter("NOT wide")
+
+    def edges(which: str) -> DataFrame:
+        chosen = ranges.select("key", F.filter("edges", lambda e: e["wide"] if which == "wide" else ~e["wide"]).alias("edges"))
+        return docs.join(chosen.filter(F.size("edges") > 0), F.col("_key") == F.col("key")).mapInArrow(_edge_rows(spec), EDGE_SCHEMA)
+
+    near = edges("near")
     near = near.repartitionByRange("lead", "a") if spec.lead else near.repartition("a")
     near = near.sortWithinPartitions("a").mapInArrow(_compare(spec), "key BIGINT, cover " + COVER)
-    rows = edges.filter("wide").mapInArrow(
+    rows = edges("wide").mapInArrow(
         _wide_rows(spec), "h0 BIGINT, h1 BIGINT, key BIGINT, doc BIGINT, open BOOLEAN, lo INT")
     sums = rows.groupBy("h0", "h1").agg(F.min("doc").alias("least"), F.count("*").alias("n"))
     wide = rows.join(sums, ["h0", "h1"]).filter("open AND " + ("doc > least" if spec.earlier else "n > 1")).select(

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from larkspur.llm.anchors import Words
 from larkspur.llm.common import text_bytes, without
-from larkspur.llm.repeats import NO_ID, Repeats, covered_mask, covered_ranges, text_key
+from larkspur.llm.repeats import Repeats, covered_mask, covered_ranges, keyed
 
 OUT = ("n_words", "n_removed", "kept", "removed")
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
@@ -43,10 +43,10 @@ def remove_earlier_words(docs: DataFrame, window: int = 13, seed_words: int = 4)
     are replaced.
     """
     spec = Repeats(words=True, size=window, anchor=min(seed_words, window), earlier=True)
-    base = without(docs, [*OUT, "_key", "covers"])
-    keyed = docs.select(text_key().alias("key"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text")
-    ranges = covered_ranges(keyed, spec).select(F.col("key").alias("_range_key"), "covers")
-    joined = base.withColumn("_key", text_key()).join(ranges, F.col("_key") == F.col("_range_key"), "left").drop("_key", "_range_key")
+    base = without(docs, [*OUT, "_key", "_doc", "key", "covers", "edges"])
+    texts = keyed(base, earlier=True)
+    ranges = covered_ranges(texts, spec)
+    joined = texts.join(ranges, F.col("_key") == F.col("key"), "left")
     schema = T.StructType([*base.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("kept", T.StringType()), T.StructField("removed", SPANS)])
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from larkspur.llm.common import text_bytes, without
-from larkspur.llm.repeats import Repeats, covered_mask, covered_ranges, text_key
+from larkspur.llm.repeats import Repeats, covered_mask, covered_ranges, keyed
 from larkspur.llm.substrings import SPANS, runs_of
 
 OUT = ("n_bytes", "n_removed", "kept", "removed")
@@ -39,10 +39,10 @@ def remove_repeated_bytes(docs: DataFrame, size: int = 200, lead: int = 48, as_t
     ``docs`` with these names are replaced.
     """
     spec = Repeats(words=False, size=size, anchor=min(lead, size), earlier=False, lead=True)
-    base = without(docs, [*OUT, "_key", "covers"])
-    keyed = docs.select(text_key().alias("key"), F.lit(0).cast("long").alias("doc"), "text")
-    ranges = covered_ranges(keyed, spec).select(F.col("key").alias("_range_key"), "covers")
-    joined = base.withColumn("_key", text_key()).join(ranges, F.col("_key") == F.col("_range_key"), "left").drop("_key", "_range_key")
+    base = without(docs, [*OUT, "_key", "_doc", "key", "covers", "edges"])
+    texts = keyed(base, earlier=False)
+    ranges = covered_ranges(texts, spec)
+    joined = texts.join(ranges, F.col("_key") == F.col("key"), "left")
     schema = T.StructType([*base.schema.fields, T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("kept", T.StringType() if as_text else T.BinaryType()), T.StructField("removed", SPANS)])
 
