@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from larkspur.llm.anchors import Hasher, Words, chunks
-from larkspur.llm.common import staged, text_bytes, without
+from larkspur.llm.common import slices, staged, text_bytes, without
 from larkspur.llm.components import components
 
 OUT = ("class_id", "n_links", "n_copies")
@@ -71,7 +71,7 @@ def _signer(size: int, trees: int, depth: int, seed: int):
     step = np.uint64(0x9E3779B97F4A7C15)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 8 << 20)):
             texts = list(text_bytes(batch.column("text")))
             keys = np.zeros((len(texts), trees), dtype=np.uint64)
             some = np.zeros(len(texts), dtype=bool)
