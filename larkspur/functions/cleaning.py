@@ -6,16 +6,16 @@ from pyspark.sql import Column, functions as F, types as T
 
 
 def to_id(text: Column, from_text: bool = True) -> Column:
-    """A 32-bit id; NULL when the value does not read as a number in range.
+    """A 64-bit id; NULL when the value does not read as a number in range.
 
     For text the fraction of a decimal is cut off, which ``try_cast`` alone
     would reject.  The pattern only runs on values the plain cast refuses.
     """
-    whole = text.try_cast("int")
+    whole = text.try_cast("bigint")
     if not from_text:
         return whole
     cut = F.regexp_extract(text, r"^\s*([+-]?\d+)\.\d*\s*$", 1)
-    return F.coalesce(whole, cut.try_cast("int"))
+    return F.coalesce(whole, cut.try_cast("bigint"))
 
 
 def to_float(value: Column) -> Column:

@@ -6,16 +6,19 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from larkspur.functions.cleaning import to_binary_label
 from larkspur.operators.prepare import (
     ASSEMBLED, FEATURES, ID, LABEL, feature_columns, feature_stages, prepare, stage_vectors,
 )
-from larkspur.sources.shared import work_path
+from larkspur.sources.shared import delete_work, work_path
 
 # Penalty names and the share of L1 in each.
 PENALTIES = {"ridge": 0.0, "lasso": 1.0}
+# Slices of a training table, whatever the cluster; raise it with the table.
+PARTS = 16
 
 
 def penalty_mix(penalty: str | None, reg_param: float) -> float:
@@ -33,16 +36,6 @@ def penalty_mix(penalty: str | None, reg_param: float) -> float:
     return PENALTIES[penalty]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a small input one slice per task slot before an iterative fit.
-
-    A fit keeps its input's partitioning for every iteration.  Inputs that
-    already have enough splits, which is any large table, pass untouched.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
-
-
 def logistic(label: str = LABEL, max_iter: int = 10, penalty: str | None = None,
              reg_param: float = 0.0, elastic_net_param: float | None = None,
              tol: float = 1e-6) -> LogisticRegression:
@@ -53,40 +46,55 @@ def logistic(label: str = LABEL, max_iter: int = 10, penalty: str | None = None,
 
 
 def forest(label: str = LABEL, num_trees: int = 20, max_depth: int = 5, seed: int = 0,
-           bootstrap: bool = True, feature_subset: str = "auto") -> RandomForestClassifier:
-    """An unfitted random forest; one seed, one forest."""
+           bootstrap: bool = True, feature_subset: str = "auto", max_bins: int = 32,
+           min_instances: int = 1, subsampling: float = 1.0) -> RandomForestClassifier:
+    """An unfitted random forest; one seed, one forest for rows in a fixed order."""
     return RandomForestClassifier(featuresCol=FEATURES, labelCol=label, numTrees=num_trees,
                                   maxDepth=max_depth, seed=seed, bootstrap=bootstrap,
-                                  featureSubsetStrategy=feature_subset)
+                                  featureSubsetStrategy=feature_subset, maxBins=max_bins,
+                                  minInstancesPerNode=min_instances, subsamplingRate=subsampling)
 
 
 def fit_logistic(df: DataFrame, features: Sequence[str] | None = None, label: str = LABEL,
-                 staged: bool = True, **settings) -> PipelineModel:
+                 staged: bool = True, parts: int = PARTS, **settings) -> PipelineModel:
     """Assemble, scale and fit a logistic regression; ``settings`` as in :func:`logistic`.
 
     ``df`` holds prepared rows.  The fitted scaling is part of the model, so
     new rows are scaled as the training rows were, not by their own spread.
-    With ``staged`` the assembled rows are written once to the shared folder
-    and every pass of the fit reads that table.
+    With ``staged`` the assembled rows are written once to the shared folder,
+    in ``parts`` files, every pass of the fit reads that table, and it is
+    deleted when the fit ends.
     """
-    return _fit(df, features, label, logistic(label, **settings), staged)
+    return _fit(df, features, label, logistic(label, **settings), staged, parts, ordered=False)
 
 
 def fit_forest(df: DataFrame, features: Sequence[str] | None = None, label: str = LABEL,
-               staged: bool = True, **settings) -> PipelineModel:
-    """Assemble, scale and fit a random forest; ``settings`` as in :func:`forest`."""
-    return _fit(df, features, label, forest(label, **settings), staged)
+               staged: bool = True, parts: int = PARTS, **settings) -> PipelineModel:
+    """Assemble, scale and fit a random forest; ``settings`` as in :func:`forest`.
+
+    Rows are dealt into ``parts`` by their content and sorted, so that a seed
+    draws the same rows, and grows the same forest, on any cluster and from
+    any number of files.
+    """
+    return _fit(df, features, label, forest(label, **settings), staged, parts, ordered=True)
 
 
-def _fit(df, features, label, estimator, staged) -> PipelineModel:
+def _fit(df, features, label, estimator, staged, parts, ordered) -> PipelineModel:
     columns = list(features or feature_columns(df.columns, label_col=label))
     assembler, scaler = feature_stages(columns)
     rows = assembler.transform(df.select(label, *columns)).select(label, ASSEMBLED)
-    if staged:
-        single = all(isinstance(df.schema[c].dataType, T.FloatType) for c in columns)
-        rows = stage_vectors(rows, work_path(df.sparkSession, "assembled"), ASSEMBLED, single)
-    scaling = scaler.fit(rows)
-    fitted = estimator.fit(scaling.transform(rows))
+    path = work_path(df.sparkSession, "assembled")
+    try:
+        if staged:
+            single = all(isinstance(df.schema[c].dataType, T.FloatType) for c in columns)
+            rows = stage_vectors(rows.repartition(parts), path, ASSEMBLED, single)
+        if ordered:
+            content = F.xxhash64(label, vector_to_array(ASSEMBLED))
+            rows = rows.withColumn("__content", content).repartition(parts, "__content").sortWithinPartitions("__content").drop("__content")
+        scaling = scaler.fit(rows)
+        fitted = estimator.fit(scaling.transform(rows))
+    finally:
+        delete_work(df.sparkSession, path)
     return PipelineModel(stages=[assembler, scaling, fitted])
 
 
@@ -118,8 +126,6 @@ def score(model: PipelineModel, raw: DataFrame, id_col: str = ID,
 
 def project_predictions(scored: DataFrame, id_col: str = ID, with_probability: bool = False) -> DataFrame:
     """Id and whole-number class; on request the class probabilities too."""
-    from pyspark.ml.functions import vector_to_array
-
     out = [F.col(id_col), F.col("prediction").cast("int").alias("prediction")]
     if with_probability:
         out.append(vector_to_array("probability").alias("probability"))

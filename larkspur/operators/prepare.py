@@ -21,7 +21,7 @@ def feature_columns(columns: Sequence[str], id_col: str = ID, label_col: str = L
 
 
 def type_columns(df: DataFrame, id_col: str = ID, columns: Sequence[str] | None = None) -> DataFrame:
-    """``id`` as int, the rest as 32-bit floats; unreadable values become NULL."""
+    """``id`` as bigint, the rest as 32-bit floats; unreadable values become NULL."""
     chosen = [c for c in (columns or df.columns) if c != id_col]
     return df.select(_id_cell(df, id_col).alias(id_col), *_float_cells(df, chosen))
 
@@ -73,12 +73,7 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     cache, outlives lost executors.
     """
     df.write.mode("overwrite").parquet(path)
-    reader = df.sparkSession.read.schema(df.schema)
-    staged = reader.parquet(path)
-    # A local disk lists files in no fixed order, and seeded sampling depends
-    # on it; shared stores list by name, so long lists need no help.
-    files = staged.inputFiles()
-    return reader.parquet(*sorted(files)) if 0 < len(files) <= 1000 else staged
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stage_vectors(df: DataFrame, path: str, column: str, single: bool = True) -> DataFrame:

@@ -6,7 +6,7 @@ holds most of the points costs no more than an even one.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def measurements(points: DataFrame) -> DataFrame:
@@ -25,8 +25,10 @@ def in_range(points: DataFrame, start=None, end=None) -> DataFrame:
     return points if end is None else points.filter(F.col("ts") < F.lit(str(end)).cast(kind))
 
 
-def pick(points: DataFrame, namespace=None, pod=None) -> DataFrame:
-    """Points of one namespace and/or one pod."""
+def pick(points: DataFrame, namespace=None, pod=None, measurement=None) -> DataFrame:
+    """Points of one namespace, one pod and/or one measurement."""
+    if measurement is not None:
+        points = points.filter(F.col("measurement") == F.lit(measurement))
     if namespace is not None:
         points = points.filter(F.col("namespace") == F.lit(namespace))
     return points if pod is None else points.filter(F.col("pod") == F.lit(pod))
@@ -50,37 +52,22 @@ def pod_usage(points: DataFrame, width: str = "10 seconds", namespace=None, pod=
 
 
 def latest_usage(points: DataFrame, *tags: str) -> DataFrame:
-    """Newest value per tag; points of one instant are settled by the larger id."""
-    return points.groupBy(*tags).agg(
-        F.max_by("value", _recency(points)).alias("value"), F.max("ts").alias("ts"))
+    """Newest value per tag; points of one instant are settled by the larger id.
 
-
-def _recency(points: DataFrame) -> Column:
-    """A column that orders points by time, then id.
-
-    Whole-number ids are packed with the time into one decimal: unlike a
-    struct, a decimal can be updated in place, so the aggregate hashes instead
-    of sorting all points.
+    Two rounds of maxima, the newest time of each tag and then the largest id
+    at it, need no sort of the points, whatever the type of the id.
     """
-    if not isinstance(points.schema["point_id"].dataType, T.IntegralType):
-        return F.struct("ts", "point_id")
-    # Twice the span of a 64-bit id lies between two instants.
-    step = F.lit("20000000000000000000").cast("decimal(20,0)")
-    return _micros(points).cast("decimal(18,0)") * step + F.col("point_id").cast("decimal(20,0)")
-
-
-def _micros(points: DataFrame) -> Column:
-    """``ts`` as a number of microseconds, without regard to any time zone if it has none."""
-    if not isinstance(points.schema["ts"].dataType, T.TimestampNTZType):
-        return F.unix_micros("ts")
-    seconds = (F.datediff(F.col("ts").cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint") * 86400
-               + F.hour("ts") * 3600 + F.minute("ts") * 60)
-    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), F.col("ts")) * 1_000_000).cast("bigint")
+    newest = points.groupBy(*(F.col(t).alias(f"__{t}") for t in tags)).agg(F.max("ts").alias("__ts"))
+    same = [F.col(t).eqNullSafe(F.col(f"__{t}")) for t in tags]
+    at_newest = points.join(newest, [*same, F.col("ts") == F.col("__ts")])
+    return at_newest.groupBy(*tags).agg(F.max_by("value", "point_id").alias("value"), F.max("ts").alias("ts"))
 
 
 def top_usage(points: DataFrame, k: int, *tags: str) -> DataFrame:
-    """The ``k`` tags with the largest newest value; ties go by tag."""
-    return latest_usage(points, *tags).orderBy(F.desc("value"), *tags).limit(k)
+    """For each measurement the ``k`` tags with the largest newest value; ties go by tag."""
+    latest = latest_usage(points, "measurement", *tags)
+    order = Window.partitionBy("measurement").orderBy(F.desc("value"), *tags)
+    return latest.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
 
 
 def alerts(rollup: DataFrame, limit: float, on: str = "mean_value") -> DataFrame:

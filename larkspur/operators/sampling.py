@@ -11,9 +11,15 @@ query.  ``read_keyed_parquet`` gives a key to a table that has none.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from larkspur.sources.shared import work_path
 
+# Rows that one bucket's window should hold, about.
+ROWS_PER_BUCKET = 50_000
 BUCKET, ORDER = "__bucket", "__order"
 POSITION, TOTAL = "pos", "n_rows"
 
@@ -23,11 +29,15 @@ def epoch_digest(key: Column, seed: int, epoch: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:{epoch}:"), key.cast("string")))
 
 
-def shuffled_positions(df: DataFrame, key: str, seed: int, epoch: int, digits: int = 4) -> DataFrame:
+def shuffled_positions(df: DataFrame, key: str, seed: int, epoch: int, digits: int | None = None) -> DataFrame:
     """``df`` with each row's place ``pos`` in the epoch and the row count ``n_rows``.
 
     One shuffle, plus a count per bucket that reads the key column only.
+    ``digits`` sets the number of buckets, ``16 ** digits``; without it, it
+    follows from the number of rows.
     """
+    if digits is None:
+        digits = min(5, max(1, math.ceil(math.log(max(1, df.count() / ROWS_PER_BUCKET), 16))))
     if not 1 <= digits <= 5:
         raise ValueError("digits must be 1..5: the table of bucket starts is broadcast")
     tagged = df.withColumn(ORDER, epoch_digest(F.col(key), seed, epoch))
@@ -35,15 +45,24 @@ def shuffled_positions(df: DataFrame, key: str, seed: int, epoch: int, digits: i
     return _number(tagged, ORDER).drop(ORDER)
 
 
-def ordered_positions(df: DataFrame, key: str, buckets: int = 1024) -> DataFrame:
-    """As :func:`shuffled_positions`, but in the order of a unique numeric key.
+def ordered_positions(df: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
+    """As :func:`shuffled_positions`, but in the order of a unique key.
 
-    Bucket edges come from a quantile sketch, so buckets are even however the
-    keys are spread; positions are exact wherever the edges fall.
+    Buckets are ranges of the key, their number follows from the number of
+    rows unless it is given, and positions are exact wherever the edges fall.
+    Edges of a numeric key come from a quantile sketch; rows with any other
+    key are range-partitioned by it and written once to the work folder, which
+    keeps their buckets fixed for the count and the numbering.
     """
+    buckets = buckets or max(1, math.ceil(df.count() / ROWS_PER_BUCKET))
+    if not isinstance(df.schema[key].dataType, T.NumericType):
+        path = work_path(df.sparkSession, "ranges")
+        ranged = df.repartitionByRange(buckets, key).withColumn(BUCKET, F.spark_partition_id())
+        ranged.write.parquet(path)
+        return _number(df.sparkSession.read.schema(ranged.schema).parquet(path), key)
     as_number = df.withColumn(ORDER, F.col(key).cast("double"))
     shares = [i / buckets for i in range(1, buckets)]
-    inner = sorted(set(as_number.approxQuantile(ORDER, shares, 0.5 / buckets)))
+    inner = sorted(set(as_number.approxQuantile(ORDER, shares, 0.5 / buckets) if shares else []))
     edges = [float("-inf"), *inner, float("inf")]
     if len(edges) < 3:
         tagged = as_number.withColumn(BUCKET, F.lit(0))
@@ -104,10 +123,10 @@ def batches(shards: DataFrame, batch_size: int) -> DataFrame:
 
 
 def epoch_batches(df: DataFrame, key: str, seed: int, epoch: int, world: int, batch_size: int,
-                  shuffle: bool = True, digits: int = 4) -> DataFrame:
+                  shuffle: bool = True, digits: int | None = None, buckets: int | None = None) -> DataFrame:
     """Order, shard and batch one epoch: adds ``pos, n_rows, rank, slot, batch``."""
     if shuffle:
         placed = shuffled_positions(df, key, seed, epoch, digits)
     else:
-        placed = ordered_positions(df, key)
+        placed = ordered_positions(df, key, buckets)
     return batches(shard(placed, world), batch_size)

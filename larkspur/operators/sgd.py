@@ -24,8 +24,6 @@ from larkspur.sources.shared import work_path
 
 HISTORY_SCHEMA = ("epoch INT, batch INT, batch_rows BIGINT, n_batches INT, n_rows BIGINT, "
                   "loss DOUBLE")
-# Most partial sums that may reach the driver in one step: 8 MB of doubles.
-COLLECT_LIMIT = 1_000_000
 EPOCHS_SCHEMA = "epoch INT, lr DOUBLE, test_loss DOUBLE, accuracy DOUBLE"
 
 
@@ -44,6 +42,7 @@ class Settings:
     patience: int = 2
     target_accuracy: float = 0.8
     steps_per_block: int = 64
+    digits: int | None = None
 
 
 @dataclass
@@ -87,12 +86,10 @@ def _labelled(rows: DataFrame) -> DataFrame:
     return rows.select("features", F.col("label").cast("int").alias("label"))
 
 
-def batch_sums(rows: DataFrame, weights: np.ndarray, tasks: int | None = None) -> tuple[np.ndarray, float, int]:
+def batch_sums(rows: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, float, int]:
     """Summed softmax gradient, summed loss and row count of ``(features, label)`` rows.
 
-    Partial sums come straight to the driver when ``tasks`` of them are few
-    numbers; otherwise, or when the number of tasks is unknown, a shuffle adds
-    them up first and the driver gets one number per weight.
+    Tasks' sums are added up in the cluster; the driver gets one number per weight.
     """
     n_classes, width = weights.shape
     n_cells = n_classes * width + 2
@@ -116,9 +113,7 @@ def batch_sums(rows: DataFrame, weights: np.ndarray, tasks: int | None = None) -
                 [pa.array(np.arange(n_cells, dtype=np.int32)), pa.array(values)], ["cell", "value"])
 
     cells = _labelled(rows).mapInArrow(partial, "cell INT, value DOUBLE")
-    if (tasks or COLLECT_LIMIT) * n_cells > COLLECT_LIMIT:
-        cells = cells.groupBy("cell").agg(F.sum("value").alias("value"))
-    sums = cells.toArrow()
+    sums = cells.groupBy("cell").agg(F.sum("value").alias("value")).toArrow()
     total = np.bincount(sums["cell"], weights=sums["value"], minlength=n_cells)
     return total[:-2].reshape(n_classes, width), float(total[-2]), int(total[-1])
 
@@ -168,7 +163,8 @@ def write_epoch(df: DataFrame, key: str, epoch: int, settings: Settings, path: s
     directories of ``steps_per_block``, so reading one opens few files.  The
     next epoch replaces this one: only a single copy of the data exists.
     """
-    rows = epoch_batches(df, key, settings.seed, epoch, settings.world, settings.batch_size)
+    rows = epoch_batches(df, key, settings.seed, epoch, settings.world, settings.batch_size,
+                         digits=settings.digits)
     placed = rows.select(
         F.col("batch").cast("int").alias("step"), "features", F.col("label").cast("int").alias("label"),
         F.expr(f"cast(batch div {int(settings.steps_per_block)} as int)").alias("block"))
@@ -204,9 +200,8 @@ def train(df: DataFrame, test: DataFrame, key: str, settings: Settings = Setting
             block = (spark.read.schema(step_schema)
                      .parquet(f"{path}/block={first // settings.steps_per_block}")
                      .persist(StorageLevel.MEMORY_AND_DISK))
-            tasks = block.rdd.getNumPartitions()
             for step in range(first, min(first + settings.steps_per_block, n_steps)):
-                grad, loss, count = batch_sums(block.filter(F.col("step") == step), result.weights, tasks)
+                grad, loss, count = batch_sums(block.filter(F.col("step") == step), result.weights)
                 result.weights = optimizer.step(result.weights, grad / count, lr_state[0])
                 result.steps.append((epoch, step, count, n_steps, n_rows, loss / count))
             block.unpersist()

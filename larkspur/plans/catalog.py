@@ -45,31 +45,39 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 FEATURES = ["discount", "extendedprice", "quantity", "tax"]
 
 
-def _text_view(spark, folder) -> DataFrame:
+def _text_view(spark, folder, label: str = "l_returnflag = 'R'") -> DataFrame:
     """lineitem as an untyped table: ``id, label, <features>``, all strings."""
-    cols = {"id": F.col("l_orderkey"), "label": (F.col("l_returnflag") == "R").cast("int"),
+    cols = {"id": F.col("l_orderkey"), "label": F.expr(label).cast("int"),
             "quantity": F.col("l_quantity"), "extendedprice": F.col("l_extendedprice"),
             "discount": F.col("l_discount"), "tax": F.col("l_tax")}
     return table(spark, folder, "lineitem").select(*(c.cast("string").alias(n) for n, c in cols.items()))
 
 
-TEXT_SQL = """text_view AS (
+def _text_sql(label: str) -> str:
+    return f"""text_view AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS id,
-         CASE WHEN l_returnflag = 'R' THEN '1' ELSE '0' END AS label,
+         CASE WHEN {label} THEN '1' ELSE '0' END AS label,
          CAST(l_quantity AS VARCHAR) AS quantity, CAST(l_extendedprice AS VARCHAR) AS extendedprice,
          CAST(l_discount AS VARCHAR) AS discount, CAST(l_tax AS VARCHAR) AS tax
   FROM lineitem)"""
 
 
+TEXT_SQL = _text_sql("l_returnflag = 'R'")
+
+
 def _spoil(value: Column, key: Column) -> Column:
     kind = F.pmod(key.cast("bigint"), F.lit(17))
     return (F.when(kind == 1, "").when(kind == 2, "  ").when(kind == 3, "NaN").when(kind == 4, "abc")
             .when(kind == 5, F.lit(None)).otherwise(value))
 
 
-def _dirty_view(spark, folder) -> DataFrame:
+# Labels that features decide: by quantity alone, and so with a fifth of the rows turned round.
+RULE, NOISY_RULE = "l_quantity > 25", "(l_quantity > 25) <> (l_orderkey % 5 = 0)"
+
+
+def _dirty_view(spark, folder, label: str = NOISY_RULE) -> DataFrame:
     """The untyped view with blank, NaN, unreadable and NULL values put in."""
-    view = _text_view(spark, folder)
+    view = _text_view(spark, folder, label)
     return view.withColumns({"quantity": _spoil(F.col("quantity"), F.col("id")),
                              "tax": _spoil(F.col("tax"), F.col("id").cast("bigint") + 6)})
 
@@ -79,13 +87,13 @@ def _spoil_sql(value, key):
             f"WHEN 5 THEN NULL ELSE {value} END AS {value}")
 
 
-DIRTY_SQL = f"""{TEXT_SQL}, dirty AS (
+DIRTY_SQL = f"""{_text_sql("(l_quantity > 25) <> (l_orderkey % 5 = 0)")}, dirty AS (
   SELECT id, label, {_spoil_sql('quantity', 'CAST(id AS BIGINT)')}, extendedprice, discount,
          {_spoil_sql('tax', 'CAST(id AS BIGINT) + 6')}
   FROM text_view)"""
 
 TYPED_SQL = f"""{DIRTY_SQL}, typed AS (
-  SELECT TRY_CAST(id AS INTEGER) AS id, TRY_CAST(label AS FLOAT) AS label,
+  SELECT TRY_CAST(id AS BIGINT) AS id, TRY_CAST(label AS FLOAT) AS label,
          TRY_CAST(quantity AS FLOAT) AS quantity, TRY_CAST(extendedprice AS FLOAT) AS extendedprice,
          TRY_CAST(discount AS FLOAT) AS discount, TRY_CAST(tax AS FLOAT) AS tax
   FROM dirty), complete AS (
@@ -162,9 +170,7 @@ SELECT vec_id, label,
 FROM embeddings""")
 def array_parts(spark, folder):
     path = f"{folder}/embeddings.parquet"
-    parts = [arrays.read_arrays(spark, path, part, "vec_id").select("vec_id", "label", F.lit(part).alias("part"))
-             for part in ("train", "test")]
-    return parts[0].unionByName(parts[1])
+    return arrays.read_arrays(spark, path).select("vec_id", "label", arrays.part_of(F.col("vec_id")).alias("part"))
 
 
 @query("binary_object_table", """
@@ -182,12 +188,19 @@ def binary_object_table(spark, folder):
 
 
 @query("binary_file_scan", """
-SELECT lang, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS bytes FROM documents GROUP BY 1""")
+SELECT 'lang=' || lang || '/part=' || CAST(doc_id % 4 AS VARCHAR) AS folder,
+       CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS length,
+       md5(string_agg(text || chr(10), '' ORDER BY doc_id)) AS digest
+FROM documents GROUP BY lang, doc_id % 4""")
 def binary_file_scan(spark, folder):
+    """Path, length and content of files that hold whole groups of texts, scanned from a URI with its scheme."""
     path = work_path(spark, "files")
-    docs = table(spark, folder, "documents").select("lang", F.col("text").alias("value"))
-    docs.write.option("maxRecordsPerFile", 10_000).partitionBy("lang").text(path)
-    return objects.read_files(spark, path).groupBy("lang").agg(F.sum("length").alias("bytes"))
+    docs = table(spark, folder, "documents").select("lang", (F.col("doc_id") % 4).alias("part"), "doc_id", "text")
+    (docs.repartition("lang", "part").sortWithinPartitions("lang", "part", "doc_id")
+     .select("lang", "part", F.col("text").alias("value")).write.partitionBy("lang", "part").text(path))
+    uri = path if "://" in path or path.startswith("file:") else f"file:{path}"
+    return objects.read_files(spark, uri).select(
+        F.regexp_extract("path", "(lang=[^/]*/part=[^/]*)/[^/]*$", 1).alias("folder"), "length", F.md5("content").alias("digest"))
 
 
 # --------------------------------------------------- typing, cleaning, scaling
@@ -358,25 +371,25 @@ def prediction_csv(spark, folder):
 
 def _model_rows(spark, folder) -> DataFrame:
     rows = table(spark, folder, "lineitem")
-    return classify.spread(prep.prepare(rows.select(
+    return prep.prepare(rows.select(
         F.col("l_orderkey").alias("id"), (F.col("l_returnflag") == "R").cast("int").alias("label"),
         F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("extendedprice"),
-        F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"))))
+        F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax")))
 
 
 def _cell_rows(spark, folder) -> DataFrame:
     """Two binary features whose cells differ in their share of label 1."""
     crossed = (F.col("l_quantity") > 25) != (F.col("l_discount") > 0.05)
-    return classify.spread(prep.prepare(table(spark, folder, "lineitem").select(
+    return prep.prepare(table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("id"),
         (crossed != (F.col("l_returnflag") == "R")).cast("int").alias("label"),
         (F.col("l_quantity") > 25).cast("int").alias("large"),
         (F.col("l_discount") > 0.05).cast("int").alias("cheap"),
-        crossed.cast("int").alias("crossed"))))
+        crossed.cast("int").alias("crossed")))
 
 
 CELL_SQL = """cells AS (
-  SELECT CAST(l_orderkey AS INTEGER) AS id, l_quantity > 25 AS large, l_discount > 0.05 AS cheap,
+  SELECT CAST(l_orderkey AS BIGINT) AS id, l_quantity > 25 AS large, l_discount > 0.05 AS cheap,
          (l_quantity > 25) <> (l_discount > 0.05) AS crossed,
          CAST(((l_quantity > 25) <> (l_discount > 0.05)) <> (l_returnflag = 'R') AS INTEGER) AS label
   FROM lineitem)"""
@@ -441,18 +454,22 @@ def logistic_calibration(spark, folder):
 
 
 @query("libsvm_training", """
-SELECT count(*) AS rows, round(avg(CAST(label >= 5 AS DOUBLE)), 4) AS label,
-       round(avg(CAST(label >= 5 AS DOUBLE)), 4) AS probability FROM embeddings""")
+SELECT CAST(i - 1 AS INTEGER) AS slot, count(*) AS rows,
+       round(avg(CAST(label >= 5 AS DOUBLE) * CAST(embedding[i] AS DOUBLE)), 4) + 0.0 AS label_balance,
+       round(avg(CAST(label >= 5 AS DOUBLE) * CAST(embedding[i] AS DOUBLE)), 4) + 0.0 AS probability_balance
+FROM embeddings, range(1, 65) AS r(i) GROUP BY 1""")
 def libsvm_training(spark, folder):
-    """Labels coded -1/1 in libsvm; a converged fit has their mean as its mean probability."""
+    """Labels coded -1/1 in libsvm; on every feature a converged fit weighs probabilities as labels."""
     text, model = work_path(spark, "libsvm"), work_path(spark, "model")
     _signed_vectors(spark, folder).write.format("libsvm").save(text)
-    jobs.train_libsvm(spark, text, model, 64)
-    rows = tables.read_libsvm(spark, text, 64)
-    scored = models.load_model(model).transform(rows)
-    return scored.agg(
-        F.count(F.lit(1)).alias("rows"), F.round(F.avg(to_binary_label(F.col("label"))), 4).alias("label"),
-        F.round(F.avg(F.element_at(vector_to_array("probability"), 2)), 4).alias("probability"))
+    jobs.train_libsvm(spark, text, model, 64, classify.logistic(max_iter=300, tol=1e-12))
+    scored = models.load_model(model).transform(tables.read_libsvm(spark, text, 64))
+    values = scored.select(
+        to_binary_label(F.col("label")).alias("y"), F.element_at(vector_to_array("probability"), 2).alias("p"),
+        F.posexplode(vector_to_array("features")).alias("slot", "v"))
+    return values.groupBy("slot").agg(
+        F.count(F.lit(1)).alias("rows"), (F.round(F.avg(F.col("y") * F.col("v")), 4) + 0.0).alias("label_balance"),
+        (F.round(F.avg(F.col("p") * F.col("v")), 4) + 0.0).alias("probability_balance"))
 
 
 def _signed_vectors(spark, folder) -> DataFrame:
@@ -461,13 +478,19 @@ def _signed_vectors(spark, folder) -> DataFrame:
         array_to_vector(vectors.to_dtype(F.col("embedding"), "fp64")).alias("features"))
 
 
-@query("training_history")
+@query("training_history", f"""WITH {CELL_SQL}, h AS (SELECT avg(label) AS p FROM cells)
+SELECT round(-p * ln(p) - (1 - p) * ln(1 - p), 6) AS first_objective, 0 AS rises FROM h""")
 def training_history(spark, folder):
-    model = classify.fit_logistic(_model_rows(spark, folder), max_iter=11, penalty="ridge", reg_param=2.5e-6)
-    return classify.training_history(spark, model)
+    """The objective starts at the labels' entropy and never rises."""
+    rows = _cell_rows(spark, folder).select("id", "label", "large", "cheap")
+    history = classify.training_history(spark, classify.fit_logistic(rows, max_iter=11, penalty="ridge", reg_param=2.5e-6))
+    after = history.select((F.col("iteration") - 1).alias("iteration"), F.col("objective").alias("next"))
+    return history.join(after, "iteration", "left").agg(
+        F.round(F.min_by("objective", "iteration"), 6).alias("first_objective"),
+        F.count_if(F.col("next") > F.col("objective") + 1e-12).cast("int").alias("rises"))
 
 
-def _descent_sql(rounds: int = 40) -> str:
+def _descent_sql(rounds: int = 400) -> str:
     """The same optimum by gradient descent on centred, scaled features: ``fit`` holds its weights."""
     centred = ", ".join(f"({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () AS x{i}"
                         for i, c in enumerate(FEATURES))
@@ -492,16 +515,18 @@ def logistic_predictions(spark, folder):
     """From dirty CSV text to ``(id, prediction)``, through a saved model."""
     text, model, out = (work_path(spark, n) for n in ("text", "model", "predictions"))
     _dirty_view(spark, folder).write.option("header", True).csv(text)
-    jobs.run(spark, text, text, model, out)
-    return tables.read_csv(spark, out, "id INT, prediction INT")
+    jobs.run(spark, text, text, model, out, max_iter=200, tol=1e-12)
+    return tables.read_csv(spark, out, "id BIGINT, prediction INT")
 
 
-@query("forest_predictions")
+@query("forest_predictions", f"""WITH {TYPED_SQL}
+SELECT id, CAST(quantity > 25 AS INTEGER) AS prediction FROM complete""")
 def forest_predictions(spark, folder):
+    """Twenty bootstrapped trees over all features must return the rule that made the labels."""
     text, model, out = (work_path(spark, n) for n in ("text", "model", "predictions"))
-    _dirty_view(spark, folder).write.option("header", True).csv(text)
-    jobs.run(spark, text, text, model, out, algorithm="forest")
-    return tables.read_csv(spark, out, "id INT, prediction INT")
+    _dirty_view(spark, folder, RULE).write.option("header", True).csv(text)
+    jobs.run(spark, text, text, model, out, algorithm="forest", feature_subset="all", max_bins=64)
+    return tables.read_csv(spark, out, "id BIGINT, prediction INT")
 
 
 @query("penalized_fits", f"""WITH RECURSIVE {CELL_SQL},
@@ -529,20 +554,23 @@ def penalized_fits(spark, folder):
     return fits[0].unionByName(fits[1]).select("penalty", F.round("coefficient", 4).alias("coefficient"))
 
 
-@query("penalty_coefficients")
+@query("penalty_coefficients", """
+SELECT p AS penalty, f AS feature, p = 'lasso' AND f <> 'quantity' AS is_zero
+FROM (VALUES ('ridge'), ('lasso')) AS a(p), (VALUES ('quantity'), ('linenumber'), ('discount'), ('tax')) AS b(f)""")
 def penalty_coefficients(spark, folder):
+    """Ridge keeps every feature; lasso keeps the one that decides the label."""
     rows = _planted_rows(spark, folder)
-    fits = [classify.coefficients(spark, classify.fit_logistic(rows, penalty=p, reg_param=0.05))
+    fits = [classify.coefficients(spark, classify.fit_logistic(rows, max_iter=100, penalty=p, reg_param=0.05))
             .withColumn("penalty", F.lit(p)) for p in ("ridge", "lasso")]
-    return fits[0].unionByName(fits[1])
+    return fits[0].unionByName(fits[1]).select("penalty", "feature", (F.col("coefficient") == 0).alias("is_zero"))
 
 
 def _planted_rows(spark, folder) -> DataFrame:
     """Label decided by quantity; every other feature is unrelated to it."""
-    return classify.spread(prep.prepare(table(spark, folder, "lineitem").select(
+    return prep.prepare(table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("id"), (F.col("l_quantity") > 25).cast("int").alias("label"),
         F.col("l_quantity").alias("quantity"), F.col("l_linenumber").alias("linenumber"),
-        F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"))))
+        F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax")))
 
 
 @query("selected_features", """
@@ -555,12 +583,60 @@ def selected_features(spark, folder):
     return classify.select_features(_planted_rows(spark, folder)).select("feature")
 
 
-@query("benchmark_summary")
+_TRAIN_ORDERS = f"substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8) < '{arrays.share_cut(0.8)}'"
+
+
+@query("benchmark_summary", f"""
+WITH t AS (SELECT count(*) AS n, avg(CAST((l_orderkey % 5 <> 0) AS DOUBLE)) AS a FROM lineitem WHERE NOT ({_TRAIN_ORDERS}))
+SELECT c AS config, n AS test_rows, round(a, 6) AS accuracy
+FROM t, (VALUES ('max_iter=11, penalty=ridge, reg_param=2.5e-06'), ('max_iter=10')) AS k(c)""")
 def benchmark_summary(spark, folder):
-    rows = prep.stage(_model_rows(spark, folder), work_path(spark, "prepared"))
-    chosen = arrays.in_train_part(F.concat_ws(":", "id", "extendedprice", "quantity"))
-    return jobs.benchmark(spark, rows.filter(chosen), rows.filter(~chosen), [
+    """One feature that four rows of five obey: a fit is right on just those."""
+    large = F.col("l_quantity") > 25
+    rows = table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("id"), (large != (F.col("l_orderkey") % 5 == 0)).cast("int").alias("label"),
+        large.cast("int").alias("large"))
+    rows = prep.stage(prep.prepare(rows), work_path(spark, "prepared"))
+    chosen = arrays.in_train_part(F.col("id"))
+    result = jobs.benchmark(spark, rows.filter(chosen), rows.filter(~chosen), [
         {"max_iter": 11, "penalty": "ridge", "reg_param": 2.5e-6}, {"max_iter": 10}])
+    return result.select("config", "test_rows", F.round("accuracy", 6).alias("accuracy"))
+
+
+@query("wide_benchmark", f"""
+WITH r AS (SELECT CAST(label >= 5 AS INTEGER) AS y, {_TRAIN_ORDERS.replace("l_orderkey", "vec_id")} AS train FROM embeddings),
+p AS (SELECT avg(y) FILTER (train) AS p, count(*) FILTER (train) AS train_rows, count(*) FILTER (NOT train) AS test_rows FROM r)
+SELECT train_rows, test_rows, 2144 AS features, round(-p * ln(p) - (1 - p) * ln(1 - p), 6) AS first_objective, 0 AS rises FROM p""")
+def wide_benchmark(spark, folder):
+    """Train and test at the width of the published run: 64 values and their 2,080 products."""
+    return wide_run(spark, folder).select(
+        "train_rows", "test_rows", "features", F.round("first_objective", 6).alias("first_objective"), "rises")
+
+
+def wide_run(spark, folder) -> DataFrame:
+    """Rows, seconds and accuracy of the wide fit and test, from vectors staged before the clock starts."""
+    products = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: F.transform(
+        F.slice("e", i, F.lit(64)), lambda v: v * F.element_at("e", i))))
+    rows = table(spark, folder, "embeddings").select(
+        "vec_id", (F.col("label") >= 5).cast("double").alias("label"), vectors.to_dtype(F.col("embedding"), "fp64").alias("e"))
+    wide = rows.select("vec_id", "label", array_to_vector(F.concat("e", products)).alias(prep.ASSEMBLED))
+    staged = prep.stage_vectors(wide, work_path(spark, "wide"), prep.ASSEMBLED)
+    chosen = arrays.in_train_part(F.col("vec_id"))
+    return jobs.benchmark_vectors(spark, staged.filter(chosen), staged.filter(~chosen),
+                                  max_iter=11, penalty="ridge", reg_param=2.5e-6)
+
+
+@query("wide_ids", """
+SELECT l_orderkey + 3000000000 AS id, CAST(l_quantity > 25 AS INTEGER) AS prediction FROM lineitem""")
+def wide_ids(spark, folder):
+    """Ids beyond 32 bits come back from training, scoring and the prediction file."""
+    large = (F.col("l_quantity") > 25).cast("int")
+    text, model, out = (work_path(spark, n) for n in ("text", "model", "predictions"))
+    table(spark, folder, "lineitem").select(
+        (F.col("l_orderkey") + 3_000_000_000).alias("id"), large.alias("label"), large.alias("large"),
+        F.col("l_tax").alias("tax")).write.option("header", True).csv(text)
+    jobs.run(spark, text, text, model, out)
+    return tables.read_csv(spark, out, "id BIGINT, prediction INT")
 
 
 # ----------------------------------------------------------------- evaluation
@@ -638,6 +714,18 @@ def key_order(spark, folder):
     return sampling.ordered_positions(table(spark, folder, "events").select("event_id"), "event_id")
 
 
+_TEXT_KEY = "event_type || ':' || lpad(CAST(event_id AS VARCHAR), 9, '0')"
+
+
+@query("text_key_shards", f"""WITH keyed AS (SELECT event_id, {_TEXT_KEY} AS key FROM events),
+{_order_sql('key', 'keyed')}, {SHARD_SQL} SELECT * FROM sharded""")
+def text_key_shards(spark, folder):
+    """Rank shards in the order of a text key."""
+    keyed = table(spark, folder, "events").select("event_id", F.concat(
+        "event_type", F.lit(":"), F.lpad(F.col("event_id").cast("string"), 9, "0")).alias("key"))
+    return sampling.shard(sampling.ordered_positions(keyed, "key", buckets=16), WORLD).drop("key")
+
+
 @query("rank_shards", f"WITH {_order_sql(_SHUFFLED)}, {SHARD_SQL} SELECT * FROM sharded")
 def rank_shards(spark, folder):
     return sampling.shard(epoch_order(spark, folder), WORLD)
@@ -838,12 +926,12 @@ def pod_usage(spark, folder):
 
 
 @query("picked_pod_usage", _rollup_sql("namespace", "pod").replace("FROM events GROUP", """FROM events
-WHERE ts >= (SELECT min(ts) FROM events) AND ts < (SELECT max(ts) FROM events) GROUP"""))
+WHERE CAST(user_id % 5 AS INTEGER) = 2 AND ts >= TIMESTAMP '2024-01-05 06:00:00' AND ts < TIMESTAMP '2024-01-20 12:30:00'
+GROUP"""))
 def picked_pod_usage(spark, folder):
-    """The dashboard's time-range picker, set from the first to just before the last point."""
+    """The dashboard's pickers: one namespace, a time range in the middle."""
     rows = _points(table(spark, folder, "events"))
-    start, end = rows.agg(F.min("ts"), F.max("ts")).first()
-    return _rounded(rollup.pod_usage(rows, WIDTH, start=start, end=end))
+    return _rounded(rollup.pod_usage(rows, WIDTH, namespace=2, start="2024-01-05 06:00:00", end="2024-01-20 12:30:00"))
 
 
 @query("latest_usage", """
@@ -854,12 +942,24 @@ def latest_usage(spark, folder):
 
 
 @query("top_pods", """
-WITH latest AS (SELECT user_id AS pod, arg_max(value, (ts, event_id)) AS value, max(ts) AS ts FROM events GROUP BY 1)
-SELECT * FROM latest ORDER BY value DESC, pod LIMIT 10""")
+WITH latest AS (SELECT event_type AS measurement, user_id AS pod, arg_max(value, (ts, event_id)) AS value, max(ts) AS ts
+                FROM events GROUP BY 1, 2)
+SELECT *, CAST(row_number() OVER (PARTITION BY measurement ORDER BY value DESC, pod) AS INTEGER) AS place
+FROM latest QUALIFY place <= 10""")
 def top_pods(spark, folder):
+    """The ten pods with the largest newest value of each measurement."""
     return rollup.top_usage(_points(table(spark, folder, "events")), 10, "pod")
 
 
+@query("top_namespaces", """
+WITH latest AS (SELECT event_type AS measurement, CAST(user_id % 5 AS INTEGER) AS namespace,
+                       arg_max(value, (ts, event_id)) AS value, max(ts) AS ts FROM events GROUP BY 1, 2)
+SELECT *, CAST(row_number() OVER (PARTITION BY measurement ORDER BY value DESC, namespace) AS INTEGER) AS place
+FROM latest QUALIFY place <= 2""")
+def top_namespaces(spark, folder):
+    return rollup.top_usage(_points(table(spark, folder, "events")), 2, "namespace")
+
+
 @query("usage_alerts", _rollup_sql(having="HAVING avg(value) > 31.4159"))
 def usage_alerts(spark, folder):
     return _rounded(rollup.alerts(rollup.usage_over_time(_points(table(spark, folder, "events")), WIDTH), 31.4159))
@@ -879,19 +979,36 @@ def point_stream_copy(spark, folder):
     return spark.read.parquet(out)
 
 
-def _streamed_usage(spark, folder) -> DataFrame:
-    out = work_path(spark, "windows")
-    rollups.write_updates(rollups.rollup_stream(_point_stream(spark, folder), WIDTH),
-                          out, work_path(spark, "progress"))
-    windows = rollups.read_updates(spark, out)
+# Long enough for the whole table, whatever order its files come in.
+DELAY = "100 days"
+
+
+def _scattered_stream(spark, folder) -> DataFrame:
+    """The events dealt into several files by a hash, read one file a micro-batch."""
+    path = work_path(spark, "landed")
+    events = table(spark, folder, "events")
+    events.repartition(3, F.xxhash64("event_id")).write.parquet(path)
+    return _points(points.read_points_stream(spark, path, events.schema, files_per_trigger=1))
+
+
+def _plain_time(windows: DataFrame) -> DataFrame:
     return windows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @query("streamed_usage", _rollup_sql())
 def streamed_usage(spark, folder):
-    return _rounded(_streamed_usage(spark, folder))
+    out = work_path(spark, "windows")
+    windows = rollups.rollup_stream(_scattered_stream(spark, folder), WIDTH, DELAY)
+    read = rollups.write_updates(windows, out, work_path(spark, "progress"))
+    if late := rollups.late_points(spark, out, read):
+        raise RuntimeError(f"{late} points came too late")
+    return _rounded(_plain_time(rollups.read_updates(spark, out)))
 
 
 @query("streamed_alerts", _rollup_sql(having="HAVING avg(value) > 31.4159"))
 def streamed_alerts(spark, folder):
-    return _rounded(rollup.alerts(_streamed_usage(spark, folder), 31.4159))
+    """Alerts are raised and withdrawn by the stream itself, a window a row."""
+    out = work_path(spark, "alerts")
+    windows = rollups.rollup_stream(_scattered_stream(spark, folder), WIDTH, DELAY)
+    rollups.write_updates(rollups.with_alerts(windows, 31.4159), out, work_path(spark, "progress"))
+    return _rounded(_plain_time(rollups.read_alerts(spark, out)))

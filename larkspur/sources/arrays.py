@@ -21,6 +21,11 @@ def read_arrays(spark: SparkSession, path: str, part: str | None = None, key: st
     return rows.filter(chosen if part == "train" else ~chosen)
 
 
+def part_of(key: Column, train_share: float = 0.8) -> Column:
+    """The part of a key, ``"train"`` or ``"test"``, for one scan that tells both."""
+    return F.when(in_train_part(key, train_share), "train").otherwise("test")
+
+
 def in_train_part(key: Column, train_share: float = 0.8) -> Column:
     """True for the share of keys whose digest falls below the cut."""
     if not 0.0 < train_share < 1.0:

@@ -42,12 +42,17 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{_work_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def delete_work(spark: SparkSession, path: str) -> None:
+    """Delete one table of the work folder, if it is there."""
+    if not path.startswith(_work_root(spark)):
+        raise ValueError(f"{path} is not in the work folder")
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(found, True)
+
+
 def clear_work(spark: SparkSession) -> None:
     """Delete every table this application has put in its work folder.
 
-    Call it when nothing read from those tables is needed any more: staged
-    training rows also back the summary of a model fitted in this session.
+    Call it when nothing read from those tables is needed any more.
     """
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(_work_root(spark))
-    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+    delete_work(spark, _work_root(spark))

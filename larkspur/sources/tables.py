@@ -10,10 +10,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
     Without ``schema`` the header is read and every column is a string.  With
     a schema the header peek is skipped and values are parsed while scanning;
-    text that does not fit its type reads as NULL.
+    text that does not fit its type reads as NULL, and every file's header
+    must name the schema's columns in its order.
     """
     reader = spark.read.option("header", True)
-    return reader.schema(schema).csv(path) if schema is not None else reader.csv(path)
+    if schema is None:
+        return reader.csv(path)
+    # A file whose header names other columns, or in another order, fails instead of being read by position.
+    return reader.option("enforceSchema", False).schema(schema).csv(path)
 
 
 def read_feature_csv(spark: SparkSession, path: str, id_col: str = "id") -> DataFrame:

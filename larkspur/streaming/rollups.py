@@ -17,29 +17,62 @@ def copy_stream(stream: DataFrame, path: str, checkpoint: str) -> None:
      .trigger(availableNow=True).start().awaitTermination())
 
 
-def rollup_stream(points: DataFrame, width: str = "10 seconds", delay: str = "1 minute",
-                  *tags: str) -> DataFrame:
+def rollup_stream(points: DataFrame, width: str, delay: str, *tags: str) -> DataFrame:
     """Windowed rollup of an unbounded table.
 
-    ``delay`` is how long a window stays open for late points.  State is one
+    ``delay`` is how long a window stays open for late points; a point later
+    than that is left out, and :func:`late_points` counts them.  State is one
     row per open window, measurement and tag.
     """
     timed = with_event_time(points).withWatermark("ts", delay)
     return usage_over_time(timed, width, *tags)
 
 
-def write_updates(rollup: DataFrame, path: str, checkpoint: str) -> None:
+def with_alerts(rollup: DataFrame, limit: float, on: str = "mean_value") -> DataFrame:
+    """A rollup whose windows say whether they are over the limit.
+
+    It filters nothing, so that on a stream a window that falls to the limit
+    again is written once more and withdraws its alert.
+    """
+    return rollup.withColumn("over", F.col(on) > limit)
+
+
+def write_updates(rollup: DataFrame, path: str, checkpoint: str) -> int:
     """Write the windows each micro-batch changed to a partition of its own.
 
     A batch that is run again after a failure replaces its own partition, so
-    the table never holds a change twice.
+    the table never holds a change twice.  Returns the number of points that
+    this run read.
     """
     def save(changed: DataFrame, batch_id: int) -> None:
         changed.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
-    (rollup.writeStream.outputMode("update").foreachBatch(save)
-     .option("checkpointLocation", checkpoint)
-     .trigger(availableNow=True).start().awaitTermination())
+    running = (rollup.writeStream.outputMode("update").foreachBatch(save)
+               .option("checkpointLocation", checkpoint)
+               .trigger(availableNow=True).start())
+    # Only the newest reports are kept, so they are read while the stream runs.
+    read: dict[int, int] = {}
+    ended = False
+    while not ended:
+        ended = running.awaitTermination(1)
+        read.update((p.batchId, p.numInputRows) for p in running.recentProgress if p.numInputRows)
+    return sum(read.values())
+
+
+def late_points(spark: SparkSession, path: str, read: int) -> int:
+    """Points that came after their window was closed: those read by all runs, less those counted."""
+    counted = read_updates(spark, path, *_tags(spark, path)).agg(F.sum("points")).first()[0]
+    return read - (counted or 0)
+
+
+def _tags(spark: SparkSession, path: str) -> list[str]:
+    fixed = {"window_start", "measurement", "mean_value", "peak_value", "points", "over", BATCH}
+    return [c for c in spark.read.parquet(path).columns if c not in fixed]
+
+
+def compact(spark: SparkSession, path: str, into: str, *tags: str) -> None:
+    """Write the newest version of each window to another table, for readers of windows that are closed."""
+    read_updates(spark, path, *tags).write.mode("overwrite").parquet(into)
 
 
 def write_closed(rollup: DataFrame, path: str, checkpoint: str) -> None:
@@ -51,5 +84,11 @@ def write_closed(rollup: DataFrame, path: str, checkpoint: str) -> None:
 
 def read_updates(spark: SparkSession, path: str, *tags: str) -> DataFrame:
     """The newest version of each window written by :func:`write_updates`."""
-    newest = [F.max_by(v, BATCH).alias(v) for v in ("mean_value", "peak_value", "points")]
-    return spark.read.parquet(path).groupBy("window_start", "measurement", *tags).agg(*newest)
+    rows = spark.read.parquet(path)
+    newest = [F.max_by(v, BATCH).alias(v) for v in ("mean_value", "peak_value", "points", "over") if v in rows.columns]
+    return rows.groupBy("window_start", "measurement", *tags).agg(*newest)
+
+
+def read_alerts(spark: SparkSession, path: str, *tags: str) -> DataFrame:
+    """Windows of :func:`with_alerts` that are over the limit in their newest version."""
+    return read_updates(spark, path, *tags).filter("over").drop("over")

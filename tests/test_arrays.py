@@ -76,7 +76,7 @@ def test_training_stops_at_the_target(spark):
 def test_few_and_many_tasks_add_up_alike(spark):
     x, y = make()
     rows, w = frame(spark, x, y), np.random.default_rng(2).normal(size=(3, 5))
-    few, many = sgd.batch_sums(rows, w, tasks=8), sgd.batch_sums(rows, w)
+    few, many = sgd.batch_sums(rows.coalesce(1), w), sgd.batch_sums(rows.repartition(9), w)
     assert np.allclose(few[0], many[0]) and few[1:] == pytest.approx(many[1:])
 
 

@@ -130,3 +130,28 @@ def test_feature_selection_job(spark, planted, tmp_path):
     text = str(tmp_path / "in.csv")
     planted.write.option("header", True).csv(text)
     assert {r["feature"] for r in jobs.select_features(spark, text).collect()} == {"a", "b"}
+
+
+def test_one_seed_gives_one_forest(spark):
+    """However many slices the rows come in, in whatever order."""
+    rows = spark.range(3000).selectExpr(
+        "id", "cast(pmod(xxhash64(id), 3) = 0 AS FLOAT) AS label", "cast(pmod(xxhash64(id, 1), 1000) AS FLOAT) AS a",
+        "cast(pmod(xxhash64(id, 2), 1000) AS FLOAT) AS b")
+    trees = {classify.fit_forest(rows.repartition(n), num_trees=3, seed=5).stages[-1].toDebugString.split("\n", 1)[1] for n in (1, 7)}
+    assert len(trees) == 1
+
+
+def test_fits_leave_no_work_tables(spark):
+    from larkspur.sources.shared import _work_root
+
+    rows = spark.range(200).selectExpr("id", "cast(id % 2 AS FLOAT) AS label", "cast(id AS FLOAT) AS a")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def tables():
+        root = jvm.org.apache.hadoop.fs.Path(_work_root(spark))
+        return len(root.getFileSystem(conf).globStatus(jvm.org.apache.hadoop.fs.Path(root, "assembled-*")) or [])
+
+    before = tables()
+    classify.fit_logistic(rows)
+    classify.fit_forest(rows, num_trees=2)
+    assert tables() == before

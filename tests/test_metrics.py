@@ -28,12 +28,12 @@ def test_range_is_half_open(spark):
     assert sorted(r["point_id"] for r in rows.collect()) == [0, 1]
 
 
-def test_pickers_choose_namespace_and_pod(spark):
+def test_pickers_choose_namespace_and_pod(spark, folder):
     rows = sample(spark, range(40))
     picked = rollup.pod_usage(rows, "1 hour", namespace=1, pod=3, start=START, end=START + dt.timedelta(seconds=36))
     assert {(r["namespace"], r["pod"]) for r in picked.collect()} == {(1, 3)}
     assert picked.agg(F.sum("points")).first()[0] == len([i for i in range(36) if i % 4 == 3])
-    plan = rollup.in_range(spark.read.parquet("/root/testdata/sf0.001/events.parquet"), "2024-01-02", "2024-01-03") \
+    plan = rollup.in_range(spark.read.parquet(f"{folder}/events.parquet"), "2024-01-02", "2024-01-03") \
         ._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
 
@@ -42,7 +42,8 @@ def test_latest_settles_ties_by_id(spark):
     got = rollup.latest_usage(sample(spark, [5, 5, 5, 5, 5, 5, 5, 5]), "pod")
     assert {r["pod"]: r["value"] for r in got.collect()} == {0: 4.0, 1: 5.0, 2: 6.0, 3: 7.0}
     top = rollup.top_usage(sample(spark, [1] * 8, value=1.0), 2, "pod").collect()
-    assert [r["pod"] for r in top] == [0, 1]
+    assert sorted((r["measurement"], r["place"], r["pod"]) for r in top) == [
+        ("cpu", 1, 0), ("cpu", 2, 1), ("mem", 1, 0), ("mem", 2, 2)]
 
 
 def test_latest_is_the_same_for_every_kind_of_time_and_id(spark):
@@ -101,6 +102,28 @@ def test_late_points_are_left_out_after_the_delay(spark, tmp_path):
     assert [r[1] for r in got] == [3, 1]
 
 
+def test_late_points_are_counted(spark, tmp_path):
+    parts = [sample(spark, [0, 1, 2]), sample(spark, [1000]), sample(spark, [3, 4]), sample(spark, [2000])]
+    path, out, progress, read = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "p"), 0
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(path)
+        stream = points.read_points_stream(spark, path, parts[0].schema)
+        read += rollups.write_updates(rollups.rollup_stream(stream, "10 seconds", "1 minute"), out, progress)
+    counted = rollups.read_updates(spark, out).agg(F.sum("points")).first()[0]
+    assert read == 7 and rollups.late_points(spark, out, read) == 7 - counted == 2
+
+
+def test_alerts_are_withdrawn_by_the_stream(spark, tmp_path):
+    parts = [sample(spark, [1, 2], value=9.0), sample(spark, [3, 4], value=0.0)]
+    path = files(spark, tmp_path, parts)
+    out, progress = str(tmp_path / "out"), str(tmp_path / "p")
+    stream = points.read_points_stream(spark, path, parts[0].schema, files_per_trigger=1)
+    windows = rollups.rollup_stream(stream.withColumn("measurement", F.lit("cpu")), "10 seconds", "1 hour")
+    rollups.write_updates(rollups.with_alerts(windows, 5.0), out, progress)
+    raised = [r["over"] for r in spark.read.parquet(out).orderBy("batch_id").collect()]
+    assert sorted(raised) in ([False, True], [False, False]) and rollups.read_alerts(spark, out).count() == 0
+
+
 def test_copy_is_exactly_once_over_restarts(spark, tmp_path):
     parts = [sample(spark, range(10)), sample(spark, range(10, 20))]
     path = str(tmp_path / "in")

@@ -83,3 +83,11 @@ def test_arguments_are_checked(spark):
         sampling.shard(placed, 0)
     with pytest.raises(ValueError):
         sampling.batches(sampling.shard(placed, 2), 0)
+
+
+@pytest.mark.parametrize("buckets", [None, 1, 9])
+def test_text_keys_have_an_order(spark, buckets):
+    frame = spark.range(700).selectExpr("md5(cast(id AS STRING)) AS k")
+    rows = sorted(sampling.ordered_positions(frame, "k", buckets).collect(), key=lambda r: r["pos"])
+    assert [r["pos"] for r in rows] == list(range(700))
+    assert all(a["k"] < b["k"] for a, b in zip(rows, rows[1:]))
