@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import hashlib
-import re
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from larkspur.sources.shared import work_path
 
 # A word is a run of anything but these six white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
-WORD_BYTES = re.compile(WORD.encode())
+_ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 512
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -43,24 +44,45 @@ def text_bytes(column: pa.ChunkedArray | pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
-def slices(batch: pa.RecordBatch, limit: int, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """A batch in parts whose texts are together about ``limit`` bytes long."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
-    low = 0
-    while low < batch.num_rows:
-        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + limit, side="right")))
-        yield batch.slice(low, high - low)
-        low = high
+def map_texts(df: DataFrame, function: Callable, schema: StructType | str) -> DataFrame:
+    """``df.mapInArrow(function, schema)`` for rows that hold whole texts.
+
+    Spark's default of 10,000 rows a batch is far too many of them, so a
+    session that has not chosen its own number gets ``BATCH_ROWS``.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_ROWS_SETTING) == "10000":
+        conf.set(_ROWS_SETTING, str(BATCH_ROWS))
+    return df.mapInArrow(function, schema)
+
+
+def blocks(batches: Iterable[pa.RecordBatch], limit: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Batches joined or cut so that their texts are together about ``limit`` bytes long."""
+    held, size = [], 0
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        low, before = 0, 0
+        while low < batch.num_rows:
+            high = max(low + (not held), int(np.searchsorted(ends, before + limit - size, side="right")))
+            if high > low:
+                held.append(batch.slice(low, high - low))
+                size += int(ends[high - 1]) - before
+            if high < batch.num_rows:
+                yield _joined(held)
+                held, size = [], 0
+            low, before = high, int(ends[high - 1]) if high else 0
+    if held:
+        yield _joined(held)
+
+
+def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return batches[0] if len(batches) == 1 else pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 
 
 def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def batch_of(columns: Sequence[Iterable], names: Sequence[str], types: Sequence[pa.DataType]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types)], list(names))
-
-
 def mix64(values: np.ndarray) -> np.ndarray:
     """A fixed bijective scrambling of 64-bit numbers."""
     with np.errstate(over="ignore"):

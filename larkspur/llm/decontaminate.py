@@ -24,7 +24,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from larkspur.llm.common import text_bytes, without
+from larkspur.llm.common import map_texts, text_bytes, without
 
 TOKEN = re.compile(rb"[0-9a-z\x80-\xff]+")
 REPORT = ("n_words", "n_hit", "hit_items", "hit_spans")
@@ -161,7 +161,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10,
     schema = result.schema
     for part in automata(benchmark, window, words_per_automaton):
         shared = docs.sparkSession.sparkContext.broadcast(part)
-        result = result.mapInArrow(_scanner(shared), schema)
+        result = map_texts(result, _scanner(shared), schema)
     covered = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + (s[1] - s[0]))
     return result.withColumn("n_hit", covered).select(*base.columns, *REPORT)
 
@@ -215,4 +215,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_c
                 [pa.array(texts, batch.schema.field("text").type) if c == "text" else batch.column(c) for c in schema.names],
                 names=schema.names)
 
-    return kept.mapInArrow(cut, schema)
+    return map_texts(kept, cut, schema)

@@ -30,7 +30,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, functions as F
 
 from larkspur.llm.anchors import Hasher, _sliding_least, chunks
-from larkspur.llm.common import sha256_hex, text_bytes
+from larkspur.llm.common import map_texts, sha256_hex, text_bytes
 
 # Settings of the digest.
 WIDTH, NEAR, POPULAR, BITS, FULL, PROBES = 64, 64, 16, 2048, 160, 5
@@ -91,7 +91,7 @@ def count_entropies(docs: DataFrame) -> np.ndarray:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["bin", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "bin INT, n BIGINT").groupBy("bin").agg(F.sum("n").alias("n")).collect()
+    rows = map_texts(docs.select("text"), count, "bin INT, n BIGINT").groupBy("bin").agg(F.sum("n").alias("n")).collect()
     found = np.zeros(BINS, dtype=np.int64)
     for row in rows:
         found[row["bin"]] = row["n"]
@@ -191,7 +191,7 @@ def fingerprints(docs: DataFrame, ranks: np.ndarray | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([as_string(f) for f in found], pa.string())],
                                              names=["doc_id", "fingerprint"])
 
-    return docs.select("doc_id", "text").mapInArrow(emit, f"doc_id {id_type}, fingerprint STRING")
+    return map_texts(docs.select("doc_id", "text"), emit, f"doc_id {id_type}, fingerprint STRING")
 
 
 def in_id_order(docs: DataFrame, rows_per_bucket: int = 5000) -> DataFrame:
@@ -263,5 +263,5 @@ def compare_with_next(docs: DataFrame, ranks: np.ndarray | None = None) -> DataF
         if len(held) > 1 and (done := settle(held)):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), types)], names=names)
 
-    return ordered.mapInArrow(emit, f"doc_id {id_type}, n_chars BIGINT, edited_sha256 STRING, fingerprint STRING, "
+    return map_texts(ordered, emit, f"doc_id {id_type}, n_chars BIGINT, edited_sha256 STRING, fingerprint STRING, "
                                     "edited_fingerprint STRING, near_edited DOUBLE, near_next DOUBLE")

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from larkspur.llm.common import without
+from larkspur.llm.common import map_texts, without
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*)(?:>|\Z)""", re.S)
 HINT = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
@@ -218,4 +218,4 @@ def extract_main_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
                 [*(batch.column(c) for c in schema.names[:-2]), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], names=schema.names)
 
-    return pages.select(*[F.col(f"`{c}`") for c in kept.columns], F.col(html_col).alias("_page")).mapInArrow(extract, schema)
+    return map_texts(pages.select(*[F.col(f"`{c}`") for c in kept.columns], F.col(html_col).alias("_page")), extract, schema)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from larkspur.llm.anchors import Hasher, Words, chunks
-from larkspur.llm.common import mix64, slices, staged, text_bytes
+from larkspur.llm.common import blocks, map_texts, mix64, staged, text_bytes
 from larkspur.llm.elias_fano import EliasFano, Store
 
 # The keys of the end of a text and of the place before its first word.
@@ -64,12 +64,11 @@ def count_words(docs: DataFrame) -> DataFrame:
     """``(key, n)`` of all tokens of ``docs``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, 8 << 20):
-                keys, n = np.unique(tokens(list(text_bytes(part.column("text"))))[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
+        for block in blocks(batches, 8 << 20):
+            keys, n = np.unique(tokens(list(text_bytes(block.column("text"))))[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
 
-    return docs.select("text").mapInArrow(count, "key BIGINT, n BIGINT").groupBy("key").agg(F.sum("n").alias("n"))
+    return map_texts(docs.select("text"), count, "key BIGINT, n BIGINT").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 class _Block:

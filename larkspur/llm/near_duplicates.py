@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from larkspur.llm.anchors import Hasher, Words, chunks
-from larkspur.llm.common import slices, staged, text_bytes, without
+from larkspur.llm.common import blocks, map_texts, staged, text_bytes, without
 from larkspur.llm.components import components
 
 OUT = ("class_id", "n_links", "n_copies")
@@ -71,7 +71,7 @@ def _signer(size: int, trees: int, depth: int, seed: int):
     step = np.uint64(0x9E3779B97F4A7C15)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, 8 << 20)):
+        for batch in blocks(batches, 4 << 20):
             texts = list(text_bytes(batch.column("text")))
             keys = np.zeros((len(texts), trees), dtype=np.uint64)
             some = np.zeros(len(texts), dtype=bool)
@@ -164,14 +164,15 @@ def similar_classes(docs: DataFrame, threshold: float = 0.8, words: int = 5, tre
     depth = prefix_depth(threshold, trees, max_depth, recall)
     named = docs.select("doc_id", node.alias("node"), "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    signed = staged(named.mapInArrow(_signer(words, trees, depth, seed), f"node BINARY, doc_id {id_type}, prefixes ARRAY<BIGINT>"), "prefixes")
+    signed = staged(map_texts(named, _signer(words, trees, depth, seed),
+                              f"node BINARY, doc_id {id_type}, prefixes ARRAY<BIGINT>"), "prefixes")
     copies = signed.groupBy("node").agg(F.count("*").alias("n"), F.min("doc_id").alias("least_id"))
     prefixes = signed.select("node", F.explode("prefixes").alias("prefix"))
     tries = prefixes.groupBy("prefix").agg(F.min("node").alias("v"), F.max("node").alias("w")).filter("v <> w")
     groups = staged(components(prefixes.join(tries, "prefix").select(F.col("node").alias("u"), "v").filter("u <> v").distinct()), "groups")
-    blocks = groups.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     # One document carries each text into the verification.
-    carriers = groups.join(copies, "node").join(blocks, "root").select(
+    carriers = groups.join(copies, "node").join(sizes, "root").select(
         F.col("node").alias("_node"), "least_id", "root", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("side"))
     carried = (
         carriers.withColumn("row", F.xxhash64("_node", "least_id"))

@@ -28,7 +28,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
-from larkspur.llm.common import staged, text_bytes, without
+from larkspur.llm.common import map_texts, staged, text_bytes, without
 from larkspur.llm.html_text import STOP_WORDS
 
 STATISTICS = (
@@ -85,7 +85,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
                 [*batch.columns, *(pa.array(values[:, i]) for i in range(len(STATISTICS)))],
                 names=[*batch.schema.names, *STATISTICS])
 
-    return base.mapInArrow(measure, out)
+    return map_texts(base, measure, out)
 
 
 @dataclass(frozen=True)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from larkspur.llm.anchors import Hasher, Words, chunks, merge_ranges, runs
-from larkspur.llm.common import slices, staged, text_bytes
+from larkspur.llm.common import blocks, map_texts, staged, text_bytes
 
 NO_ID = np.iinfo(np.int64).max
 # Bytes of text within which repeated spans are settled before anything is shipped.
@@ -89,9 +89,8 @@ def _run_rows(spec: Repeats) -> Callable:
     n, k = spec.size, spec.anchor
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, BLOCK_BYTES):
-                yield from settle(part)
+        for block in blocks(batches, BLOCK_BYTES):
+            yield from settle(block)
 
     def settle(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts = list(text_bytes(batch.column("text")))
@@ -252,7 +251,7 @@ def covered_ranges(docs: DataFrame, spec: Repeats) -> DataFrame:
     ``covers`` lists ranges ``[lo, hi)`` of units, which may overlap.  Texts
     move to their edges by the same exchange that moves them to their ranges.
     """
-    found = docs.select("_key", "_doc", "text").mapInArrow(_run_rows(spec), RUN_SCHEMA).repartition("a")
+    found = map_texts(docs.select("_key", "_doc", "text"), _run_rows(spec), RUN_SCHEMA).repartition("a")
     span, anchor = Window.partitionBy("a", "s"), Window.partitionBy("a")
     many = F.max(F.col("place").bitwiseAND(1)).over(span) == 1
     covered = F.col("doc") > F.min("doc").over(span) if spec.earlier else (F.count("*").over(span) > 1) | many
@@ -275,7 +274,8 @@ def covered_ranges(docs: DataFrame, spec: Repeats) -> DataFrame:
 
     def edges(which: str) -> DataFrame:
         chosen = ranges.select("key", F.filter("edges", lambda e: e["wide"] if which == "wide" else ~e["wide"]).alias("edges"))
-        return docs.join(chosen.filter(F.size("edges") > 0), F.col("_key") == F.col("key")).mapInArrow(_edge_rows(spec), EDGE_SCHEMA)
+        own = docs.join(chosen.filter(F.size("edges") > 0), F.col("_key") == F.col("key"))
+        return map_texts(own, _edge_rows(spec), EDGE_SCHEMA)
 
     near = edges("near")
     near = near.repartitionByRange("lead", "a") if spec.lead else near.repartition("a")

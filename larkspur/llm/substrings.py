@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from larkspur.llm.anchors import Words
-from larkspur.llm.common import text_bytes, without
+from larkspur.llm.common import map_texts, text_bytes, without
 from larkspur.llm.repeats import Repeats, covered_mask, covered_ranges, keyed
 
 OUT = ("n_words", "n_removed", "kept", "removed")
@@ -67,4 +67,4 @@ def remove_earlier_words(docs: DataFrame, window: int = 13, seed_words: int = 4)
                 [*(batch.column(c) for c in schema.names[:-4]), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()),
                  pa.array(kept, pa.string()), spans], names=schema.names)
 
-    return joined.mapInArrow(cut, schema)
+    return map_texts(joined, cut, schema)

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from larkspur.llm.common import text_bytes, without
+from larkspur.llm.common import map_texts, text_bytes, without
 from larkspur.llm.repeats import Repeats, covered_mask, covered_ranges, keyed
 from larkspur.llm.substrings import SPANS, runs_of
 
@@ -61,4 +61,4 @@ def remove_repeated_bytes(docs: DataFrame, size: int = 200, lead: int = 48, as_t
                 [*(batch.column(c) for c in schema.names[:-4]), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()),
                  pa.array(kept, pa.string() if as_text else pa.binary()), spans], names=schema.names)
 
-    return joined.mapInArrow(cut, schema)
+    return map_texts(joined, cut, schema)

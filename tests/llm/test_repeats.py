@@ -121,3 +121,18 @@ def test_words_of_a_buffer():
     assert words == [b"a", b"bc", b"d", b"\xc2\xa0e", b"f"]
     assert list(found.first) == [0, 0, 2, 2, 3, 5]
     assert whole == b"a bc d \xc2\xa0e f"
+
+
+@pytest.mark.parametrize("limit", [1, 7, 20, 1000])
+def test_blocks_keep_rows_in_order(limit):
+    import pyarrow as pa
+
+    from larkspur.llm.common import blocks
+
+    texts = [[b"abc", b"", None, b"x" * 30], [], [b"de", b"f"], [b"g" * 9] * 3]
+    batches = [pa.RecordBatch.from_arrays([pa.array(t, pa.binary())], names=["text"]) for t in texts]
+    out = [b.column("text").to_pylist() for b in blocks(batches, limit)]
+    assert sum(out, []) == sum(texts, [])
+    assert all(len(own) == 1 or sum(len(t or b"") for t in own) <= limit for own in out)
+    if limit == 1000:
+        assert len(out) == 1
