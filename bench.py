@@ -20,7 +20,7 @@ from larkspur.plans import catalog  # noqa: E402
 HEADLINE = [
     "csv_scan_typed", "libsvm_scan", "drop_missing", "prepared_and_scaled",
     "logistic_predictions", "forest_predictions", "training_history", "selected_features",
-    "benchmark_summary", "accuracy", "cross_entropy", "array_predictions", "epoch_order",
+    "benchmark_summary", "wide_benchmark", "accuracy", "cross_entropy", "array_predictions", "epoch_order",
     "mini_batches", "sgd_epochs", "plateau_rates", "cluster_usage", "pod_usage", "top_pods",
     "streamed_usage", "point_stream_copy",
 ]
@@ -47,8 +47,11 @@ def main() -> None:
         began = time.perf_counter()
         catalog.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - began, 3)
+    # The fit and test of the published shape alone: its vectors are staged before its clock starts.
+    wide = catalog.wide_run(spark, folder).first().asDict()
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(seconds.values()), 3),
-                      "unit": "sec", "queries": seconds, "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf")}))
+                      "unit": "sec", "queries": seconds, "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
+                      "wide_fit_and_test": {k: round(v, 3) if isinstance(v, float) else v for k, v in wide.items()}}))
     spark.stop()
 
 
