@@ -23,6 +23,10 @@ def query(sql: str | None = None):
     return register
 
 
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_TOKENS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+           r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
 # A user and an assistant turn whose text imitates the template.
 PROBE = (-7, "\\### Assistant: </turn> ok")
 
@@ -87,7 +91,23 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
-@query()
+@query(f"""
+WITH items AS (SELECT item_id, {_TOKENS} AS words FROM benchmark),
+sized AS (SELECT item_id, words, least(10, len(words)) AS size FROM items WHERE len(words) > 0),
+windows AS (SELECT DISTINCT item_id, size, array_to_string(words[i:i + size - 1], ' ') AS g
+            FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS i FROM sized)),
+docs AS (SELECT doc_id, {_TOKENS} AS words FROM documents),
+places AS (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS i
+           FROM docs, (SELECT DISTINCT size FROM windows) WHERE len(words) >= size),
+met AS (SELECT doc_id, i, p.size, item_id FROM (SELECT *, array_to_string(words[i:i + size - 1], ' ') AS g FROM places) p
+        JOIN windows w ON w.g = p.g AND w.size = p.size),
+hit AS (SELECT doc_id, count(DISTINCT i + j) AS n_hit FROM met, range(0, 10) AS r(j) WHERE j < size GROUP BY 1),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM met) GROUP BY 1)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
+""")
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document inside 10-word windows of benchmark items."""
     hits = decontaminate.find_hits(read_table(spark, folder, "documents").select("doc_id", "text"),
@@ -113,7 +133,18 @@ def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
-@query()
+@query(f"""
+WITH docs AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS g
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM docs WHERE len(words) >= 13)),
+firsts AS (SELECT g, min(doc_id) AS least FROM windows GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, i + j AS place FROM windows JOIN firsts USING (g), range(0, 13) AS r(j) WHERE doc_id > least),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text
+         FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM docs)
+         ANTI JOIN gone USING (doc_id, place) GROUP BY 1)
+SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1) USING (doc_id) LEFT JOIN kept USING (doc_id)
+""")
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Words left of every document after 13-word windows of earlier documents."""
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
@@ -129,7 +160,21 @@ def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query()
+@query(f"""
+WITH RECURSIVE texts AS (
+  SELECT text, min(doc_id) AS id, count(*) AS n, {_WORDS} AS words FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents) GROUP BY text),
+shingles AS (
+  SELECT DISTINCT id, array_to_string(words[i:i + 4], ' ') AS g
+  FROM (SELECT id, words, unnest(range(1, greatest(2, len(words) - 3))) AS i FROM texts WHERE len(words) > 0)),
+sizes AS (SELECT id, count(*) AS size FROM shingles GROUP BY 1),
+pairs AS (SELECT a.id AS x, b.id AS y, count(*) AS shared FROM shingles a JOIN shingles b ON a.g = b.g AND a.id <> b.id GROUP BY 1, 2),
+links AS (SELECT x, y FROM pairs JOIN sizes a ON a.id = x JOIN sizes b ON b.id = y WHERE shared * 10 >= 8 * (a.size + b.size - shared)),
+reached AS (SELECT id AS x, id AS y FROM texts UNION SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y)
+SELECT doc_id, least AS class_id, coalesce(n_links, 0) AS n_links, n - 1 AS n_copies
+FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents) JOIN texts USING (text)
+JOIN (SELECT x AS id, min(y) AS least FROM reached GROUP BY 1) USING (id)
+LEFT JOIN (SELECT x AS id, count(*) AS n_links FROM links GROUP BY 1) USING (id)
+""")
 def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Class, number of similar texts and number of copies of every document."""
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
