@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -40,89 +41,156 @@ def plateau_rates(history: DataFrame, lr: float = 0.02, patience: int = 2,
     ``history`` is ``(run_id BIGINT, epoch BIGINT, loss DOUBLE)``, with unique
     epochs in any increasing numbering and losses that are not negative.
 
-    A run is a chain: each epoch's state follows from the last.  To keep one
-    long run from filling one task, runs are cut into parts of ``part_epochs``
-    epoch numbers.  A first pass finds the state at the start of each part;
-    then all parts are walked side by side, streamed from a sorted shuffle.
+    An epoch's state follows from the last improvement before it: the number
+    of epochs since then gives bad epochs and reductions by whole division.
+    So only improvements are looked for in order, and a run is cut into parts
+    of ``part_epochs`` epoch numbers for that: each part tabulates, side by
+    side, how it would be left for every way it can be entered, and only these
+    tables, one row a part, are read run by run.
     """
+    loss = F.col("loss").cast("double")
+    refuse = F.raise_error(F.lit("a plateau is defined for losses that are not negative"))
     rows = history.select(
-        F.col("run_id").cast("bigint"), F.col("epoch").cast("bigint"), F.col("loss").cast("double"),
+        F.col("run_id").cast("bigint"), F.col("epoch").cast("bigint"),
+        F.when(loss < 0, refuse.cast("double")).otherwise(loss).alias("loss"),
         F.expr(f"cast(epoch AS BIGINT) div {int(part_epochs)}").alias("part"))
-    start = _part_starts(rows, lr, patience, factor, threshold)
-    advance = plateau_tracker(patience, factor, threshold)
-
-    def walk(frames):
-        at, state = None, None
-        for frame in frames:
-            out = []
-            columns = (frame[c].to_numpy() for c in ("run_id", "part", "loss", "lr", "best_loss", "bad_epochs"))
-            for run, part, loss, *begin in zip(*columns):
-                if loss < 0:
-                    raise ValueError("a plateau is defined for losses that are not negative")
-                if (run, part) != at:
-                    at, state = (run, part), begin
-                state = advance(state, loss)
-                out.append(state)
-            rates, bests, bads = zip(*out) if out else ((), (), ())
-            yield pd.DataFrame({"run_id": frame["run_id"], "epoch": frame["epoch"], "lr": rates,
-                                "best_loss": bests, "bad_epochs": bads})
-
-    ordered = (rows.join(start, ["run_id", "part"])
-               .repartition("run_id", "part").sortWithinPartitions("run_id", "part", "epoch"))
-    return ordered.mapInPandas(
-        walk, "run_id BIGINT, epoch BIGINT, lr DOUBLE, best_loss DOUBLE, bad_epochs INT")
-
-
-def _part_starts(rows: DataFrame, lr: float, patience: int, factor: float, threshold: float) -> DataFrame:
-    """``(run_id, part, lr, best_loss, bad_epochs)`` before each part's first epoch.
-
-    Only an epoch whose loss is below all earlier ones can be an improvement:
-    an earlier loss that was passed over was no better than the threshold
-    allowed, and the threshold only falls.  Those epochs, found in parallel,
-    are all that has to be read in order.  Everything between two
-    improvements is a count of bad epochs, hence a number of reductions.
-    """
     earlier = Window.partitionBy("run_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = (
         rows.groupBy("run_id", "part").agg(F.count(F.lit(1)).alias("n"), F.min("loss").alias("least"))
         .select("run_id", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("place"),
                 F.min("least").over(earlier).alias("low")))
+    lows = _new_lows(rows, parts)
+    tables = lows.groupBy("run_id", "part").applyInPandas(
+        _part_table(patience, threshold), "run_id BIGINT, part BIGINT, loss ARRAY<DOUBLE>, start ARRAY<BIGINT>, "
+                                          "best ARRAY<DOUBLE>, since ARRAY<BIGINT>, cuts ARRAY<BIGINT>")
+    entries = (
+        parts.join(tables, ["run_id", "part"], "left").repartition("run_id").sortWithinPartitions("run_id", "part")
+        .mapInPandas(_enter_parts(patience, threshold), ENTRY))
+    better = lows.groupBy("run_id", "part").cogroup(entries.groupBy("run_id", "part")).applyInPandas(
+        _improvements(patience, threshold), "run_id BIGINT, part BIGINT, epoch BIGINT, best_loss DOUBLE, since BIGINT, cuts BIGINT")
+    return _states(rows, entries, better, lr, patience, factor)
+
+
+ENTRY = "run_id BIGINT, part BIGINT, place BIGINT, best_loss DOUBLE, since BIGINT, cuts BIGINT"
+
+
+def _new_lows(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """Epochs whose loss is below all earlier ones of the run, with their place in it.
+
+    No other epoch can be an improvement: a loss that was passed over was no
+    better than the threshold allowed, and the threshold only falls.
+    """
     in_part = Window.partitionBy("run_id", "part").orderBy("epoch")
     low_in_part = F.min("loss").over(in_part.rowsBetween(Window.unboundedPreceding, -1))
-    lowest = (
+    return (
         rows.join(parts, ["run_id", "part"])
-        .select("run_id", (F.col("place") + F.row_number().over(in_part)).alias("place"), "loss",
-                F.least("low", low_in_part).alias("low"))
-        .filter(F.col("low").isNull() | (F.col("loss") < F.col("low")))
-        .select("run_id", "place", "loss", F.lit(None).cast("bigint").alias("part")))
-    marks = parts.select("run_id", "place", F.lit(None).cast("double").alias("loss"), "part")
-    # A part's mark carries the number of epochs before it, so it sorts behind the last of them.
-    chain = (lowest.unionByName(marks).repartition("run_id").sortWithinPartitions("run_id", "place", "part"))
-    smallest_change, rates = PLATEAU["smallest_change"], [lr]
-    while rates[-1] - rates[-1] * factor > smallest_change:
-        rates.append(rates[-1] * factor)
-    per_cut = patience + 1
+        .select("run_id", "part", "epoch", "loss", "low", (F.col("place") + F.row_number().over(in_part)).alias("place"),
+                F.least("low", low_in_part).alias("lowest"))
+        .filter((F.col("lowest").isNull() | (F.col("loss") < F.col("lowest"))) & (F.col("loss") < float("inf")))
+        .drop("lowest"))
+
+
+def _next_better(losses: np.ndarray, threshold: float) -> np.ndarray:
+    """For falling losses, the place of the first that improves on each; their number if none does."""
+    return np.searchsorted(-losses, -(losses * (1.0 - threshold)), side="right")
+
+
+def _first_better(losses: np.ndarray, best: float, threshold: float) -> int:
+    return int(np.searchsorted(-losses, -(best * (1.0 - threshold)), side="right"))
 
+
+def _part_table(patience: int, threshold: float):
+    """How a part is left, for each low that can be its first improvement.
+
+    The best loss on entry is within one threshold of the lowest loss before
+    the part, so these are the lows down to the first that is better than that.
+    """
+    def tabulate(lows: pd.DataFrame) -> pd.DataFrame:
+        lows = lows.sort_values("place")
+        losses, places = lows["loss"].to_numpy(), lows["place"].to_numpy()
+        n, low = len(lows), lows["low"].iloc[0]
+        jump = np.append(_next_better(losses, threshold), n)
+        after = np.append(places, 0)
+        cuts = np.where(jump[:n] < n, (after[jump[:n]] - places - 1) // (patience + 1), 0)
+        cuts, last = np.append(cuts, 0), np.arange(n + 1)
+        # Jumps of doubling length: the last improvement reached, and the reductions on the way.
+        last[:n] = np.where(jump[:n] < n, jump[:n], np.arange(n))
+        while (jump[:n] < n).any():
+            cuts = cuts + cuts[jump]
+            last = np.where(jump < n, last[jump], last)
+            jump = jump[jump]
+        known = _first_better(losses, low, threshold) + 1 if low == low and np.isfinite(low) else 1
+        known, last = min(known, n), last[:n]
+        return pd.DataFrame({
+            "run_id": [lows["run_id"].iloc[0]], "part": [lows["part"].iloc[0]], "loss": [losses[:known]], "start": [places[:known]],
+            "best": [losses[last][:known]], "since": [places[last][:known]], "cuts": [cuts[:known]]})
+
+    return tabulate
+
+
+def _enter_parts(patience: int, threshold: float):
+    """The state before each part, from the tables of a run's parts in order."""
     def walk(frames):
         run, best, since, cuts = None, float("inf"), 0, 0
         for frame in frames:
             out = []
-            columns = (frame[c].to_numpy() for c in ("run_id", "place", "loss", "part"))
-            for run_id, place, loss, part in zip(*columns):
-                if run_id != run:
-                    run, best, since, cuts = run_id, float("inf"), 0, 0
-                if part != part:  # no part: one of the lowest losses
-                    if loss < best * (1.0 - threshold):
-                        cuts += (place - since - 1) // per_cut
-                        best, since = loss, place
-                else:
-                    reached = cuts + (place - since) // per_cut
-                    out.append((run_id, int(part), rates[int(min(reached, len(rates) - 1))], best,
-                                int((place - since) % per_cut)))
-            yield pd.DataFrame(out, columns=["run_id", "part", "lr", "best_loss", "bad_epochs"])
-
-    return chain.mapInPandas(
-        walk, "run_id BIGINT, part BIGINT, lr DOUBLE, best_loss DOUBLE, bad_epochs INT")
+            for row in frame.itertuples(index=False):
+                if row.run_id != run:
+                    run, best, since, cuts = row.run_id, float("inf"), 0, 0
+                out.append((run, row.part, row.place, best, since, cuts))
+                if row.start is not None:
+                    i = _first_better(np.asarray(row.loss), best, threshold)
+                    if i < len(row.start):
+                        cuts += (int(row.start[i]) - since - 1) // (patience + 1) + int(row.cuts[i])
+                        best, since = float(row.best[i]), int(row.since[i])
+            yield pd.DataFrame(out, columns=["run_id", "part", "place", "best_loss", "since", "cuts"])
+
+    return walk
+
+
+def _improvements(patience: int, threshold: float):
+    """The lows of a part that are improvements, given its entry."""
+    def choose(lows: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
+        lows = lows.sort_values("place")
+        losses, n = lows["loss"].to_numpy(), len(lows)
+        best, since, cuts = entry.iloc[0][["best_loss", "since", "cuts"]]
+        reached = np.zeros(n + 1, dtype=bool)
+        reached[_first_better(losses, best, threshold)] = True
+        jump = np.append(_next_better(losses, threshold), n)
+        while n and (jump[:n] < n).any():
+            reached[jump[np.flatnonzero(reached)]] = True
+            jump = jump[jump]
+        chosen = lows[reached[:n]]
+        gaps = np.diff(chosen["place"].to_numpy(), prepend=int(since)) - 1
+        return pd.DataFrame({"run_id": chosen["run_id"], "part": chosen["part"], "epoch": chosen["epoch"],
+                             "best_loss": chosen["loss"], "since": chosen["place"],
+                             "cuts": int(cuts) + np.cumsum(gaps // (patience + 1))})
+
+    return choose
+
+
+def _states(rows: DataFrame, entries: DataFrame, better: DataFrame, lr: float, patience: int, factor: float) -> DataFrame:
+    """Every epoch's state, from the last improvement before it, with built-in functions alone."""
+    smallest_change, rates = PLATEAU["smallest_change"], [lr]
+    while rates[-1] - rates[-1] * factor > smallest_change:
+        rates.append(rates[-1] * factor)
+    state = F.struct("best_loss", "since", "cuts").alias("state")
+    none = F.lit(None)
+    marks = entries.select("run_id", "part", none.cast("bigint").alias("epoch"), "place", state).unionByName(
+        better.select("run_id", "part", "epoch", none.cast("bigint").alias("place"), state))
+    both = marks.withColumn("is_row", F.lit(0)).unionByName(
+        rows.select("run_id", "part", "epoch", F.lit(1).alias("is_row")), allowMissingColumns=True)
+    # A part's entry comes first, an improvement's mark just before its own epoch.
+    so_far = Window.partitionBy("run_id", "part").orderBy(F.col("epoch").asc_nulls_first(), "is_row").rowsBetween(
+        Window.unboundedPreceding, 0)
+    placed = both.select(
+        "run_id", "epoch", "is_row", F.last("state", ignorenulls=True).over(so_far).alias("state"),
+        (F.last("place", ignorenulls=True).over(so_far) + F.sum("is_row").over(so_far)).alias("place")).filter("is_row = 1")
+    since = F.col("place") - F.col("state.since")
+    reached = F.col("state.cuts") + F.floor(since / (patience + 1))
+    return placed.select(
+        "run_id", "epoch", F.element_at(F.array(*map(F.lit, rates)), F.least(reached + 1, F.lit(len(rates))).cast("int")).alias("lr"),
+        F.col("state.best_loss").alias("best_loss"), (since % (patience + 1)).cast("int").alias("bad_epochs"))
 
 
 def stop_epochs(history: DataFrame, target: float = 0.8) -> DataFrame:
