@@ -153,17 +153,32 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10,
     ``hit_spans`` are maximal runs ``[start, end)`` of hit words; ``hit_items``
     are sorted.  Columns of ``docs`` with these names are replaced.
     """
-    item = benchmark.schema["item_id"].dataType
+    base, result = _prepared(docs, benchmark.schema["item_id"].dataType)
+    return map_texts(result, _chained(_scanners(docs, benchmark, window, words_per_automaton)), result.schema).withColumn(
+        "n_hit", F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + (s[1] - s[0]))).select(*base.columns, *REPORT)
+
+
+def _prepared(docs: DataFrame, item_type: T.DataType) -> tuple[DataFrame, DataFrame]:
+    """``docs`` without columns of the report's names, and with empty columns for what scanning finds."""
     base = without(docs, REPORT)
     span = T.ArrayType(T.ArrayType(T.IntegerType()))
-    result = base.withColumns({"n_words": F.lit(None).cast("long"), "hit_spans": F.lit(None).cast(span),
-                               "hit_items": F.lit(None).cast(T.ArrayType(item))})
-    schema = result.schema
-    for part in automata(benchmark, window, words_per_automaton):
-        shared = docs.sparkSession.sparkContext.broadcast(part)
-        result = map_texts(result, _scanner(shared), schema)
-    covered = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + (s[1] - s[0]))
-    return result.withColumn("n_hit", covered).select(*base.columns, *REPORT)
+    return base, base.withColumns({"n_words": F.lit(None).cast("long"), "hit_spans": F.lit(None).cast(span),
+                                   "hit_items": F.lit(None).cast(T.ArrayType(item_type))})
+
+
+def _scanners(docs: DataFrame, benchmark: DataFrame, window: int, words_per_automaton: int) -> list:
+    context = docs.sparkSession.sparkContext
+    return [_scanner(context.broadcast(part)) for part in automata(benchmark, window, words_per_automaton)]
+
+
+def _chained(steps: list):
+    """One function for all steps, so that a task needs one Python worker."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for step in steps:
+            batches = step(batches)
+        return batches
+
+    return run
 
 
 def _scanner(shared):
@@ -193,26 +208,27 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_c
     From the first to the last word of a span everything is cut out of
     ``text``; texts without hits stay byte for byte.
     """
-    hits = find_hits(docs, benchmark, window, words_per_automaton)
-    kept = hits.filter((F.col("n_hit") == 0) | (F.col("n_hit") <= max_coverage * F.col("n_words")))
-    schema = without(docs, REPORT).schema
+    base, result = _prepared(docs, benchmark.schema["item_id"].dataType)
+    schema = base.schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for value, spans in zip(batch.column("text"), batch.column("hit_spans").to_pylist()):
+            texts, kept = [], []
+            columns = (batch.column("text"), batch.column("hit_spans").to_pylist(), batch.column("n_words").to_pylist())
+            for value, spans, n in zip(*columns):
                 text = value.as_py()
-                if spans:
+                kept.append(sum(end - start for start, end in spans) <= max_coverage * n)
+                if spans and kept[-1]:
                     raw = text.encode()
                     places = [m.span() for m in TOKEN.finditer(raw.lower())]
-                    kept_parts, at = [], 0
+                    left, at = [], 0
                     for start, end in spans:
-                        kept_parts.append(raw[at:places[start][0]])
+                        left.append(raw[at:places[start][0]])
                         at = places[end - 1][1]
-                    text = b"".join([*kept_parts, raw[at:]]).decode()
+                    text = b"".join([*left, raw[at:]]).decode()
                 texts.append(text)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(texts, batch.schema.field("text").type) if c == "text" else batch.column(c) for c in schema.names],
-                names=schema.names)
+                names=schema.names).filter(pa.array(kept, pa.bool_()))
 
-    return map_texts(kept, cut, schema)
+    return map_texts(result, _chained([*_scanners(docs, benchmark, window, words_per_automaton), cut]), schema)

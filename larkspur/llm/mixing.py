@@ -31,7 +31,7 @@ from larkspur.llm.common import n_words, without
 
 MIX_COLUMNS = ("mix_shard", "mix_place", "mix_copy", "mix_words", "mix_size")
 INNER = ("_mix_block", "_mix_source", "_mix_target", "_mix_passes", "_mix_need", "_mix_part", "_mix_order",
-         "_mix_draws", "_mix_draw", "_mix_total")
+         "_mix_draws", "_mix_draw")
 
 
 def targets(sizes: Sequence[int], weights: Sequence[float], most: float = 3.0) -> list[float]:
@@ -108,18 +108,16 @@ def allocate(docs: DataFrame, cycle: Sequence[float] = (1, 2, 3), most: float =
         .withColumn("_mix_need", F.greatest(F.lit(0), F.least(F.col("words"), F.col("rest") - F.col("before"))))
     )
     plan = drawn.select(F.col("source").alias("_b_source"), F.col("_mix_block").alias("_b_block"), "_mix_source",
-                        "_mix_target", "_mix_passes", "_mix_need", F.col("words").alias("_mix_total"))
+                        "_mix_target", "_mix_passes", "_mix_need")
     placed = sized.withColumn("_mix_block", block).join(
         plan, F.col("source").eqNullSafe(F.col("_b_source")) & (F.col("_mix_block") == F.col("_b_block"))
     ).drop("_b_source", "_b_block")
-    whole = placed.filter("_mix_need = 0 OR _mix_need = _mix_total").withColumn(
-        "_mix_part", F.when(F.col("_mix_need") > 0, F.col("mix_size")).otherwise(F.lit(0)).cast("long"))
+    # Blocks are small, so one running sum serves whole, partly taken and left out ones alike.
     in_block = Window.partitionBy("source", "_mix_block").orderBy(
         _hash("doc_id", seed=seed + 2), "doc_id", "mix_size").rowsBetween(Window.unboundedPreceding, 0)
-    cut = placed.filter("_mix_need > 0 AND _mix_need < _mix_total").withColumn(
-        "_mix_part", F.greatest(F.lit(0), F.least(
-            F.col("mix_size"), F.col("_mix_need") - F.sum("mix_size").over(in_block) + F.col("mix_size"))))
-    return whole.unionByName(cut), drawn
+    part = F.greatest(F.lit(0), F.least(
+        F.col("mix_size"), F.col("_mix_need") - F.sum("mix_size").over(in_block) + F.col("mix_size")))
+    return placed.withColumn("_mix_part", part), drawn
 
 
 def mix(docs: DataFrame, n_shards: int = 64, cycle: Sequence[float] = (1, 2, 3), most: float = 3.0, seed: int = 0,

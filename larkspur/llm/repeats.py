@@ -170,6 +170,9 @@ def _edge_rows(spec: Repeats) -> Callable:
 EDGE_SCHEMA = "a BIGINT, lead BINARY, key BIGINT, doc BIGINT, lo INT, open BOOLEAN, span BINARY"
 
 
+WINDOW_SCHEMA = "h0 BIGINT, h1 BIGINT, key BIGINT, doc BIGINT, open BOOLEAN, lo INT"
+
+
 def _windows(spec: Repeats, spans: list[bytes]) -> tuple[np.ndarray, ...]:
     """All windows of spans: which span, place in it, and two hashes."""
     n = spec.size
@@ -272,16 +275,17 @@ def covered_ranges(docs: DataFrame, spec: Repeats) -> DataFrame:
         F.collect_list(F.when(F.col("edge"), F.col("run"))).alias("edges"))
     ranges = staged(by_text.select("key", F.concat("inner", "whole").alias("covers"), "edges"), "ranges")
 
-    def edges(which: str) -> DataFrame:
+    def edges(which: str, emit: Callable, schema: str) -> DataFrame:
         chosen = ranges.select("key", F.filter("edges", lambda e: e["wide"] if which == "wide" else ~e["wide"]).alias("edges"))
         own = docs.join(chosen.filter(F.size("edges") > 0), F.col("_key") == F.col("key"))
-        return map_texts(own, _edge_rows(spec), EDGE_SCHEMA)
+        return map_texts(own, emit, schema)
 
-    near = edges("near")
+    spans = _edge_rows(spec)
+    near = edges("near", spans, EDGE_SCHEMA)
     near = near.repartitionByRange("lead", "a") if spec.lead else near.repartition("a")
     near = near.sortWithinPartitions("a").mapInArrow(_compare(spec), "key BIGINT, cover " + COVER)
-    rows = edges("wide").mapInArrow(
-        _wide_rows(spec), "h0 BIGINT, h1 BIGINT, key BIGINT, doc BIGINT, open BOOLEAN, lo INT")
+    windows = _wide_rows(spec)
+    rows = edges("wide", lambda batches: windows(spans(batches)), WINDOW_SCHEMA)
     sums = rows.groupBy("h0", "h1").agg(F.min("doc").alias("least"), F.count("*").alias("n"))
     wide = rows.join(sums, ["h0", "h1"]).filter("open AND " + ("doc > least" if spec.earlier else "n > 1")).select(
         "key", F.array(F.struct("lo", (F.col("lo") + spec.size).alias("hi"))).alias("cover"))
