@@ -49,7 +49,7 @@ class Repeats:
     anchor: int
     earlier: bool
     wide: int = 4096
-    lead: bool = False  # deal spans by ranges of their anchors' leading bytes
+    lead: bool = False  # deal spans by ranges of their anchors' leading bytes (units are bytes)
 
     def buffer(self, texts: list[bytes]):
         """Bytes, unit starts, unit ends (both None for bytes), and first units of texts."""
@@ -80,8 +80,9 @@ def covered_mask(lists: pa.ListArray | pa.ChunkedArray, row: int, size: int) ->
 
 
 COVER = "ARRAY<STRUCT<lo: INT, hi: INT>>"
-# ``place`` packs a run's first window, number of further windows, and whether its span repeats in its block.
-RUN_SCHEMA = "a BIGINT, s BIGINT, key BIGINT, doc BIGINT, place BIGINT, cover " + COVER
+# ``place`` packs a run's first window, number of further windows, and whether its span repeats in its block;
+# ``at`` is the anchor's place in the span.
+RUN_SCHEMA = "a BIGINT, s BIGINT, key BIGINT, doc BIGINT, place BIGINT, at INT, cover " + COVER
 
 
 def _run_rows(spec: Repeats) -> Callable:
@@ -108,13 +109,13 @@ def _run_rows(spec: Repeats) -> Callable:
             span = Hasher(data, 1)
             s = span(low, high + n) if start is None else span(start[low], end[high + n - 1])
             base = first[text]
-            parts.append((pieces[anchor], s, text + first_text, low - base, high - base))
+            parts.append((pieces[anchor], s, text + first_text, low - base, high - base, (anchor - low).astype(np.int32)))
         if not parts:
             return
-        a, s, text, low, high = (np.concatenate(p) for p in zip(*parts))
+        a, s, text, low, high, at = (np.concatenate(p) for p in zip(*parts))
         doc = docs[text]
         order = np.lexsort((low, text, doc, s, a))
-        a, s, text, low, high, doc = (x[order] for x in (a, s, text, low, high, doc))
+        a, s, text, low, high, at, doc = (x[order] for x in (a, s, text, low, high, at, doc))
         new = np.concatenate(([True], (a[1:] != a[:-1]) | (s[1:] != s[:-1]))) if len(a) else np.zeros(0, bool)
         group = np.cumsum(new) - 1
         begins = np.flatnonzero(new)
@@ -136,9 +137,9 @@ def _run_rows(spec: Repeats) -> Callable:
         yield pa.RecordBatch.from_arrays([
             both(a[ship].view(np.int64), own_keys), both(s[ship].view(np.int64), own_keys),
             both(keys[text[ship]], own_keys), both(doc[ship], own_keys),
-            both(place, np.zeros(n_cover, dtype=np.int64)),
+            both(place, np.zeros(n_cover, dtype=np.int64)), both(at[ship], np.zeros(n_cover, dtype=np.int32)),
             pa.concat_arrays([pa.nulls(len(ship), cover.type), cover]),
-        ], names=["a", "s", "key", "doc", "place", "cover"])
+        ], names=["a", "s", "key", "doc", "place", "at", "cover"])
 
     return emit
 
@@ -157,7 +158,9 @@ def _edge_rows(spec: Repeats) -> Callable:
                 for e in edges:
                     low, high = e["lo"], e["hi"] + n - 1
                     span = whole[low:high + 1] if start is None else whole[start[low]:end[high]]
-                    for c, v in (("a", e["a"]), ("lead", span[:8]), ("key", key), ("doc", doc), ("lo", low),
+                    # Equal anchors have equal bytes here, whatever text the span has before them.
+                    lead = span[e["at"]:e["at"] + min(8, spec.anchor)] if spec.lead else b""
+                    for c, v in (("a", e["a"]), ("lead", lead), ("key", key), ("doc", doc), ("lo", low),
                                  ("open", e["open"]), ("span", span)):
                         rows[c].append(v)
             types = dict(a=pa.int64(), lead=pa.binary(), key=pa.int64(), doc=pa.int64(), lo=pa.int32(), open=pa.bool_(),
@@ -266,7 +269,7 @@ def covered_ranges(docs: DataFrame, spec: Repeats) -> DataFrame:
     high = low + F.shiftright("place", 1).bitwiseAND(0xFFFF).cast("int")
     settled = ranked.filter(F.col("cover").isNotNull() | F.col("covered") | edge).select(
         "key", "cover", "covered", edge.alias("edge"),
-        F.struct("a", low.alias("lo"), high.alias("hi"), (~F.col("covered")).alias("open"),
+        F.struct("a", "at", low.alias("lo"), high.alias("hi"), (~F.col("covered")).alias("open"),
                  (F.col("spans") > spec.wide).alias("wide")).alias("run"))
     by_text = settled.groupBy("key").agg(
         F.flatten(F.collect_list("cover")).alias("inner"),

@@ -6,10 +6,11 @@ its copies.  Suffixes that stand for a whole repeated span are settled by
 hash.  Those at the edges of repeats are range-partitioned by their leading
 bytes, with splitters that Spark samples, and each range sorts its suffixes
 locally on several keys: the anchor, then two 64-bit keys of the ``size`` bytes
-compared.  Neighbours that are equal are repeats.  Equal leading bytes never
-fall into two ranges, so no comparison is missed across boundaries; a leading
-anchor with very many suffixes is not one range's work but is compared as
-rows, spread by content (see :mod:`repeats`).
+compared.  Neighbours that are equal are repeats.  Ranges are cut by the bytes
+at the anchor itself, then by its hash, so equal anchors never fall into two
+ranges, whatever text stands before them, and no comparison is missed across
+boundaries; a leading anchor with very many suffixes is not one range's work
+but is compared as rows, spread by content (see :mod:`repeats`).
 
 Texts are UTF-8 bytes; NULL counts as empty; matches never cross documents;
 equal rows are documents of their own, so both lose what they share; an

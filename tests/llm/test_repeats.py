@@ -1,5 +1,7 @@
 """Substring dedup and suffix-array dedup against brute force."""
 
+import random
+import string
 from collections import Counter
 
 import numpy as np
@@ -82,6 +84,32 @@ def test_anchors_with_many_spans_are_compared_as_rows(docs, corpus, monkeypatch,
         assert Counter((a, b, c, bytes(d)) for a, b, c, d in got) == repeated_bytes(corpus, 200)
 
 
+def test_repeats_after_different_text_meet_in_one_range(spark):
+    """Copies of a passage whose runs begin in different text must not be dealt to different ranges."""
+    rng = random.Random(11)
+
+    def letters(n):
+        return "".join(rng.choices(string.ascii_lowercase + " ", k=n))
+
+    rows = []
+    for _ in range(40):
+        passage = letters(rng.randrange(200, 401))
+        rows += [(len(rows) + i, letters(rng.randrange(160, 400)) + passage + letters(rng.randrange(160, 400))) for i in range(2)]
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "50"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        frame = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(8)
+        got = suffixes.remove_repeated_bytes(frame).select("doc_id", "n_bytes", "n_removed", "kept").collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    want = repeated_bytes(rows, 200)
+    assert min(n for _, _, n, _ in want) >= 200
+    assert Counter((a, b, c, bytes(d)) for a, b, c, d in got) == want
+
+
 def test_removed_spans_are_maximal(docs):
     for row in suffixes.remove_repeated_bytes(docs, 50).collect():
         spans = [(s["start"], s["end"]) for s in row["removed"]]
