@@ -82,12 +82,14 @@ def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words that the mix takes of every document."""
     docs = read_table(spark, folder, "documents")
-    sized = staged(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "sizes")
+    # Ids may be NULL or repeat; the row's number, written with it, tells rows apart.
+    sized = staged(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"),
+                               F.monotonically_increasing_id().alias("row")), "sizes")
     allocated, _ = mixing.allocate(sized, size=F.col("size"))
     copies = mixing.mix(sized, size=F.col("size"))
-    taken = copies.groupBy("doc_id").agg(F.sum("mix_words").alias("taken"))
-    sources = allocated.select("doc_id", "size", F.col("_mix_source").alias("source_size"), F.col("_mix_target").alias("target"))
-    return sources.join(taken, "doc_id", "left").select(
+    taken = copies.groupBy("row").agg(F.sum("mix_words").alias("taken"))
+    sources = allocated.select("row", "doc_id", "size", F.col("_mix_source").alias("source_size"), F.col("_mix_target").alias("target"))
+    return sources.join(taken, "row", "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 

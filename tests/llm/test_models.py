@@ -145,6 +145,26 @@ def test_mixture(request, which):
         assert len(words_of(r["text"])) == r["mix_words"]
 
 
+def test_mixing_query_counts_words_by_row(spark, tmp_path):
+    """Rows without an id, or that share one, report what the mix takes of each."""
+    from larkspur.llm.queries import QUERIES
+
+    rows = [(None if i % 5 == 0 else i // 4, "abc"[i % 3], "w " * (3 + i % 11)) for i in range(120)]
+    rows += [(900, None, "one two"), (900, "a", None), (None, "b", "")]
+    spark.createDataFrame(rows, "doc_id BIGINT, source STRING, text STRING").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op5_mixing"](spark, str(tmp_path)).collect()
+    assert Counter((r["doc_id"], r["size"]) for r in got) == Counter((d, len(words_of(t))) for d, _, t in rows)
+    assert all(0 <= r["taken"] <= 3 * r["size"] for r in got)
+    totals = Counter()
+    for r in got:
+        totals[r["source_size"], r["target"]] += r["taken"]
+    assert all(taken == round(target) for (_, target), taken in totals.items())
+    frame = spark.createDataFrame([(d, s, len(words_of(t))) for d, s, t in rows], "doc_id BIGINT, source STRING, size BIGINT")
+    taken = mixing.allocate(frame, size=F.col("size"))[0].select(
+        "doc_id", "size", (F.col("_mix_passes") * F.col("mix_size") + F.col("_mix_part")).alias("taken")).collect()
+    assert Counter((r["doc_id"], r["size"], r["taken"]) for r in got) == Counter(map(tuple, taken))
+
+
 def test_empty_mixture(no_docs):
     assert mixing.mix(no_docs).count() == 0
 
