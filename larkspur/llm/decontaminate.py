@@ -3,12 +3,15 @@
 The automaton of all benchmark items, over normalised words, is built once
 and sent to the tasks.  Each task streams the words of its documents through
 it and keeps the length of the longest match that ends at each word; where
-that length reaches the window, the words of the window are hit.  There is no
-shuffle at all, so no key can be hot.
+that length reaches the window, the words of the window are hit.  Up to
+``words_per_automaton`` benchmark words there is no shuffle at all, so no key
+can be hot.
 
-A benchmark is a stated, small set.  Its words are counted first: up to
-``words_per_automaton`` of them go into one automaton (that bounds what is
-sent), a larger benchmark is cut into several, and the documents pass each.
+Spark counts the benchmark's words first.  A larger benchmark is cut into parts
+of at most so many words, an item beyond that into pieces that overlap by a
+window less one word.  The driver and the tasks hold one part at a time: its
+automaton is sent, all documents pass it, the hits are written, and it is
+dropped before the next; hits of all parts then meet by row.
 
 Texts are lower-cased in A-Z; words are runs of ASCII letters and digits and
 of all characters beyond ASCII.  A NULL or empty text has no words and is not
@@ -22,12 +25,14 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from larkspur.llm.common import map_texts, text_bytes, without
+from larkspur.llm.common import map_texts, staged, text_bytes, without
 
 TOKEN = re.compile(rb"[0-9a-z\x80-\xff]+")
 REPORT = ("n_words", "n_hit", "hit_items", "hit_spans")
+INNER = ("_leak_row", "_leak_hit_spans", "_leak_hit_items")
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -123,17 +128,53 @@ class Automaton:
         return spans, items
 
 
-def automata(benchmark: DataFrame, window: int, words_per_automaton: int) -> Iterator[Automaton]:
-    """Automata of at most so many words each; a longer item has one of its own."""
-    part, total = [], 0
-    for row in benchmark.select("item_id", "text").orderBy("item_id", "text").toLocalIterator():
-        words = words_of((row["text"] or "").encode())
-        if part and total + len(words) > words_per_automaton:
-            yield Automaton(part, window)
-            part, total = [], 0
-        part.append((row["item_id"], words))
-        total += len(words)
-    yield Automaton(part, window)
+# A word of a text that is not yet lower-cased.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def parts_of(benchmark: DataFrame, window: int, words_per_automaton: int) -> DataFrame:
+    """``(task, part, item_id, words)``: pieces of items, in parts of at most so many words (or one window) each.
+
+    A part is named by the task that packed it and its number there.
+    """
+    limit = max(window, words_per_automaton)
+    schema = T.StructType([T.StructField("task", T.IntegerType()), T.StructField("part", T.IntegerType()),
+                           benchmark.schema["item_id"], T.StructField("words", T.BinaryType())])
+    types = [pa.int32(), pa.int32(), None, pa.binary()]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, part, total = TaskContext.get().partitionId(), 0, 0
+        for batch in batches:
+            places, numbers, pieces = [], [], []
+            for place, text in enumerate(text_bytes(batch.column("text"))):
+                words = words_of(text)
+                # Pieces start where windows are left, so each window is whole in one of them.
+                for start in range(0, max(1, len(words) - window + 1) if words else 0, limit - window + 1):
+                    piece = words[start:start + limit]
+                    if total and total + len(piece) > limit:
+                        part, total = part + 1, 0
+                    total += len(piece)
+                    places.append(place)
+                    numbers.append(part)
+                    pieces.append(b" ".join(piece))
+            columns = [[task] * len(places), numbers, batch.column("item_id").take(pa.array(places, pa.int64())), pieces]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) if t else c for c, t in zip(columns, types)], names=schema.names)
+
+    items = benchmark.select("item_id", "text")
+    total = items.agg(F.sum(F.regexp_count("text", F.lit(WORD)))).first()[0] or 0
+    tasks = -(-total // limit)
+    return staged(map_texts(items.repartition(tasks) if tasks > 1 else items.coalesce(1), pack, schema), "benchmark-parts")
+
+
+def automata(parts: DataFrame, window: int) -> Iterator[Automaton]:
+    """The automaton of each part, one after the other; without any words, one that matches nothing."""
+    names = parts.select("task", "part").distinct().orderBy("task", "part").collect()
+    for task, part in names:
+        rows = parts.filter((F.col("task") == task) & (F.col("part") == part)).collect()
+        yield Automaton([(r["item_id"], bytes(r["words"]).split(b" ")) for r in rows], window)
+    if not names:
+        yield Automaton([], window)
 
 
 def _merge(spans: list[list[int]]) -> list[list[int]]:
@@ -154,21 +195,49 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10,
     are sorted.  Columns of ``docs`` with these names are replaced.
     """
     base, result = _prepared(docs, benchmark.schema["item_id"].dataType)
-    return map_texts(result, _chained(_scanners(docs, benchmark, window, words_per_automaton)), result.schema).withColumn(
+    found, step = _found(result, benchmark, window, words_per_automaton)
+    return map_texts(found, step, result.schema).withColumn(
         "n_hit", F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + (s[1] - s[0]))).select(*base.columns, *REPORT)
 
 
 def _prepared(docs: DataFrame, item_type: T.DataType) -> tuple[DataFrame, DataFrame]:
     """``docs`` without columns of the report's names, and with empty columns for what scanning finds."""
-    base = without(docs, REPORT)
+    base = without(docs, [*REPORT, *INNER])
     span = T.ArrayType(T.ArrayType(T.IntegerType()))
     return base, base.withColumns({"n_words": F.lit(None).cast("long"), "hit_spans": F.lit(None).cast(span),
                                    "hit_items": F.lit(None).cast(T.ArrayType(item_type))})
 
 
-def _scanners(docs: DataFrame, benchmark: DataFrame, window: int, words_per_automaton: int) -> list:
-    context = docs.sparkSession.sparkContext
-    return [_scanner(context.broadcast(part)) for part in automata(benchmark, window, words_per_automaton)]
+def _found(result: DataFrame, benchmark: DataFrame, window: int, words_per_automaton: int) -> tuple:
+    """Documents, and the last step that completes their report.
+
+    With one part that step scans them.  With more, each part's hits are
+    written before the next is sent, and the step joins those of a document.
+    """
+    context = result.sparkSession.sparkContext
+    parts = parts_of(benchmark, window, words_per_automaton)
+    if parts.select("task", "part").distinct().count() <= 1:
+        return result, _scanner(context.broadcast(next(automata(parts, window))))
+    fields = [f for f in result.schema.fields if f.name in ("hit_spans", "hit_items")]
+    hit_schema = T.StructType([T.StructField("_leak_row", T.LongType()), *fields])
+    # The row's number is written, so that every part and the join read the same one.
+    numbered = staged(result.withColumn("_leak_row", F.monotonically_increasing_id()), "numbered")
+    texts, hits = numbered.select("_leak_row", "text", "n_words", "hit_spans", "hit_items"), None
+    for automaton in automata(parts, window):
+        shared = context.broadcast(automaton)
+        own = staged(map_texts(texts, _chained([_scanner(shared), _only_hits]), hit_schema), "hits")
+        shared.destroy()
+        hits = own if hits is None else hits.union(own)
+    joined = hits.groupBy("_leak_row").agg(*(F.flatten(F.collect_list(c)).alias(f"_leak_{c}") for c in ("hit_spans", "hit_items")))
+    columns = {c: F.col(f"_leak_{c}") for c in ("hit_spans", "hit_items")}
+    return numbered.join(joined, "_leak_row", "left").select(
+        *[columns[c].alias(c) if c in columns else F.col(f"`{c}`") for c in result.columns]), _scanner(None)
+
+
+def _only_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        some = pa.array([bool(spans) for spans in batch.column("hit_spans").to_pylist()], pa.bool_())
+        yield batch.select(["_leak_row", "hit_spans", "hit_items"]).filter(some)
 
 
 def _chained(steps: list):
@@ -182,14 +251,15 @@ def _chained(steps: list):
 
 
 def _scanner(shared):
+    """Scan texts by an automaton; without one, join what is known of them."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = shared.value
+        automaton = shared.value if shared else None
         for batch in batches:
             counts, all_spans, all_items = [], [], []
             known = zip(batch.column("hit_spans").to_pylist(), batch.column("hit_items").to_pylist())
             for text, (spans, items) in zip(text_bytes(batch.column("text")), known):
                 words = words_of(text)
-                more, hit = automaton.scan(words)
+                more, hit = automaton.scan(words) if automaton else ([], set())
                 counts.append(len(words))
                 all_spans.append(_merge((spans or []) + more) if spans else more)
                 all_items.append(sorted(hit.union(items or ()), key=lambda x: (x is not None, x)))
@@ -210,6 +280,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_c
     """
     base, result = _prepared(docs, benchmark.schema["item_id"].dataType)
     schema = base.schema
+    found, step = _found(result, benchmark, window, words_per_automaton)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -231,4 +302,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_c
                 [pa.array(texts, batch.schema.field("text").type) if c == "text" else batch.column(c) for c in schema.names],
                 names=schema.names).filter(pa.array(kept, pa.bool_()))
 
-    return map_texts(result, _chained([*_scanners(docs, benchmark, window, words_per_automaton), cut]), schema)
+    return map_texts(found, _chained([step, cut]), schema)

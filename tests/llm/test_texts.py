@@ -54,6 +54,41 @@ def test_hits_against_brute_force(leaky, limit):
     assert got == {i: hits(t, items) for i, t in texts}
 
 
+def test_a_large_benchmark_passes_in_bounded_parts(leaky, spark, monkeypatch):
+    """No automaton exceeds its words, a long item is cut without losing a window, and hits of all parts meet."""
+    rng = random.Random(8)
+    long_item = prose(rng, 230, 300)
+    items = [*leaky[3][:25], (70, long_item), (71, prose(rng, 61, 300)), (None, prose(rng, 12, 300))]
+    words = long_item.split()
+    texts = [f"{prose(rng, 4)} {' '.join(words[i:i + 10])} {prose(rng, 4)}" for i in range(0, 221)]
+    texts += [long_item, " ".join(words[30:150]), items[26][1], items[27][1], items[26][1], None, ""] + [t for _, t in leaky[2]]
+    sizes, build = [], decontaminate.Automaton.__init__
+
+    def recorded(self, items, window):
+        items = list(items)
+        sizes.append(sum(len(words) for _, words in items))
+        build(self, items, window)
+
+    monkeypatch.setattr(decontaminate.Automaton, "__init__", recorded)
+    frame = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "doc_id BIGINT, text STRING")
+    benchmark = spark.createDataFrame(items, "item_id BIGINT, text STRING")
+    got = decontaminate.find_hits(frame, benchmark, words_per_automaton=60).collect()
+    assert len(sizes) > 5 and max(sizes) <= 60
+
+    def row(doc, n, hit, found):
+        return doc, n, hit, tuple(sorted(found, key=lambda x: (x is not None, x or 0)))
+
+    def expected(text):
+        named = [(-1 if key is None else key, item) for key, item in items]
+        n, hit, found = hits(text, named)
+        return n, hit, [None if key == -1 else key for key in found]
+
+    assert Counter(row(r["doc_id"], r["n_words"], r["n_hit"], r["hit_items"]) for r in got) == Counter(
+        row(i // 2, *expected(t)) for i, t in enumerate(texts))
+    one = {(r["doc_id"], r["text"]) for r in decontaminate.decontaminate(frame, benchmark).collect()}
+    assert one == {(r["doc_id"], r["text"]) for r in decontaminate.decontaminate(frame, benchmark, words_per_automaton=60).collect()}
+
+
 def test_clean_texts_stay_and_spans_go(leaky, spark):
     docs, benchmark, texts, items = leaky
     long_items = benchmark.filter("item_id < 25")
