@@ -1,13 +1,13 @@
-"""N-gram Jaccard join: a MinHash LSH forest, then exact verification.
+"""N-gram Jaccard join: MinHash banding of one fixed depth, then exact verification.
 
 1. Equal texts are one node, whatever their number.
-2. Each text is a set of shingles (``words`` consecutive words).  A tree of the
-   forest orders texts by a signature of MinHash values; texts that share a
-   node of its trie share a prefix.  Matched prefixes start at ``max_depth``
-   values and are shortened until a pair at the threshold is found by one of
-   the trees with probability ``recall`` or more.
-3. Texts that share a trie node are linked to the node's least text only, so a
-   node of ``n`` texts gives ``n - 1`` links; components of these links are
+2. Each text is a set of shingles (``words`` consecutive words).  A tree is a
+   band of MinHash values of one depth, the largest up to ``max_depth`` by
+   which a pair at the threshold meets in one of the trees with probability
+   ``recall`` or more.  It follows from the settings, not from the data: there
+   are no sorted tries, and deeper prefixes are never built.
+3. Texts that share a band's key are linked to the key's least text only, so a
+   key of ``n`` texts gives ``n - 1`` links; components of these links are
    groups that hold every candidate pair.
 4. Groups are verified exactly, on whole shingle sets: a group beyond
    ``block`` texts is cut into blocks and each pair of blocks is one task.
