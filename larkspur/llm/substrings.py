@@ -1,9 +1,9 @@
-"""Substring dedup by seed and extend: drop words that an earlier document already says.
+"""Substring dedup from winnowed seeds: drop words that an earlier document already says.
 
 Documents are joined on winnowed anchors (four-word seeds, the least hash of
-every window), seeds that meet are extended both ways, first by the hash of
-all windows around the seed, at the edges of a match word by word, and what is
-left are the maximal repeats of at least ``window`` words: each word of a
+every window).  Where seeds meet, the hash of all windows around the seed is
+compared first; at the edges of a match each window of ``window`` words is
+hashed and compared, in place of extending the match both ways: each word of a
 window that also starts in a document with a smaller ``doc_id`` goes.  See
 :mod:`repeats` for the steps and for how hot seeds are handled.
 

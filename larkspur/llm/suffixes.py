@@ -4,9 +4,9 @@ Suffixes are sampled by content (a window's anchor, see :mod:`anchors`), so a
 repeat of ``size`` bytes holds a sampled suffix at the same place in each of
 its copies.  Suffixes that stand for a whole repeated span are settled by
 hash.  Those at the edges of repeats are range-partitioned by their leading
-bytes, with splitters that Spark samples, and each range sorts its suffixes
-locally on several keys: the anchor, then two 64-bit keys of the ``size`` bytes
-compared.  Neighbours that are equal are repeats.  Ranges are cut by the bytes
+bytes, with splitters that Spark samples.  A range sorts its rows by the
+anchor's hash, then groups their windows by two 64-bit hashes of the ``size``
+bytes; equal ones are repeats, and no suffix is ordered by its bytes.  Ranges are cut by the bytes
 at the anchor itself, then by its hash, so equal anchors never fall into two
 ranges, whatever text stands before them, and no comparison is missed across
 boundaries; a leading anchor with very many suffixes is not one range's work
