@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larkspur.llm import (
     chat, decontaminate, fingerprints, html_text, lm_scores, mixing, near_duplicates, quality, substrings, suffixes,
+    token_files,
 )
 from larkspur.llm.common import n_words, read_table, staged
+from larkspur.sources.shared import work_path
 
 QUERIES, SQL = {}, {}
 
@@ -194,3 +196,11 @@ def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """Bigram and unigram scores of all documents, learned from those that are not held out."""
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     return lm_scores.score_documents(docs, ~lm_scores.held_out(F.col("doc_id")))
+
+
+@query()
+def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of all documents, written as wavelet matrices and read back from the files."""
+    path = work_path(spark, "token-files")
+    token_files.write_token_files(read_table(spark, folder, "documents").select("doc_id", "text"), path)
+    return token_files.document_checksums(token_files.read_token_files(spark, path))
