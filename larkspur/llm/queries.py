@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larkspur.llm import (
-    chat, decontaminate, fingerprints, html_text, lm_scores, mixing, near_duplicates, quality, substrings, suffixes,
-    token_files,
+    chat, decontaminate, fingerprints, html_text, lm_scores, mixing, near_duplicates, quality, ranked_search, substrings,
+    suffixes, token_files, whitening,
 )
 from larkspur.llm.common import n_words, read_table, staged
 from larkspur.sources.shared import work_path
@@ -204,3 +204,30 @@ def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = work_path(spark, "token-files")
     token_files.write_token_files(read_table(spark, folder, "documents").select("doc_id", "text"), path)
     return token_files.document_checksums(token_files.read_token_files(spark, path))
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, {_TOKENS} AS words FROM documents),
+sized AS (SELECT doc_id, len(words) AS n FROM d WHERE len(words) > 0),
+total AS (SELECT count(*) AS N_docs, sum(n)::BIGINT AS L FROM sized),
+tfs AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(words) AS term FROM d) GROUP BY 1, 2),
+dfs AS (SELECT term, count(*) AS df FROM tfs GROUP BY 1),
+asked AS (SELECT item_id, term, count(*) AS repeats FROM (SELECT item_id, unnest({_TOKENS}) AS term FROM benchmark) GROUP BY 1, 2),
+weighed AS (SELECT item_id, term, repeats * floor(1000 * ln((2 * N_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+            FROM asked JOIN dfs USING (term), total),
+scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * N_docs) // L)))))::BIGINT AS score
+  FROM weighed JOIN tfs USING (term) JOIN sized USING (doc_id), total GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+""")
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return ranked_search.rank_documents(docs, read_table(spark, folder, "benchmark"))
+
+
+@query()
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Whitened leading components of all embeddings."""
+    return whitening.whitened_components(read_table(spark, folder, "embeddings"))
