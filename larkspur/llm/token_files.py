@@ -26,6 +26,9 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
+import sys
+import types
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -60,29 +63,30 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.words, self.model = words, self.tokenizer.model
+        if words:
+            # Letters that stay one piece within a word, and what the model sees of them.
+            seen = {c: self._pieces(f"a{c}a") for c in map(chr, range(0x180)) if c.isalpha()}
+            self.letters = {ord(c): p[0][1:-1] for c, p in seen.items() if len(p) == 1}
+            self.plain = re.compile("([" + "".join(map(chr, self.letters)) + "]+)([,.])?")
         self.start_anew()
 
     def start_anew(self) -> None:
         self.slots, self.flat, self.ends = {}, array("I"), array("q", [0])
 
-    def _word(self, word: str) -> list[int]:
-        if "<" in word:
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
-        if word.isascii() and word.isalpha():
-            return [t.id for t in self.model.tokenize(word.lower())]
-        pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(word))
-        return [t.id for piece, _ in pieces for t in self.model.tokenize(piece)]
+    def _pieces(self, text: str) -> list[str]:
+        return [piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(text))]
 
     def _ids(self, word: str) -> list[int] | array:
-        """Ids of a word; a closing comma or stop behind a plain letter is a piece of its own."""
-        if len(word) > 1 and word[-1] in ",." and "<" not in word and word[-2].isascii() and word[-2].isalpha():
-            core = self._slot(word[:-1])
-            return self.flat[self.ends[core]:self.ends[core + 1]] + self.flat[slice(*self._span(word[-1]))]
-        return self._word(word)
-
-    def _span(self, word: str) -> tuple[int, int]:
-        slot = self._slot(word)
-        return self.ends[slot], self.ends[slot + 1]
+        """Ids of a word; a closing comma or stop behind plain letters is a piece of its own."""
+        if found := self.plain.fullmatch(word):
+            core, stop = found.groups()
+            if not stop:
+                return [t.id for t in self.model.tokenize(word.translate(self.letters))]
+            core, stop = self._slot(core), self._slot(stop)
+            return self.flat[self.ends[core]:self.ends[core + 1]] + self.flat[self.ends[stop]:self.ends[stop + 1]]
+        if "<" in word:
+            return self.tokenizer.encode(word, add_special_tokens=False).ids
+        return [t.id for piece in self._pieces(word) for t in self.model.tokenize(piece)]
 
     def _slot(self, word: str) -> int:
         found = self.slots.get(word)
@@ -115,6 +119,15 @@ class Encoder:
         return ids, total[split.offsets.to_numpy() - split.offsets[0].as_py()]
 
 
+def _encoder(definition: str, words: bool) -> Encoder:
+    """The encoder of this Python worker, which its later tasks find again."""
+    kept = sys.modules.setdefault("_larkspur_encoders", types.ModuleType("_larkspur_encoders")).__dict__
+    key = f"{zlib.crc32(definition.encode())}-{len(definition)}-{words}"
+    if key not in kept:
+        kept[key] = Encoder(definition, words)
+    return kept[key]
+
+
 def _unit(numbers: np.ndarray) -> np.ndarray:
     return (mix64(numbers.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)).astype(np.int64)
 
@@ -158,7 +171,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seen = Encoder(definition, words), TaskContext.get().partitionId() << 40
+        encoder, seen = _encoder(definition, words), TaskContext.get().partitionId() << 40
         for block in blocks(batches, 8 << 20):
             ids, first = encoder(block.column("text"))
             if end_id is not None:
