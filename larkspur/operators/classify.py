@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -13,12 +14,11 @@ from larkspur.functions.cleaning import to_binary_label
 from larkspur.operators.prepare import (
     ASSEMBLED, FEATURES, ID, LABEL, feature_columns, feature_stages, prepare, stage_vectors,
 )
+from larkspur.operators.slices import deal_rows, planned_slices
 from larkspur.sources.shared import delete_work, work_path
 
 # Penalty names and the share of L1 in each.
 PENALTIES = {"ridge": 0.0, "lasso": 1.0}
-# Slices of a training table, whatever the cluster; raise it with the table.
-PARTS = 16
 
 
 def penalty_mix(penalty: str | None, reg_param: float) -> float:
@@ -56,25 +56,26 @@ def forest(label: str = LABEL, num_trees: int = 20, max_depth: int = 5, seed: in
 
 
 def fit_logistic(df: DataFrame, features: Sequence[str] | None = None, label: str = LABEL,
-                 staged: bool = True, parts: int = PARTS, **settings) -> PipelineModel:
+                 staged: bool = True, parts: int | None = None, **settings) -> PipelineModel:
     """Assemble, scale and fit a logistic regression; ``settings`` as in :func:`logistic`.
 
     ``df`` holds prepared rows.  The fitted scaling is part of the model, so
     new rows are scaled as the training rows were, not by their own spread.
-    With ``staged`` the assembled rows are written once to the shared folder,
-    in ``parts`` files, every pass of the fit reads that table, and it is
-    deleted when the fit ends.
+    With ``staged`` the assembled rows are written once to the shared folder
+    and dealt by content into ``parts`` slices, which the size of that table
+    decides unless it is named; every pass of the fit reads the slices, and
+    the table is deleted when the fit ends.
     """
     return _fit(df, features, label, logistic(label, **settings), staged, parts, ordered=False)
 
 
 def fit_forest(df: DataFrame, features: Sequence[str] | None = None, label: str = LABEL,
-               staged: bool = True, parts: int = PARTS, **settings) -> PipelineModel:
+               staged: bool = True, parts: int | None = None, **settings) -> PipelineModel:
     """Assemble, scale and fit a random forest; ``settings`` as in :func:`forest`.
 
-    Rows are dealt into ``parts`` by their content and sorted, so that a seed
-    draws the same rows, and grows the same forest, on any cluster and from
-    any number of files.
+    Rows are dealt into ``parts`` slices by their content and sorted, so that a
+    seed draws the same rows, and grows the same forest, on any cluster and
+    from any number of files.
     """
     return _fit(df, features, label, forest(label, **settings), staged, parts, ordered=True)
 
@@ -83,17 +84,19 @@ def _fit(df, features, label, estimator, staged, parts, ordered) -> PipelineMode
     columns = list(features or feature_columns(df.columns, label_col=label))
     assembler, scaler = feature_stages(columns)
     rows = assembler.transform(df.select(label, *columns)).select(label, ASSEMBLED)
+    single = all(isinstance(df.schema[c].dataType, T.FloatType) for c in columns)
     path = work_path(df.sparkSession, "assembled")
     try:
         if staged:
-            single = all(isinstance(df.schema[c].dataType, T.FloatType) for c in columns)
-            rows = stage_vectors(rows.repartition(parts), path, ASSEMBLED, single)
-        if ordered:
-            content = F.xxhash64(label, vector_to_array(ASSEMBLED))
-            rows = rows.withColumn("__content", content).repartition(parts, "__content").sortWithinPartitions("__content").drop("__content")
+            rows = stage_vectors(rows, path, ASSEMBLED, single)
+        if staged or ordered:
+            n = parts or planned_slices(rows.count(), 8 + len(columns) * (4 if single else 8))
+            # Kept for the passes of the fit; what an executor loses is dealt again from the staged table.
+            rows = deal_rows(rows, n, label, ASSEMBLED).persist(StorageLevel.MEMORY_AND_DISK)
         scaling = scaler.fit(rows)
         fitted = estimator.fit(scaling.transform(rows))
     finally:
+        rows.unpersist()
         delete_work(df.sparkSession, path)
     return PipelineModel(stages=[assembler, scaling, fitted])
 
@@ -152,11 +155,11 @@ def coefficients(spark: SparkSession, model: PipelineModel) -> DataFrame:
 
 def select_features(df: DataFrame, features: Sequence[str] | None = None, label: str = LABEL,
                     max_iter: int = 10, reg_param: float = 0.1, elastic_net_param: float = 1.0,
-                    staged: bool = True) -> DataFrame:
+                    staged: bool = True, parts: int | None = None) -> DataFrame:
     """Features that keep a non-zero coefficient under an L1 penalty."""
     if int(max_iter) != max_iter:
         raise ValueError("max_iter must be a whole number")
-    model = fit_logistic(df, features, label, staged, max_iter=max_iter, reg_param=reg_param,
+    model = fit_logistic(df, features, label, staged, parts, max_iter=max_iter, reg_param=reg_param,
                          elastic_net_param=elastic_net_param)
     return coefficients(df.sparkSession, model).filter("coefficient <> 0")
 

@@ -70,11 +70,11 @@ def run(spark: SparkSession, train_path: str | None = None, predict_path: str |
 
 
 def select_features(spark: SparkSession, path: str, max_iter: int = 10, reg_param: float = 0.1,
-                    elastic_net_param: float = 1.0) -> DataFrame:
+                    elastic_net_param: float = 1.0, parts: int | None = None) -> DataFrame:
     """Features of a table that survive an L1 penalty, with their weights."""
     rows = prepare(read_feature_csv(spark, path))
     return classify.select_features(rows, max_iter=max_iter, reg_param=reg_param,
-                                    elastic_net_param=elastic_net_param)
+                                    elastic_net_param=elastic_net_param, parts=parts)
 
 
 def train_libsvm(spark: SparkSession, path: str, model_path: str, num_features: int,
