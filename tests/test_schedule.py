@@ -62,9 +62,33 @@ def test_any_history(spark, losses):
 
 def test_odd_losses(spark):
     inf, nan = float("inf"), float("nan")
-    check(spark, {1: [nan, inf, nan, 3.0, nan, 2.0, nan, nan, nan, 0.0, 0.0, 0.0, 0.0]}, part_epochs=2)
-    with pytest.raises(Exception, match="not negative"):
-        rates(spark, {1: [1.0, -1.0]})
+    runs = {1: [nan, inf, nan, 3.0, nan, 2.0, nan, nan, nan, 0.0, 0.0, 0.0, 0.0], 2: [nan, nan, nan, nan], 3: [inf] * 9,
+            4: [1.0, -inf, -inf, -5.0, 2.0], 5: [-0.0, 0.0, -1e-300, 1.0]}
+    for part_epochs in (2, 1_000_000):
+        check(spark, runs, part_epochs=part_epochs)
+    none = spark.createDataFrame([(1, 0, None), (1, 1, 2.0), (1, 2, None)], "run_id BIGINT, epoch BIGINT, loss DOUBLE")
+    assert [(r["best_loss"], r["bad_epochs"]) for r in schedule.plateau_rates(none).orderBy("epoch").collect()] == [
+        (inf, 1), (2.0, 0), (2.0, 1)]
+    assert schedule.plateau_rates(none.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("part_epochs, fold_events", [(3, 10 ** 6), (100, 150), (10 ** 6, 10 ** 6)])
+def test_losses_of_any_sign(spark, part_epochs, fold_events):
+    """A negative best loss is beaten by losses that are a little worse, so it may drift."""
+    rng = np.random.default_rng(4)
+    runs = {r: rng.normal(size=rng.integers(1, 200)) for r in range(12)}
+    runs[50] = -1 + 1e-5 * rng.normal(size=600)
+    runs[51] = np.linspace(1, -1, 500)
+    runs[52] = -1 + np.arange(400) * 5e-5
+    runs[53] = np.concatenate([np.linspace(2, 1.999, 300), [-3.0], np.full(50, -3.0), np.full(50, -2.9999), np.full(20, 5.0)])
+    check(spark, runs, part_epochs=part_epochs, fold_events=fold_events)
+
+
+def test_plan_holds_no_python(spark):
+    rows = spark.createDataFrame([(1, 0, 2.0), (1, 5, 1.0)], "run_id BIGINT, epoch BIGINT, loss DOUBLE")
+    for part_epochs in (2, 1_000_000):
+        plan = schedule.plateau_rates(rows, part_epochs=part_epochs)._jdf.queryExecution().toString()
+        assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
 
 
 def test_stop_epoch(spark):
