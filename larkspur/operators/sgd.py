@@ -14,7 +14,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from larkspur.operators.linear import matrix_reader, zero_weights
@@ -22,6 +23,10 @@ from larkspur.operators.sampling import epoch_batches
 from larkspur.operators.schedule import plateau_tracker
 from larkspur.sources.shared import work_path
 
+# With more slots than this squared, tasks' vectors are added in groups first.
+WIDE = 8
+# Bytes of features in a block of steps.
+BLOCK_BYTES = 256 << 20
 HISTORY_SCHEMA = ("epoch INT, batch INT, batch_rows BIGINT, n_batches INT, n_rows BIGINT, "
                   "loss DOUBLE")
 EPOCHS_SCHEMA = "epoch INT, lr DOUBLE, test_loss DOUBLE, accuracy DOUBLE"
@@ -41,7 +46,7 @@ class Settings:
     seed: int = 0
     patience: int = 2
     target_accuracy: float = 0.8
-    steps_per_block: int = 64
+    steps_per_block: int | None = None
     digits: int | None = None
 
 
@@ -86,13 +91,21 @@ def _labelled(rows: DataFrame) -> DataFrame:
     return rows.select("features", F.col("label").cast("int").alias("label"))
 
 
+def summed(tasks: DataFrame, slots: int) -> DataFrame:
+    """``(total, n)`` of tasks' ``part`` vectors; on many slots they are added in groups first."""
+    groups = math.isqrt(slots)
+    if groups > WIDE:
+        tasks = tasks.groupBy((F.spark_partition_id() % groups).alias("group")).agg(Summarizer.sum(F.col("part")).alias("part"))
+    return tasks.agg(Summarizer.sum(F.col("part")).alias("total"), F.count(F.lit(1)).alias("n"))
+
+
 def batch_sums(rows: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, float, int]:
     """Summed softmax gradient, summed loss and row count of ``(features, label)`` rows.
 
-    Tasks' sums are added up in the cluster; the driver gets one number per weight.
+    Each task gives one vector; the JVM adds them up, in two levels where
+    tasks are many, and the driver gets one number per weight.
     """
     n_classes, width = weights.shape
-    n_cells = n_classes * width + 2
     forward = _forward(weights)
 
     def partial(record_batches):
@@ -109,12 +122,13 @@ def batch_sums(rows: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, float,
             count += len(y)
         if count:
             values = np.concatenate([grad.ravel(), [loss, count]])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(n_cells, dtype=np.int32)), pa.array(values)], ["cell", "value"])
+            yield pa.RecordBatch.from_arrays([pa.array([values], pa.list_(pa.float64()))], ["part"])
 
-    cells = _labelled(rows).mapInArrow(partial, "cell INT, value DOUBLE")
-    sums = cells.groupBy("cell").agg(F.sum("value").alias("value")).toArrow()
-    total = np.bincount(sums["cell"], weights=sums["value"], minlength=n_cells)
+    tasks = _labelled(rows).mapInArrow(partial, "part ARRAY<DOUBLE>").withColumn("part", array_to_vector("part"))
+    row = summed(tasks, rows.sparkSession.sparkContext.defaultParallelism).first()
+    if not row["n"]:
+        return np.zeros((n_classes, width)), 0.0, 0
+    total = row["total"].toArray()
     return total[:-2].reshape(n_classes, width), float(total[-2]), int(total[-1])
 
 
@@ -156,20 +170,31 @@ class Momentum:
         return weights - lr * (pull + self.momentum * self.velocity)
 
 
-def write_epoch(df: DataFrame, key: str, epoch: int, settings: Settings, path: str) -> None:
+def block_steps(settings: Settings, width: int) -> int:
+    """Steps in one directory: as many as settings say, or as hold some ``BLOCK_BYTES`` of features."""
+    if settings.steps_per_block:
+        return settings.steps_per_block
+    return max(1, BLOCK_BYTES // (settings.world * settings.batch_size * 4 * width))
+
+
+def write_epoch(df: DataFrame, key: str, epoch: int, settings: Settings, path: str, width: int) -> None:
     """Write one epoch's rows clustered by step.
 
     A step is the same batch number on every rank.  Steps are gathered into
-    directories of ``steps_per_block``, so reading one opens few files.  The
-    next epoch replaces this one: only a single copy of the data exists.
+    directories, so reading one opens few files, and a file keeps them in row
+    groups of about a step's share of it, of which a step's filter skips the
+    others.  The next epoch replaces this one: only a single copy of the data
+    exists.
     """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    group = max(4096, settings.world * settings.batch_size * 4 * width // slots)
     rows = epoch_batches(df, key, settings.seed, epoch, settings.world, settings.batch_size,
                          digits=settings.digits)
     placed = rows.select(
         F.col("batch").cast("int").alias("step"), "features", F.col("label").cast("int").alias("label"),
-        F.expr(f"cast(batch div {int(settings.steps_per_block)} as int)").alias("block"))
-    (placed.sortWithinPartitions("block", "step")
-     .write.mode("overwrite").partitionBy("block").parquet(path))
+        F.expr(f"cast(batch div {block_steps(settings, width)} as int)").alias("block"))
+    (placed.sortWithinPartitions("block", "step").write.mode("overwrite")
+     .option("parquet.block.size", group).option("parquet.page.size.row.check.min", 10).partitionBy("block").parquet(path))
 
 
 def train(df: DataFrame, test: DataFrame, key: str, settings: Settings = Settings(),
@@ -192,19 +217,17 @@ def train(df: DataFrame, test: DataFrame, key: str, settings: Settings = Setting
     advance = plateau_tracker(settings.patience)
     lr_state = (settings.lr, float("inf"), 0)
     result = Trained(weights)
-    path = work_path(spark, "epoch")
+    path, width = work_path(spark, "epoch"), result.weights.shape[1]
+    per_block = block_steps(settings, width)
     step_schema = f"step INT, features {rows.schema['features'].dataType.simpleString()}, label INT"
     for epoch in range(1, settings.epochs + 1):
-        write_epoch(rows, key, epoch, settings, path)
-        for first in range(0, n_steps, settings.steps_per_block):
-            block = (spark.read.schema(step_schema)
-                     .parquet(f"{path}/block={first // settings.steps_per_block}")
-                     .persist(StorageLevel.MEMORY_AND_DISK))
-            for step in range(first, min(first + settings.steps_per_block, n_steps)):
+        write_epoch(rows, key, epoch, settings, path, width)
+        for first in range(0, n_steps, per_block):
+            block = spark.read.schema(step_schema).parquet(f"{path}/block={first // per_block}")
+            for step in range(first, min(first + per_block, n_steps)):
                 grad, loss, count = batch_sums(block.filter(F.col("step") == step), result.weights)
                 result.weights = optimizer.step(result.weights, grad / count, lr_state[0])
                 result.steps.append((epoch, step, count, n_steps, n_rows, loss / count))
-            block.unpersist()
         test_loss, accuracy = evaluation(test, result.weights)
         result.epochs.append((epoch, lr_state[0], test_loss, accuracy))
         lr_state = advance(lr_state, test_loss)

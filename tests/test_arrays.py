@@ -139,3 +139,38 @@ def test_losses_survive_large_scores(spark):
     losses = [r[0] for r in rows.select(vectors.cross_entropy(F.col("scores"), F.col("label"))).collect()]
     assert losses == pytest.approx([0.0, 1000.0, math.log(2)])
     assert evaluate.mean_cross_entropy(rows).first()["accuracy"] == pytest.approx(1 / 3)
+
+
+@pytest.mark.parametrize("slots, shuffles", [(8, 1), (1000, 2)])
+def test_gradients_are_summed_as_vectors(spark, slots, shuffles):
+    from pyspark.ml.functions import array_to_vector
+
+    rng = np.random.default_rng(3)
+    parts = rng.normal(size=(300, 17))
+    tasks = spark.createDataFrame([(p.tolist(),) for p in parts], "part ARRAY<DOUBLE>").select(array_to_vector("part").alias("part"))
+    total = sgd.summed(tasks, slots)
+    assert np.allclose(total.first()["total"].toArray(), parts.sum(axis=0), atol=1e-12)
+    plan = total._jdf.queryExecution().sparkPlan().toString()
+    # Two aggregates a level; a vector is one value of the plan, not a row for every weight.
+    assert plan.count("aggregate_metrics") and plan.count("ObjectHashAggregate") == 2 * shuffles and "explode" not in plan
+
+
+def test_steps_have_row_groups_of_their_own(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    rng = np.random.default_rng(5)
+    rows = frame(spark, rng.normal(size=(4000, 64)), rng.integers(0, 3, 4000))
+    settings = sgd.Settings(n_classes=3, batch_size=500)
+    sgd.write_epoch(rows, "id", 1, settings, str(tmp_path / "epoch"), 65)
+    groups = []
+    for path in glob.glob(f"{tmp_path}/epoch/block=0/*.parquet"):
+        meta = pq.ParquetFile(path).metadata
+        place = meta.schema.names.index("step")
+        groups += [meta.row_group(i).column(place).statistics for i in range(meta.num_row_groups)]
+    spans = [g.max - g.min for g in groups]
+    assert len(groups) >= 8 and max(spans) <= 2
+    assert sgd.block_steps(settings, 65) > 1000 and sgd.block_steps(sgd.Settings(steps_per_block=3), 65) == 3
+    plan = spark.read.parquet(f"{tmp_path}/epoch/block=0").filter("step = 3")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(step,3)" in plan
