@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -163,6 +164,47 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+LONG_P = "This is the paragraph of the article that has to be kept, for it is long enough and it is full of good words."
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<p title=it's>{LONG_P}</p><p title='a>b'>{LONG_P}</p>", f"{LONG_P}\n{LONG_P}"),
+    (f'<p title="never closed>{LONG_P}</p>', LONG_P),
+    (f'<body><div class="site has-sidebar"><article><p>{LONG_P}</p></article><div class=sidebar><p>{LONG_P}</p></div></div>', LONG_P),
+    (f'<body><div class="content-sidebar-wrap"><main><p>{LONG_P}</p></main></div>', LONG_P),
+    (f'<form id="aspnetForm"><h1>Title</h1><p>{LONG_P}</p><div class=footer><p>The end of the page</p></div></form>', f"Title\n{LONG_P}"),
+    # Where an article is marked outside of all such names, they keep their force.
+    (f"<article><p>{LONG_P}</p></article><section class=comments><article><p>{LONG_P}{LONG_P}</p></article></section>", LONG_P),
+    # A leaflet of few words does not speak for the page.
+    ("<div class=ad><p>Buy this in the shop of the day</p></div><p>" + "Qwx | vbn | " * 20 + "</p>", ("Qwx | vbn | " * 20).strip()),
+    # Long lines without stop words: with their neighbours, and dropped between bad ones.
+    (f"<p>{LONG_P}</p><p>{'Modell ZX-81 ' * 8}</p><p>{LONG_P}</p>", f"{LONG_P}\n{('Modell ZX-81 ' * 8).strip()}\n{LONG_P}"),
+    (f"<p>{LONG_P}</p><ul><li><a>a</a></li><li><a>b</a></li></ul><p>{'Modell ZX-81 ' * 8}</p><footer>The end</footer>", LONG_P),
+])
+def test_names_and_quotes_lose_no_article(page, text):
+    assert main_text(page) == text
+
+
+def test_pages_that_mark_no_article(spark, folder):
+    """With the marks taken out, nearly all pages give the same text, and none loses its article."""
+    same = total = 0
+    for row in spark.read.parquet(f"{folder}/pages.parquet").collect():
+        plain = re.sub(r"</?(?:article|main)\b[^>]*>", "", row["html"])
+        want, got = main_text(row["html"]), main_text(plain)
+        total += 1
+        same += want == got
+        assert len(got) >= 0.8 * len(want) - 60, row["page_id"]
+    assert same >= 0.9 * total
+
+
+def test_nesting_takes_linear_time():
+    began = time.process_time()
+    assert main_text("<font><div>" * 50_000 + LONG_P) == LONG_P
+    assert main_text("<font>" * 50_000 + "<p>" * 50_000 + LONG_P) == LONG_P
+    assert main_text("<div class=menu>" * 50_000 + "x") == ""
+    assert time.process_time() - began < 15
+
+
 def test_extraction_of_a_table(spark):
     pages = spark.createDataFrame([(1, "u", None, 5), (2, "u", "<p>The text of the page</p>", 5), (2, "u", "<p>The text of the page</p>", 5)],
                                   "page_id BIGINT, url STRING, html STRING, text INT")
