@@ -65,7 +65,11 @@ def latest_usage(points: DataFrame, *tags: str) -> DataFrame:
 
 def top_usage(points: DataFrame, k: int, *tags: str) -> DataFrame:
     """For each measurement the ``k`` tags with the largest newest value; ties go by tag."""
-    latest = latest_usage(points, "measurement", *tags)
+    return top_of(latest_usage(points, "measurement", *tags), k, *tags)
+
+
+def top_of(latest: DataFrame, k: int, *tags: str) -> DataFrame:
+    """The ``k`` tags of each measurement with the largest value."""
     order = Window.partitionBy("measurement").orderBy(F.desc("value"), *tags)
     return latest.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
 

@@ -8,6 +8,7 @@ to check the fit in full.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -17,7 +18,7 @@ from larkspur.functions import vectors
 from larkspur.functions.cleaning import to_binary_label
 from larkspur.operators import classify, evaluate, linear, prepare as prep, rollup, sampling, schedule, sgd
 from larkspur.plans import jobs
-from larkspur.sources import arrays, models, objects, points, tables
+from larkspur.sources import arrays, models, mounts, objects, points, tables
 from larkspur.sources.shared import work_path
 from larkspur.streaming import rollups
 
@@ -203,6 +204,48 @@ def binary_file_scan(spark, folder):
         F.regexp_extract("path", "(lang=[^/]*/part=[^/]*)/[^/]*$", 1).alias("folder"), "length", F.md5("content").alias("digest"))
 
 
+@query("chunked_objects", """
+SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS path, CAST(octet_length(encode(text)) AS INTEGER) AS length,
+       CAST(greatest(1, ceil(octet_length(encode(text)) / 1000.0)) AS INTEGER) AS n_parts, md5(text) AS digest
+FROM documents""")
+def chunked_objects(spark, folder):
+    """Texts cut into chunks of 1,000 bytes, written, checked and joined again."""
+    path = work_path(spark, "chunks")
+    docs = table(spark, folder, "documents")
+    objects.write_chunks(objects.cut_objects(docs.select(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("path"), F.encode("text", "UTF-8").alias("content")), 1000), path)
+    chunks = objects.read_chunks(spark, path)
+    chains = objects.checked_chains(chunks).filter("whole").select("path", "n_parts")
+    return objects.join_chunks(chunks).join(chains, "path").select(
+        "path", F.octet_length("content").alias("length"), "n_parts", F.md5("content").alias("digest"))
+
+
+@query("mounted_sources", """
+SELECT 'csv' AS source, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS total FROM lineitem
+UNION ALL SELECT 'libsvm', count(*), CAST(sum(label) AS BIGINT) FROM embeddings
+UNION ALL SELECT 'model', count(*), CAST(sum(CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END) AS BIGINT) FROM lineitem
+UNION ALL SELECT 'objects', count(*), CAST(sum(octet_length(encode(text))) AS BIGINT) FROM documents""")
+def mounted_sources(spark, folder):
+    """CSV, libsvm, a model, its predictions and objects, written and read through a file system of the session's own."""
+    root = mounts.mount(spark, "larkspur", {"/data": work_path(spark, "mounted")}) + "/data"
+    large = (F.col("l_quantity") > 25).cast("int")
+    table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("id"), large.alias("label"), large.alias("large"), F.col("l_quantity").alias("quantity")
+    ).write.option("header", True).csv(f"{root}/csv")
+    jobs.run(spark, f"{root}/csv", f"{root}/csv", f"{root}/model", f"{root}/predictions")
+    table(spark, folder, "embeddings").select(
+        F.col("label").cast("double").alias("label"), array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
+    ).write.format("libsvm").save(f"{root}/libsvm")
+    objects.write_objects(table(spark, folder, "documents").select(
+        F.col("doc_id").cast("string").alias("path"), F.encode("text", "UTF-8").alias("content")), f"{root}/objects")
+    parts = [("csv", tables.read_csv(spark, f"{root}/csv"), F.col("quantity").cast("double")),
+             ("libsvm", tables.read_libsvm(spark, f"{root}/libsvm", 64), F.col("label")),
+             ("model", tables.read_csv(spark, f"{root}/predictions", "id BIGINT, prediction INT"), F.col("prediction")),
+             ("objects", objects.read_objects(spark, f"{root}/objects"), F.octet_length("content"))]
+    return reduce(DataFrame.unionByName, [rows.agg(F.count(F.lit(1)).alias("n"), F.sum(total).cast("bigint").alias("total")).select(
+        F.lit(name).alias("source"), "n", "total") for name, rows, total in parts])
+
+
 # --------------------------------------------------- typing, cleaning, scaling
 
 @query("type_columns", f"""WITH {TYPED_SQL}
@@ -1010,5 +1053,39 @@ def streamed_alerts(spark, folder):
     """Alerts are raised and withdrawn by the stream itself, a window a row."""
     out = work_path(spark, "alerts")
     windows = rollups.rollup_stream(_scattered_stream(spark, folder), WIDTH, DELAY)
-    rollups.write_updates(rollups.with_alerts(windows, 31.4159), out, work_path(spark, "progress"))
+    read = rollups.write_updates(rollups.with_alerts(windows, 31.4159), out, work_path(spark, "progress"))
+    if late := rollups.late_points(spark, out, read):
+        raise RuntimeError(f"{late} points came too late")
     return _rounded(_plain_time(rollups.read_alerts(spark, out)))
+
+
+@query("late_points_kept", """
+SELECT event_type AS measurement, count(*) AS points, round(sum(value), 6) AS total FROM events GROUP BY 1""")
+def late_points_kept(spark, folder):
+    """With a delay of one minute most points of the shuffled files are late; windows and late table hold them all."""
+    out = work_path(spark, "kept")
+    rollups.write_usage_and_late(_scattered_stream(spark, folder), out, work_path(spark, "progress"), WIDTH, "1 minute")
+    in_windows = rollups.read_usage(spark, out).select("measurement", "points", (F.col("mean_value") * F.col("points")).alias("total"))
+    late = rollups.read_late(spark, out).select("measurement", F.lit(1).cast("long").alias("points"), F.col("value").alias("total"))
+    return in_windows.unionByName(late).groupBy("measurement").agg(F.sum("points").alias("points"), F.round(F.sum("total"), 6).alias("total"))
+
+
+@query("streamed_latest", """
+SELECT user_id AS pod, event_type AS measurement, arg_max(value, (ts, event_id)) AS value, max(ts) AS ts
+FROM events GROUP BY 1, 2""")
+def streamed_latest(spark, folder):
+    """Newest values kept by a stream over shuffled files."""
+    out = work_path(spark, "latest")
+    rollups.write_latest(rollups.latest_stream(_scattered_stream(spark, folder), "pod", "measurement"), out, work_path(spark, "progress"))
+    return rollups.read_latest(spark, out, "pod", "measurement").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query("streamed_top_pods", """
+WITH latest AS (SELECT event_type AS measurement, user_id AS pod, arg_max(value, (ts, event_id)) AS value, max(ts) AS ts
+                FROM events GROUP BY 1, 2)
+SELECT *, CAST(row_number() OVER (PARTITION BY measurement ORDER BY value DESC, pod) AS INTEGER) AS place
+FROM latest QUALIFY place <= 10""")
+def streamed_top_pods(spark, folder):
+    out = work_path(spark, "latest")
+    rollups.write_latest(rollups.latest_stream(_scattered_stream(spark, folder), "measurement", "pod"), out, work_path(spark, "progress"))
+    return rollups.top_latest(spark, out, 10, "pod").withColumn("ts", F.col("ts").cast("timestamp_ntz"))

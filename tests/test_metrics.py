@@ -1,6 +1,7 @@
 import datetime as dt
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from larkspur.operators import rollup
@@ -152,3 +153,60 @@ def test_file_listing_reads_no_content(spark, tmp_path):
     (tmp_path / "a.bin").write_bytes(b"x")
     plan = objects.read_files(spark, str(tmp_path)).select("path", "length")._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[1]
+
+
+def test_late_points_have_a_table_of_their_own(spark, tmp_path):
+    parts = [sample(spark, [0, 1, 2]), sample(spark, [1000]), sample(spark, [3, 4, 995]), sample(spark, [2000])]
+    path, out, progress = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "p")
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(path)
+        stream = points.read_points_stream(spark, path, parts[0].schema)
+        rollups.write_usage_and_late(stream, out, progress, "10 seconds", "1 minute", "pod")
+    late = rollups.read_late(spark, out)
+    assert sorted((r["ts"] - START).seconds for r in late.collect()) == [3, 4] and late.columns == parts[0].columns
+    windows = rollups.read_usage(spark, out, "pod")
+    assert windows.agg(F.sum("points")).first()[0] == 6
+    whole = rollup.usage_over_time(spark.read.parquet(path).filter("second(ts) not in (3, 4)"), "10 seconds", "pod")
+    assert sorted(map(tuple, windows.collect())) == sorted(map(tuple, whole.select(windows.columns).collect()))
+
+
+def test_live_latest_follows_late_and_equal_times(spark, tmp_path):
+    parts = [sample(spark, [50, 5, 5, 5]), sample(spark, [10, 60, 5, 5]), sample(spark, [50, 1, 5, 70])]
+    path, out, progress = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "p")
+    for i, part in enumerate(parts):
+        part.withColumn("point_id", F.col("point_id") + 10 * i).coalesce(1).write.mode("append").parquet(path)
+        rollups.write_latest(rollups.latest_stream(points.read_points_stream(spark, path, part.schema), "measurement", "pod"), out, progress)
+    want = rollup.latest_usage(spark.read.parquet(path), "measurement", "pod")
+    got = rollups.read_latest(spark, out, "measurement", "pod")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect()))
+    top = rollup.top_usage(spark.read.parquet(path), 1, "pod")
+    assert sorted(map(tuple, rollups.top_latest(spark, out, 1, "pod").select(top.columns).collect())) == sorted(map(tuple, top.collect()))
+
+
+def test_chains_of_chunks(spark, tmp_path):
+    contents = {"a": bytes(range(256)) * 3, "b": b"", "c": b"x" * 100, "d": b"y" * 101, "none": None}
+    frame = spark.createDataFrame([(k, v) for k, v in contents.items()], "path STRING, content BINARY")
+    path = str(tmp_path / "chunks")
+    objects.write_chunks(objects.cut_objects(frame, 100), path)
+    chunks = objects.read_chunks(spark, path)
+    assert {r["path"]: r["n_parts"] for r in objects.checked_chains(chunks).filter("whole").collect()} == {"a": 8, "b": 1, "c": 1, "d": 2, "none": 1}
+    assert {r["path"]: bytes(r["content"]) for r in objects.join_chunks(chunks).collect()} == {k: v or b"" for k, v in contents.items()}
+    for broken in (chunks.filter("path <> 'a' OR part <> 3"), chunks.union(chunks.filter("path = 'd'")),
+                   chunks.withColumn("part", F.when(F.col("path") == "d", 1 - F.col("part")).otherwise(F.col("part")))):
+        assert objects.checked_chains(broken).filter("NOT whole").count() == 1
+        with pytest.raises(Exception, match="broken chain"):
+            objects.join_chunks(broken).collect()
+    other = str(tmp_path / "changed")
+    objects.write_chunks(chunks.withColumn("bytes", F.when(F.col("path") == "c", F.lit(b"z")).otherwise(F.col("bytes"))), other)
+    with pytest.raises(Exception, match="does not match"):
+        objects.read_chunks(spark, other).collect()
+
+
+def test_mounts_need_places(spark, tmp_path):
+    from larkspur.sources import mounts
+
+    root = mounts.mount(spark, "unit", {"/here": str(tmp_path)})
+    spark.range(3).write.parquet(f"{root}/here/rows")
+    assert spark.read.parquet(f"file:{tmp_path}/rows").count() == 3
+    with pytest.raises(ValueError):
+        mounts.mount(spark, "unit", {"here": str(tmp_path)})
