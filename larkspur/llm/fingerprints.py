@@ -219,7 +219,8 @@ def in_id_order(docs: DataFrame, rows_per_bucket: int = 5000) -> DataFrame:
     own = numbered.select("bucket", F.lit(False).alias("borrowed"), "doc_id", "text")
     behind = docs.select("doc_id", "text").join(F.broadcast(borrowed), F.col("doc_id").eqNullSafe(F.col("_id"))).select(
         "bucket", F.lit(True).alias("borrowed"), "doc_id", "text")
-    return own.union(behind).repartition(n, "bucket").sortWithinPartitions(
+    # One partition a bucket: hashed numbers would put several into one task.
+    return own.union(behind).repartitionById(n + 1, F.col("bucket")).sortWithinPartitions(
         "bucket", "borrowed", F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
 
 

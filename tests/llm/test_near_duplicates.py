@@ -65,7 +65,7 @@ def test_empty_table(no_docs):
     assert near_duplicates.keep_one_of_each(no_docs).count() == 0
 
 
-def test_prefixes_are_shortened_to_the_recall():
+def test_band_depth_reaches_the_recall():
     depth = near_duplicates.prefix_depth(0.8, 30, 12, 0.999)
     assert near_duplicates.found_with(0.8, 30, depth) >= 0.999 > near_duplicates.found_with(0.8, 30, depth + 1)
     with pytest.raises(ValueError):
