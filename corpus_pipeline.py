@@ -59,7 +59,8 @@ STAGES = [
     ("mixing sources", mix_sources),
 ]
 
-# A trained classifier and a hash forest have no SQL; tests hold each stage against brute force.
+# A trained classifier and permuted draws have no SQL; tests/llm/test_pipeline.py holds stages 2 to 5
+# against plain versions of them, and every score of the classifier against its rules.
 ORACLE_SQL = None
 
 
