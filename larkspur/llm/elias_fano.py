@@ -51,6 +51,16 @@ class EliasFano:
         parts = [self.block(i) for i in range(-(-self.size // BLOCK))]
         return np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
 
+    def at(self, places: np.ndarray) -> np.ndarray:
+        """The values at ascending places."""
+        out = np.zeros(len(places), dtype=np.uint64)
+        if self.size:
+            cuts = np.searchsorted(places, np.arange(len(self.first_values) + 1) * BLOCK)
+            for number in np.flatnonzero(cuts[1:] > cuts[:-1]):
+                asked = slice(cuts[number], cuts[number + 1])
+                out[asked] = self.block(int(number))[places[asked] - number * BLOCK]
+        return out
+
     def successors(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For ascending queries, the place of the least element not below each
         (``size`` if none), and whether it equals the query."""

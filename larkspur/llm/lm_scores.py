@@ -11,8 +11,9 @@ Documents are dealt into blocks of about ``block_bytes``.  A block asks for each
 different word, then for each different bigram, once, in packed rows; a shard
 adds up what all blocks counted, builds its levels in memory-mapped files
 (contexts with monotone pointers, successors relative to their context,
-quantised probabilities), looks the asked bigrams up by successor search, and
-sends two bytes for each back.  Word and bigram counts cover every training
+quantised probabilities), looks each different bigram up once by successor
+search between its context's pointers, and sends each block two bytes for each
+of its bigrams.  Word and bigram counts cover every training
 document; no list of words or bigrams reaches the driver.
 
 Words are lower-cased in A-Z and known by 64-bit hashes; within the shards by
@@ -135,26 +136,49 @@ def _long(data: bytes) -> np.ndarray:
 
 
 class Trie:
-    """One shard: contexts with pointers, successors, quantised probabilities."""
+    """One shard: contexts with pointers, successors, quantised probabilities.
+
+    Successors are stored relative to their context: each range that the
+    pointers mark goes on above the last value of the range before it, so that
+    the whole level is one rising sequence.
+    """
 
     def __init__(self, contexts: np.ndarray, context_counts: np.ndarray, rank: np.ndarray, successors: np.ndarray,
                  counts: np.ndarray, strength: float, store: Store):
         """``contexts`` ascend; entries ascend by ``rank`` of their context, then by successor."""
-        self.contexts = EliasFano(contexts, store)
-        self.pointers = EliasFano(np.searchsorted(rank, np.arange(len(contexts) + 1)), store)
-        self.successors = EliasFano((rank.astype(np.uint64) << np.uint64(8 * KEY_BYTES)) | successors, store)
+        pointers = np.searchsorted(rank, np.arange(len(contexts) + 1))
+        some = pointers[1:] > pointers[:-1]
+        room = np.zeros(len(contexts) + 1, dtype=np.uint64)
+        room[1:][some] = successors[pointers[1:][some] - 1] + np.uint64(1)
+        self.contexts, self.pointers = EliasFano(contexts, store), EliasFano(pointers, store)
+        self.successors = EliasFano(np.cumsum(room, dtype=np.uint64)[rank] + successors, store)
         share = counts / (context_counts[rank] + strength)
         codes = np.clip(np.rint(-np.log10(share) * STEP), 0, NONE - 1).astype("<u2")
         self.codes = store.put(codes)
 
     def look_up(self, contexts: np.ndarray, successors: np.ndarray) -> np.ndarray:
-        """Codes of bigrams that ascend by context, then by successor; ``NONE`` for unseen ones."""
+        """Codes of bigrams that ascend by context, then by successor; ``NONE`` for unseen ones.
+
+        A context's two pointers give its range, the value before the range
+        what its successors count from; only there is the successor searched.
+        """
         asked, where = np.unique(contexts, return_inverse=True)
         rank, known = self.contexts.successors(asked)
-        relative = (rank[where].astype(np.uint64) << np.uint64(8 * KEY_BYTES)) | successors
+        rank = np.where(known, rank, 0)
+        order = np.flatnonzero(known)
+        begin, end, base, last = (np.zeros(len(asked), dtype=np.int64) for _ in range(4))
+        begin[order], end[order] = self.pointers.at(rank[order]), self.pointers.at(rank[order] + 1)
+        order = order[end[order] > begin[order]]
+        after = order[begin[order] > 0]
+        base[after] = self.successors.at(begin[after] - 1).astype(np.int64) + 1
+        last[order] = self.successors.at(end[order] - 1)
+        filled = np.zeros(len(asked), dtype=bool)
+        filled[order] = True
         found = np.full(len(contexts), NONE, dtype="<u2")
-        some = np.flatnonzero(known[where])
-        place, seen = self.successors.successors(relative[some])
+        some = np.flatnonzero(filled[where])
+        relative, limit = base[where[some]] + successors[some].astype(np.int64), last[where[some]]
+        place, seen = self.successors.successors(np.minimum(relative, limit + 1).astype(np.uint64))
+        seen &= relative <= limit
         found[some[seen]] = self.codes[place[seen]]
         return found
 
@@ -231,18 +255,20 @@ def score_documents(docs: DataFrame, train: Column, strength: float = 100.0, blo
         rank = np.searchsorted(contexts, np.concatenate([np.repeat(c, s) for c, s in zip(own, sizes)]))
         entries = (rank.astype(np.uint64) << np.uint64(8 * KEY_BYTES)) | np.concatenate([_long(s) for s in column["successors"]])
         del rank
-        weights = np.concatenate([np.frombuffer(c, dtype="<u4") for c in column["counts"]])
-        entries, weights = entries[weights > 0], weights[weights > 0]
+        # Every different bigram of the shard is counted and looked up once, whatever number of blocks ask for it.
         entries, where = np.unique(entries, return_inverse=True)
+        weights = np.concatenate([np.frombuffer(c, dtype="<u4") for c in column["counts"]])
         totals = np.bincount(where, weights=weights, minlength=len(entries))
-        store = Store()
+        rank, successors = (entries >> np.uint64(8 * KEY_BYTES)).astype(np.int64), entries & np.uint64((1 << 8 * KEY_BYTES) - 1)
+        del entries, weights
+        held, store = totals > 0, Store()
         try:
-            trie = Trie(contexts, c1, (entries >> np.uint64(8 * KEY_BYTES)).astype(np.int64),
-                        entries & np.uint64((1 << 8 * KEY_BYTES) - 1), totals, strength, store)
-            del entries, where, totals, weights
-            payloads = [trie.look_up(np.repeat(c, s), _long(b)).tobytes() for c, s, b in zip(own, sizes, column["successors"])]
+            trie = Trie(contexts, c1, rank[held], successors[held], totals[held], strength, store)
+            codes = trie.look_up(contexts[rank], successors)[where]
         finally:
             store.close()
+        ends = np.cumsum([0] + [int(s.sum()) for s in sizes])
+        payloads = [codes[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
         return _answers(asked.column("block").to_pylist(), 2, key[0].as_py(), payloads)
 
     def score(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:

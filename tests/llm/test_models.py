@@ -29,6 +29,27 @@ def test_elias_fano(n, top):
     store.close()
 
 
+def test_successors_are_searched_between_their_pointers(monkeypatch):
+    from larkspur.llm import elias_fano
+
+    monkeypatch.setattr(elias_fano, "BLOCK", 64)
+    rng = np.random.default_rng(8)
+    contexts = np.unique(rng.integers(0, 1 << 40, 300)).astype(np.uint64)
+    pairs = sorted({(int(r), int(s)) for r, s in zip(rng.integers(0, 300, 3000) // 3 * 3 % len(contexts), rng.integers(0, 1 << 40, 3000) % 5000)})
+    rank, successors = np.array([r for r, _ in pairs]), np.array([s for _, s in pairs], dtype=np.uint64)
+    counts, c1 = rng.integers(1, 50, len(pairs)), np.full(len(contexts), 1000)
+    store = elias_fano.Store()
+    trie = lm_scores.Trie(contexts, c1, rank, successors, counts, 100.0, store)
+    # All known pairs, unknown successors (beyond a range's end, too), contexts without any, and unknown contexts.
+    asked = set(pairs) | {(r, s) for r in range(len(contexts)) for s in (0, 1, 4999, 5000, (1 << 40) - 1)}
+    rows = sorted([(int(contexts[r]), s, r) for r, s in asked] + [(int(contexts[0]) + 1, 3, -1), ((1 << 40) + 5, 3, -1)])
+    got = trie.look_up(np.array([c for c, _, _ in rows], dtype=np.uint64), np.array([s for _, s, _ in rows], dtype=np.uint64))
+    want = {p: round(-math.log10(n / 1100) * lm_scores.STEP) for p, n in zip(pairs, counts)}
+    assert got.tolist() == [want.get((r, s), lm_scores.NONE) for _, s, r in rows]
+    assert trie.pointers.at(np.arange(len(contexts) + 1)).tolist() == np.searchsorted(rank, np.arange(len(contexts) + 1)).tolist()
+    store.close()
+
+
 @pytest.mark.parametrize("which, block_bytes, split", [("docs", 12 << 20, 1 << 20), ("docs", 2000, 1 << 20), ("odd_docs", 3000, 20)])
 def test_scores_by_definition(request, monkeypatch, which, block_bytes, split):
     """Small blocks make many shards; a small split cuts the common contexts."""
