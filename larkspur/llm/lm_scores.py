@@ -40,6 +40,8 @@ SPLIT = 1 << 20
 # Quantised probabilities: -log10 in steps of 1/4096; the last code means none.
 STEP, NONE = 4096, 65535
 KEY_BYTES = 5
+# Bigrams that a shard looks up at a time.
+LOOKED_UP = 1 << 19
 
 
 def held_out(doc_id: Column) -> Column:
@@ -162,7 +164,9 @@ class Trie:
         A context's two pointers give its range, the value before the range
         what its successors count from; only there is the successor searched.
         """
-        asked, where = np.unique(contexts, return_inverse=True)
+        fresh = np.ones(len(contexts), dtype=bool)
+        fresh[1:] = contexts[1:] != contexts[:-1]
+        asked, where = contexts[fresh], np.cumsum(fresh, dtype=np.int32) - np.int32(1)
         rank, known = self.contexts.successors(asked)
         rank = np.where(known, rank, 0)
         order = np.flatnonzero(known)
@@ -252,22 +256,27 @@ def score_documents(docs: DataFrame, train: Column, strength: float = 100.0, blo
         own = [_long(c) for c in column["contexts"]]
         contexts, first = np.unique(np.concatenate(own), return_index=True)
         c1 = np.concatenate([np.frombuffer(c, dtype="<i8") for c in column["context_counts"]])[first]
-        rank = np.searchsorted(contexts, np.concatenate([np.repeat(c, s) for c, s in zip(own, sizes)]))
-        entries = (rank.astype(np.uint64) << np.uint64(8 * KEY_BYTES)) | np.concatenate([_long(s) for s in column["successors"]])
-        del rank
+        entries = np.concatenate([(np.repeat(np.searchsorted(contexts, c).astype(np.uint64) << np.uint64(8 * KEY_BYTES), s)) | _long(b)
+                                  for c, s, b in zip(own, sizes, column["successors"])])
+        weights = np.concatenate([np.frombuffer(c, dtype="<u4") for c in column["counts"]])
+        ends = np.cumsum([0] + [int(s.sum()) for s in sizes])
+        del own, first, sizes, column
         # Every different bigram of the shard is counted and looked up once, whatever number of blocks ask for it.
         entries, where = np.unique(entries, return_inverse=True)
-        weights = np.concatenate([np.frombuffer(c, dtype="<u4") for c in column["counts"]])
+        where = where.astype(np.uint32)
         totals = np.bincount(where, weights=weights, minlength=len(entries))
         rank, successors = (entries >> np.uint64(8 * KEY_BYTES)).astype(np.int64), entries & np.uint64((1 << 8 * KEY_BYTES) - 1)
         del entries, weights
         held, store = totals > 0, Store()
         try:
             trie = Trie(contexts, c1, rank[held], successors[held], totals[held], strength, store)
-            codes = trie.look_up(contexts[rank], successors)[where]
+            codes = np.empty(len(rank), dtype="<u2")
+            for low in range(0, len(rank), LOOKED_UP):
+                part = slice(low, low + LOOKED_UP)
+                codes[part] = trie.look_up(contexts[rank[part]], successors[part])
+            codes = codes[where]
         finally:
             store.close()
-        ends = np.cumsum([0] + [int(s.sum()) for s in sizes])
         payloads = [codes[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
         return _answers(asked.column("block").to_pylist(), 2, key[0].as_py(), payloads)
 
