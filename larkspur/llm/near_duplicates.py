@@ -1,15 +1,20 @@
-"""N-gram Jaccard join: MinHash banding of one fixed depth, then exact verification.
+"""N-gram Jaccard join: a MinHash LSH forest, then exact verification.
 
 1. Equal texts are one node, whatever their number.
-2. Each text is a set of shingles (``words`` consecutive words).  A tree is a
-   band of MinHash values of one depth, the largest up to ``max_depth`` by
-   which a pair at the threshold meets in one of the trees with probability
-   ``recall`` or more.  It follows from the settings, not from the data: there
-   are no sorted tries, and deeper prefixes are never built.
-3. Texts that share a band's key are linked to the key's least text only, so a
-   key of ``n`` texts gives ``n - 1`` links; components of these links are
-   groups that hold every candidate pair.
-4. Groups are verified exactly, on whole shingle sets: a group beyond
+2. Each text is a set of shingles (``words`` consecutive words).  In each of
+   ``trees`` trees it has a signature: ``max_depth`` labels of a byte, each
+   cut from a MinHash value.
+3. Signatures of all trees are sorted, over all partitions; a sorted tree is a
+   prefix trie, whose nodes are stretches of neighbours with a common prefix.
+   Matches begin at whole signatures, and prefixes shorten level by level:
+   only the heads of the groups found so far are linked at the next level, so
+   deep groups are not grouped again.  Shortening ends at the depth at which a
+   pair at the threshold meets in one of the trees with probability ``recall``
+   or more.  A node of ``n`` texts gives ``n - 1`` links in all, and is split
+   over as many partitions as it fills; the partitions' first and last rows
+   link it across their boundaries.
+4. Components of these links are groups that hold every candidate pair.
+   Groups are verified exactly, on whole shingle sets: a group beyond
    ``block`` texts is cut into blocks and each pair of blocks is one task.
    Tasks give counts of links and a spanning forest, never pairs.
 
@@ -25,13 +30,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from larkspur.llm.anchors import Hasher, Words, chunks
 from larkspur.llm.common import blocks, map_texts, staged, text_bytes, without
 from larkspur.llm.components import components
 
 OUT = ("class_id", "n_links", "n_copies")
+# Leading bytes of a signature that name its tree.
+TREE_BYTES = 2
 
 
 def found_with(similarity: float, trees: int, depth: int) -> float:
@@ -40,7 +47,7 @@ def found_with(similarity: float, trees: int, depth: int) -> float:
 
 
 def prefix_depth(threshold: float, trees: int, max_depth: int, recall: float) -> int:
-    """The longest prefix that still finds pairs at the threshold with the target recall."""
+    """The depth at which shortening ends: the longest prefix that finds pairs at the threshold with the target recall."""
     depth = max_depth
     while depth > 1 and found_with(threshold, trees, depth) < recall:
         depth -= 1
@@ -64,16 +71,19 @@ def shingles(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _signer(size: int, trees: int, depth: int, seed: int):
-    """Prefix keys of every text: one number per tree."""
+    """Signatures of every text: the tree's number in two bytes, then a byte a level."""
     rng = np.random.default_rng(seed)
     masks = rng.integers(0, 2**63, trees * depth, dtype=np.uint64)
     odd = rng.integers(0, 2**63, trees * depth, dtype=np.uint64) | np.uint64(1)
     step = np.uint64(0x9E3779B97F4A7C15)
+    width = TREE_BYTES + depth
+    numbers = np.arange(trees, dtype=">u2").view(np.uint8).reshape(trees, TREE_BYTES)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, 4 << 20):
             texts = list(text_bytes(batch.column("text")))
-            keys = np.zeros((len(texts), trees), dtype=np.uint64)
+            labels = np.empty((len(texts), trees, width), dtype=np.uint8)
+            labels[:, :, :TREE_BYTES] = numbers
             some = np.zeros(len(texts), dtype=bool)
             for low, high in chunks(texts):
                 values, first = shingles(texts[low:high], size)
@@ -82,21 +92,83 @@ def _signer(size: int, trees: int, depth: int, seed: int):
                     continue
                 some[low + filled] = True
                 begins = first[filled]
-                for tree in range(trees):
-                    key = np.full(len(filled), tree, dtype=np.uint64)
-                    for i in range(tree * depth, (tree + 1) * depth):
-                        hashed = (values ^ masks[i]) * odd[i]
-                        hashed ^= hashed >> np.uint64(32)
-                        key = (key ^ np.minimum.reduceat(hashed, begins)) * step
-                        key ^= key >> np.uint64(29)
-                    keys[low + filled, tree] = key
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.concatenate(([0], np.cumsum(some * trees))).astype(np.int32)), pa.array(keys[some].ravel().view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("doc_id"), lists], names=["node", "doc_id", "prefixes"])
+                for i in range(trees * depth):
+                    hashed = (values ^ masks[i]) * odd[i]
+                    hashed ^= hashed >> np.uint64(32)
+                    labels[low + filled, i // depth, TREE_BYTES + i % depth] = (np.minimum.reduceat(hashed, begins) * step) >> np.uint64(56)
+            flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), int(some.sum()) * trees, [None, pa.py_buffer(labels[some].tobytes())])
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(some * trees))).astype(np.int32)), flat.cast(pa.binary()))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("doc_id"), lists], names=["node", "doc_id", "signatures"])
 
     return sign
 
 
+def common_prefixes(signatures: np.ndarray, before: np.ndarray | None) -> np.ndarray:
+    """Labels that each of the sorted signatures shares with the one before it; -1 in another tree."""
+    last = signatures[:1] ^ 1 if before is None else before[None, :]
+    same = signatures == np.concatenate((last, signatures[:-1]))
+    return np.maximum(np.logical_and.accumulate(same, axis=1).sum(axis=1) - TREE_BYTES, -1)
+
+
+def _trie_links(width: int, depth: int):
+    """Links of the trie that sorted rows of a partition make, and the partition's first and last row."""
+    levels = range(width - TREE_BYTES, depth - 1, -1)
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, heads, edge = None, {}, None
+        for table in _joined_rows(batches, 1 << 16):
+            rows = table.column("signature").combine_chunks().cast(pa.binary(width))
+            signatures = np.frombuffer(rows.buffers()[1], dtype=np.uint8)[rows.offset * width:][:len(rows) * width].reshape(-1, width)
+            nodes = table.column("node").to_pylist()
+            common = common_prefixes(signatures, before)
+            if before is None:
+                yield _link_rows([nodes[0]], [None], [signatures[0].tobytes()])
+            u, v = [], []
+            for level in levels:
+                # Rows that begin a group one level deeper, and join one here.
+                head = np.maximum.accumulate(np.where(common < level, np.arange(len(nodes)), -1))
+                for i in np.flatnonzero(common == level):
+                    u.append(nodes[i])
+                    v.append(nodes[head[i]] if head[i] >= 0 else heads[level])
+                if head[-1] >= 0:
+                    heads[level] = nodes[head[-1]]
+            yield _link_rows(u, v, [None] * len(u))
+            before, edge = signatures[-1].copy(), nodes[-1]
+        if before is not None:
+            yield _link_rows([edge], [None], [before.tobytes()])
+
+    return link
+
+
+def _link_rows(u: list, v: list, signatures: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in (u, v, signatures)], names=["u", "v", "signature"])
+
+
+def _joined_rows(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.num_rows
+        if size >= rows:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def forest_links(signatures: DataFrame, max_depth: int, depth: int) -> DataFrame:
+    """Links ``(u, v)`` that join all nodes of a trie at ``depth``, for rows ``(node, signature)``."""
+    ordered = signatures.repartitionByRange("signature", "node").sortWithinPartitions("signature", "node")
+    found = staged(ordered.mapInArrow(_trie_links(TREE_BYTES + max_depth, depth), "u BINARY, v BINARY, signature BINARY"), "trie-links")
+    # Two rows a partition: a node that goes on in the next partition is linked there.
+    edges = found.filter("v IS NULL")
+    order = Window.partitionBy(F.substring("signature", 1, TREE_BYTES)).orderBy("signature", "u")
+    prefix = F.substring("signature", 1, TREE_BYTES + depth)
+    across = edges.select("u", F.lag("u").over(order).alias("v"), (prefix == F.lag(prefix).over(order)).alias("same")).filter("same")
+    return found.filter("v IS NOT NULL").select("u", "v").union(across.select("u", "v")).filter("u <> v").distinct()
+
+
 def _verifier(size: int, threshold: float):
     """Exact links within a group, or between two blocks of one."""
 
@@ -164,12 +236,12 @@ def similar_classes(docs: DataFrame, threshold: float = 0.8, words: int = 5, tre
     depth = prefix_depth(threshold, trees, max_depth, recall)
     named = docs.select("doc_id", node.alias("node"), "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    signed = staged(map_texts(named, _signer(words, trees, depth, seed),
-                              f"node BINARY, doc_id {id_type}, prefixes ARRAY<BIGINT>"), "prefixes")
+    signed = staged(map_texts(named, _signer(words, trees, max_depth, seed),
+                              f"node BINARY, doc_id {id_type}, signatures ARRAY<BINARY>"), "signatures")
     copies = signed.groupBy("node").agg(F.count("*").alias("n"), F.min("doc_id").alias("least_id"))
-    prefixes = signed.select("node", F.explode("prefixes").alias("prefix"))
-    tries = prefixes.groupBy("prefix").agg(F.min("node").alias("v"), F.max("node").alias("w")).filter("v <> w")
-    groups = staged(components(prefixes.join(tries, "prefix").select(F.col("node").alias("u"), "v").filter("u <> v").distinct()), "groups")
+    different = signed.groupBy("node").agg(F.first("signatures").alias("signatures"))
+    links = forest_links(different.select("node", F.explode("signatures").alias("signature")), max_depth, depth)
+    groups = staged(components(links), "groups")
     sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     # One document carries each text into the verification.
     carriers = groups.join(copies, "node").join(sizes, "root").select(
