@@ -7,12 +7,17 @@
 2. Rows meet by anchor.  A span that occurs elsewhere covers all of its
    windows at once.  Anchors with one span only are done.
 3. Only where one anchor has several spans (the edges of repeats, near
-   copies) the spans' bytes are shipped, still by anchor, and each window is
-   compared: from the anchor's leftmost to its rightmost extension.
+   copies) the spans' units are shipped, still by anchor.  There all spans of
+   an anchor are sorted from it on, to the right and to the left, one unit at
+   a time, and only spans that still agree with another go on: so every match
+   is extended both ways to its end, without a pair of spans being formed.  A
+   window is repeated where a stretch to the left and one to the right that
+   fill it are shared together.
    An anchor with more than ``wide`` spans is not compared in one task: its
    windows become rows, counted by their 128-bit hashes with partial sums.
 
-All steps are exact up to 128-bit hash equality; 64-bit anchors only gather
+Extension compares units (bytes, or words by 128-bit hashes); all other steps
+are exact up to 128-bit hash equality, and 64-bit anchors only gather
 candidates.  Texts are told apart by ``xxhash64(doc_id, text)``, so rows that
 share an id are separate texts unless they are equal, and equal ones get one
 and the same answer.
@@ -25,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from larkspur.llm.anchors import Hasher, Words, chunks, merge_ranges, runs
 from larkspur.llm.common import blocks, map_texts, staged, text_bytes
@@ -51,6 +56,10 @@ class Repeats:
     wide: int = 4096
     lead: bool = False  # deal spans by ranges of their anchors' leading bytes (units are bytes)
 
+    def __post_init__(self):
+        if self.size - self.anchor > 0xFFFF:
+            raise ValueError("a window is at most 65,535 units longer than its anchor")
+
     def buffer(self, texts: list[bytes]):
         """Bytes, unit starts, unit ends (both None for bytes), and first units of texts."""
         if self.words:
@@ -150,7 +159,7 @@ def _edge_rows(spec: Repeats) -> Callable:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = {c: [] for c in ("a", "lead", "key", "doc", "lo", "open", "span")}
+            rows = {c: [] for c in ("a", "lead", "key", "doc", "lo", "at", "open", "span")}
             for text, key, doc, edges in zip(text_bytes(batch.column("text")), batch.column("_key").to_pylist(),
                                              batch.column("_doc").to_pylist(), batch.column("edges").to_pylist()):
                 data, start, end, _ = spec.buffer([text])
@@ -161,16 +170,16 @@ def _edge_rows(spec: Repeats) -> Callable:
                     # Equal anchors have equal bytes here, whatever text the span has before them.
                     lead = span[e["at"]:e["at"] + min(8, spec.anchor)] if spec.lead else b""
                     for c, v in (("a", e["a"]), ("lead", lead), ("key", key), ("doc", doc), ("lo", low),
-                                 ("open", e["open"]), ("span", span)):
+                                 ("at", e["at"]), ("open", e["open"]), ("span", span)):
                         rows[c].append(v)
-            types = dict(a=pa.int64(), lead=pa.binary(), key=pa.int64(), doc=pa.int64(), lo=pa.int32(), open=pa.bool_(),
-                         span=pa.binary())
+            types = dict(a=pa.int64(), lead=pa.binary(), key=pa.int64(), doc=pa.int64(), lo=pa.int32(), at=pa.int32(),
+                         open=pa.bool_(), span=pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(rows[c], types[c]) for c in types], names=list(types))
 
     return emit
 
 
-EDGE_SCHEMA = "a BIGINT, lead BINARY, key BIGINT, doc BIGINT, lo INT, open BOOLEAN, span BINARY"
+EDGE_SCHEMA = "a BIGINT, lead BINARY, key BIGINT, doc BIGINT, lo INT, at INT, open BOOLEAN, span BINARY"
 
 
 WINDOW_SCHEMA = "h0 BIGINT, h1 BIGINT, key BIGINT, doc BIGINT, open BOOLEAN, lo INT"
@@ -188,26 +197,83 @@ def _windows(spec: Repeats, spans: list[bytes]) -> tuple[np.ndarray, ...]:
     return which, place, Hasher(data, 0)(begin, stop), Hasher(data, 1)(begin, stop)
 
 
+def numbered(*columns: np.ndarray) -> np.ndarray:
+    """Numbers of equal rows, in the order of the columns."""
+    order = np.lexsort(columns[::-1])
+    new = np.zeros(len(order), dtype=bool)
+    for column in columns:
+        new[1:] |= column[order][1:] != column[order][:-1]
+    out = np.empty(len(order), dtype=np.int64)
+    out[order] = np.cumsum(new)
+    return out
+
+
+def shared(*columns: np.ndarray) -> np.ndarray:
+    """The same, with -1 for a row that has no equal."""
+    group = numbered(*columns)
+    return np.where(np.bincount(group)[group] > 1, group, -1) if len(group) else group
+
+
+def extend(seed: np.ndarray, place: np.ndarray, room: np.ndarray, units: np.ndarray, step: int, most: int) -> list[np.ndarray]:
+    """Sort spans by the units that follow ``place`` in steps of ``step``, as far as two of them agree.
+
+    Entry ``j`` numbers the spans by their seed and ``j`` units, in order; -1
+    marks those that end before (``room`` units) or agree with no other.
+    """
+    reach, known = [seed], seed
+    rows = np.flatnonzero(seed >= 0)
+    # Numbers in one integer: spans and units of a batch are far below 2^31.
+    wide = int(units.max()) + 1 if len(units) else 1
+    for j in range(most):
+        rows = rows[room[rows] > j]
+        if not len(rows):
+            break
+        own = shared(known[rows] * wide + units[place[rows] + step * j])
+        known = np.full(len(seed), -1, dtype=np.int64)
+        known[rows] = own
+        rows = rows[own >= 0]
+        reach.append(known)
+    return reach
+
+
+def matches(spec: Repeats, spans: list[bytes], anchor: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """Windows that two or more spans share: spans, their first units, and numbers of equal windows."""
+    n, k = spec.size, spec.anchor
+    data, start, end, first = spec.buffer(spans)
+    zero = first[:-1] + at
+    hashed = Hasher(data, 1)
+    if start is None:
+        units, second = data.astype(np.int64), hashed(zero, zero + k)
+    else:
+        units = numbered(Hasher(data, 0)(start, end), hashed(start, end))
+        second = hashed(start[zero], end[zero + k - 1])
+    seed = shared(anchor, second)
+    right = extend(seed, zero + k, np.diff(first) - at - k, units, 1, n - k)
+    left = extend(seed, zero - 1, at, units, -1, n - k)
+    for before in range(max(0, n - k + 1 - len(right)), len(left)):
+        ahead, behind = right[n - k - before], left[before]
+        rows = np.flatnonzero((ahead >= 0) & (behind >= 0))
+        same = shared(behind[rows], ahead[rows])
+        yield rows[same >= 0], at[rows[same >= 0]] - before, same[same >= 0]
+
+
 def _compare(spec: Repeats) -> Callable:
-    """Compare the windows of spans that come sorted by anchor."""
+    """Extend the matches of spans that come sorted by anchor."""
 
     def settle(table: pa.Table) -> pa.RecordBatch:
         spans = [v.as_py() for v in table.column("span")]
-        keys, lows, docs = (table.column(c).to_numpy() for c in ("key", "lo", "doc"))
+        keys, lows, docs, anchor, at = (table.column(c).to_numpy() for c in ("key", "lo", "doc", "a", "at"))
         opened = table.column("open").to_numpy(zero_copy_only=False)
-        which, place, h0, h1 = _windows(spec, spans)
-        order = np.lexsort((h1, h0))
-        new = np.concatenate(([True], (h0[order][1:] != h0[order][:-1]) | (h1[order][1:] != h1[order][:-1])))
-        group = np.empty(len(order), dtype=np.int64)
-        group[order] = np.cumsum(new) - 1
-        if spec.earlier:
-            least = np.full(group.max() + 1, NO_ID)
-            np.minimum.at(least, group, docs[which])
-            covered = docs[which] > least[group]
-        else:
-            covered = np.bincount(group)[group] > 1
-        at = np.flatnonzero(covered & opened[which])
-        spans_covered, cover = cover_lists(which[at], lows[which[at]] + place[at], lows[which[at]] + place[at] + spec.size)
+        found = [(np.zeros(0, dtype=np.int64),) * 2]
+        for rows, place, same in matches(spec, spans, anchor, at.astype(np.int64)):
+            covered = opened[rows]
+            if spec.earlier and len(rows):
+                least = np.full(same.max() + 1, NO_ID)
+                np.minimum.at(least, same, docs[rows])
+                covered = covered & (docs[rows] > least[same])
+            found.append((rows[covered], lows[rows[covered]] + place[covered]))
+        rows, low = (np.concatenate(x) for x in zip(*found))
+        spans_covered, cover = cover_lists(rows, low, low + spec.size)
         return pa.RecordBatch.from_arrays([pa.array(keys[spans_covered]), cover], names=["key", "cover"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,6 +313,8 @@ def _wide_rows(spec: Repeats) -> Callable:
 
 def keyed(docs: DataFrame, earlier: bool) -> DataFrame:
     """``docs`` with ``_key``, which tells texts apart, and ``_doc``, the id that orders them."""
+    if earlier and not isinstance(docs.schema["doc_id"].dataType, (T.IntegralType, T.NullType)):
+        raise TypeError("doc_id must be a whole number, since it orders the documents")
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) if earlier else F.lit(0).cast("long")
     return docs.withColumns({"_key": F.xxhash64("doc_id", "text"), "_doc": order})
 

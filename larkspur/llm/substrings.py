@@ -1,14 +1,16 @@
-"""Substring dedup from winnowed seeds: drop words that an earlier document already says.
+"""Substring dedup by seed and extend: drop words that an earlier document already says.
 
 Documents are joined on winnowed anchors (four-word seeds, the least hash of
-every window).  Where seeds meet, the hash of all windows around the seed is
-compared first; at the edges of a match each window of ``window`` words is
-hashed and compared, in place of extending the match both ways: each word of a
-window that also starts in a document with a smaller ``doc_id`` goes.  See
+every window).  Where the whole stretches around a seed are equal, they are
+settled at once; else the matches of a seed are extended both ways, word by
+word, to where no other document agrees, and those of ``window`` words and
+more are kept: each word of a window that also starts in a document with a
+smaller ``doc_id`` goes, and overlapping windows join to maximal repeats.  See
 :mod:`repeats` for the steps and for how hot seeds are handled.
 
 A word is a run of anything but the six ASCII white-space characters.  NULL
 and empty texts have no words; texts shorter than a window keep everything;
+ids must be whole numbers (a text column is a ``TypeError``);
 rows with equal ids do not count as earlier than each other, a NULL id is
 later than all others and earlier than none; an empty table stays empty.
 """

@@ -4,13 +4,17 @@ Suffixes are sampled by content (a window's anchor, see :mod:`anchors`), so a
 repeat of ``size`` bytes holds a sampled suffix at the same place in each of
 its copies.  Suffixes that stand for a whole repeated span are settled by
 hash.  Those at the edges of repeats are range-partitioned by their leading
-bytes, with splitters that Spark samples.  A range sorts its rows by the
-anchor's hash, then groups their windows by two 64-bit hashes of the ``size``
-bytes; equal ones are repeats, and no suffix is ordered by its bytes.  Ranges are cut by the bytes
+bytes, with splitters that Spark samples.  A range sorts them by multikey
+quicksort: suffixes that agree so far are split by their next byte, all of
+them at a time, and one that agrees with no other leaves.  The bytes before
+them are sorted in the same way, backwards.  A string of ``size`` bytes is a
+repeat where suffixes agree on its part from the anchor on and on that before.
+Ranges are cut by the bytes
 at the anchor itself, then by its hash, so equal anchors never fall into two
 ranges, whatever text stands before them, and no comparison is missed across
 boundaries; a leading anchor with very many suffixes is not one range's work
-but is compared as rows, spread by content (see :mod:`repeats`).
+but is compared as rows, by 128-bit hashes of their windows, spread by content
+(see :mod:`repeats`).
 
 Texts are UTF-8 bytes; NULL counts as empty; matches never cross documents;
 equal rows are documents of their own, so both lose what they share; an

@@ -110,6 +110,61 @@ def test_repeats_after_different_text_meet_in_one_range(spark):
     assert Counter((a, b, c, bytes(d)) for a, b, c, d in got) == want
 
 
+@pytest.mark.parametrize("words", [True, False])
+def test_matches_are_extended_both_ways(words):
+    """Every window that two spans share is found, and no other, whatever their lengths and contexts."""
+    rng = random.Random(4)
+    n, k = (6, 2) if words else (12, 4)
+    spec = repeats.Repeats(words=words, size=n, anchor=k, earlier=False)
+    spans, anchors, at = [], [], []
+    for _ in range(300):
+        seed = rng.randrange(3)
+        left, right = rng.randrange(n - k + 1), rng.randrange(n - k + 1)
+        right = max(right, n - k - left)
+        units = [rng.choice("xy") for _ in range(left)] + ["abc"[seed]] * k + [rng.choice("xy") for _ in range(right)]
+        spans.append((" " if words else "").join(units).encode())
+        anchors.append(seed)
+        at.append(left)
+    got = Counter()
+    for rows, place, same in repeats.matches(spec, spans, np.array(anchors), np.array(at)):
+        groups = {}
+        for row, low, number in zip(rows, place, same):
+            units = spans[row].split(b" ") if words else spans[row]
+            groups.setdefault(int(number), set()).add((anchors[row], bytes(b" ".join(units[low:low + n]) if words else units[low:low + n])))
+            got[(int(row), int(low))] += 1
+        # Equal numbers stand for equal windows; with bytes, numbers rise in the order of the text.
+        assert all(len(own) == 1 for own in groups.values())
+    counts, where = Counter(), {}
+    for row, span in enumerate(spans):
+        units = span.split(b" ") if words else span
+        for low in range(max(0, at[row] + k - n), min(at[row], len(units) - n) + 1):
+            window = (anchors[row], at[row] - low, bytes(b" ".join(units[low:low + n]) if words else units[low:low + n]))
+            counts[window] += 1
+            where[(row, low)] = window
+    assert got == Counter(place for place, window in where.items() if counts[window] > 1)
+
+
+def test_suffixes_are_sorted_by_their_bytes():
+    rng = np.random.default_rng(2)
+    spans = [bytes(rng.integers(97, 99, 40, dtype=np.uint8)) for _ in range(500)]
+    units = np.frombuffer(b"".join(spans), dtype=np.uint8).astype(np.int64)
+    place = np.arange(500) * 40
+    reach = repeats.extend(np.zeros(500, dtype=np.int64), place, np.full(500, 40), units, 1, 40)
+    for j, known in enumerate(reach):
+        rows = np.flatnonzero(known >= 0)
+        heads = [spans[i][:j] for i in rows]
+        assert [h for _, h in sorted(zip(known[rows], heads))] == sorted(heads)
+        assert all(c > 1 for c in Counter(heads).values())
+    assert len(reach) < 41
+
+
+def test_limits_are_checked(spark):
+    with pytest.raises(ValueError):
+        repeats.Repeats(words=False, size=70_000, anchor=48, earlier=False)
+    with pytest.raises(TypeError):
+        substrings.remove_earlier_words(spark.createDataFrame([("a", "b")], "doc_id STRING, text STRING"))
+
+
 def test_removed_spans_are_maximal(docs):
     for row in suffixes.remove_repeated_bytes(docs, 50).collect():
         spans = [(s["start"], s["end"]) for s in row["removed"]]
