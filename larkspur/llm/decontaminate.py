@@ -3,15 +3,16 @@
 The automaton of all benchmark items, over normalised words, is built once
 and sent to the tasks.  Each task streams the words of its documents through
 it and keeps the length of the longest match that ends at each word; where
-that length reaches the window, the words of the window are hit.  Up to
-``words_per_automaton`` benchmark words there is no shuffle at all, so no key
-can be hot.
+that length reaches the window, the words of the window are hit.  There is no
+shuffle, so no key can be hot.
 
 Spark counts the benchmark's words first.  A larger benchmark is cut into parts
-of at most so many words, an item beyond that into pieces that overlap by a
-window less one word.  The driver and the tasks hold one part at a time: its
-automaton is sent, all documents pass it, the hits are written, and it is
-dropped before the next; hits of all parts then meet by row.
+of at most ``words_per_automaton`` words, an item beyond that into pieces that
+overlap by a window less one word.  Automata are sent together, and pass the
+documents together, as long as their measured memory stays within
+``pass_bytes``; so much is the most that the driver or a task holds.  Beyond it
+there are several passes: the hits of each are written and its automata dropped
+before the next, and hits of all passes then meet by row.
 
 Texts are lower-cased in A-Z; words are runs of ASCII letters and digits and
 of all characters beyond ASCII.  A NULL or empty text has no words and is not
@@ -22,12 +23,13 @@ separate items; an empty benchmark leaves every document as it is.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from larkspur.llm.automaton import Automaton
 from larkspur.llm.common import map_texts, staged, text_bytes, without
 
 TOKEN = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -40,94 +42,6 @@ def words_of(text: bytes) -> list[bytes]:
     return TOKEN.findall(text.lower())
 
 
-class Automaton:
-    """A generalised suffix automaton over words, with the windows of its items.
-
-    A window is ``window`` consecutive words of an item, or a whole shorter
-    item.  ``windows[state]`` lists ``(length, items)`` of the windows that end
-    any match in that state, longest first.
-    """
-
-    def __init__(self, items: Iterable[tuple], window: int):
-        self.next, self.link, self.length = [{}], [-1], [0]
-        items = [(key, words) for key, words in items if words]
-        for _, words in items:
-            state = 0
-            for word in words:
-                state = self._extend(state, word)
-        found: dict[tuple[int, int], set] = {}
-        for key, words in items:
-            size, state = min(window, len(words)), 0
-            for place, word in enumerate(words, 1):
-                state = self.next[state][word]
-                while self.length[self.link[state]] >= size:
-                    state = self.link[state]
-                if place >= size:
-                    found.setdefault((state, size), set()).add(key)
-        self.shortest = min((size for _, size in found), default=0)
-        here: dict[int, list] = {}
-        for (state, size), keys in found.items():
-            here.setdefault(state, []).append((size, frozenset(keys)))
-        self.windows = [()] * len(self.next)
-        for state in sorted(range(1, len(self.next)), key=self.length.__getitem__):
-            own = sorted(here.get(state, ()), key=lambda x: -x[0])
-            self.windows[state] = (*own, *self.windows[self.link[state]])
-
-    def _extend(self, last: int, word: bytes) -> int:
-        if word in self.next[last]:
-            old = self.next[last][word]
-            return old if self.length[old] == self.length[last] + 1 else self._clone(last, old, word)
-        new, state = self._state({}, self.length[last] + 1, 0), last
-        while state >= 0 and word not in self.next[state]:
-            self.next[state][word] = new
-            state = self.link[state]
-        if state >= 0:
-            old = self.next[state][word]
-            self.link[new] = old if self.length[old] == self.length[state] + 1 else self._clone(state, old, word)
-        return new
-
-    def _clone(self, state: int, old: int, word: bytes) -> int:
-        copy = self._state(dict(self.next[old]), self.length[state] + 1, self.link[old])
-        self.link[old] = copy
-        while state >= 0 and self.next[state].get(word) == old:
-            self.next[state][word] = copy
-            state = self.link[state]
-        return copy
-
-    def _state(self, following: dict, length: int, link: int) -> int:
-        self.next.append(following)
-        self.length.append(length)
-        self.link.append(link)
-        return len(self.next) - 1
-
-    def scan(self, words: list[bytes]) -> tuple[list[list[int]], set]:
-        """Maximal runs ``[start, end)`` of hit words, and the items hit."""
-        following, link, lengths, windows, shortest = self.next, self.link, self.length, self.windows, self.shortest
-        spans, items, state, size = [], set(), 0, 0
-        for place, word in enumerate(words, 1):
-            after = following[state].get(word)
-            while after is None and state:
-                state = link[state]
-                size = lengths[state]
-                after = following[state].get(word)
-            if after is None:
-                continue
-            state, size = after, size + 1
-            if size < shortest or not windows[state]:
-                continue
-            longest = 0
-            for window, keys in windows[state]:
-                if window <= size:
-                    longest = longest or window
-                    items |= keys
-            if longest:
-                start = place - longest
-                while spans and spans[-1][1] >= start:
-                    start = min(start, spans.pop()[0])
-                spans.append([start, place])
-        return spans, items
-
-
 # A word of a text that is not yet lower-cased.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -167,14 +81,24 @@ def parts_of(benchmark: DataFrame, window: int, words_per_automaton: int) -> Dat
     return staged(map_texts(items.repartition(tasks) if tasks > 1 else items.coalesce(1), pack, schema), "benchmark-parts")
 
 
-def automata(parts: DataFrame, window: int) -> Iterator[Automaton]:
-    """The automaton of each part, one after the other; without any words, one that matches nothing."""
+def automata(parts: DataFrame, window: int, pass_bytes: int) -> Iterator[tuple[list[Automaton], bool]]:
+    """Automata of the parts, those of one pass together, and whether they are the last.
+
+    A pass is full when one more automaton like its largest would not fit; one
+    that exceeds the bound by itself is a pass of its own.  Without any words
+    there is one automaton that matches nothing.
+    """
     names = parts.select("task", "part").distinct().orderBy("task", "part").collect()
-    for task, part in names:
+    held, sizes = [], []
+    for place, (task, part) in enumerate(names, 1):
         rows = parts.filter((F.col("task") == task) & (F.col("part") == part)).collect()
-        yield Automaton([(r["item_id"], bytes(r["words"]).split(b" ")) for r in rows], window)
+        held.append(Automaton([(r["item_id"], bytes(r["words"]).split(b" ")) for r in rows], window))
+        sizes.append(held[-1].n_bytes())
+        if place == len(names) or sum(sizes) + max(sizes) > pass_bytes:
+            yield held, place == len(names)
+            held, sizes = [], []
     if not names:
-        yield Automaton([], window)
+        yield [Automaton([], window)], True
 
 
 def _merge(spans: list[list[int]]) -> list[list[int]]:
@@ -188,14 +112,14 @@ def _merge(spans: list[list[int]]) -> list[list[int]]:
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10,
-              words_per_automaton: int = 1_000_000) -> DataFrame:
+              words_per_automaton: int = 1_000_000, pass_bytes: int = 256 << 20) -> DataFrame:
     """Documents with ``n_words``, ``n_hit``, ``hit_items`` and ``hit_spans``.
 
     ``hit_spans`` are maximal runs ``[start, end)`` of hit words; ``hit_items``
     are sorted.  Columns of ``docs`` with these names are replaced.
     """
     base, result = _prepared(docs, benchmark.schema["item_id"].dataType)
-    found, step = _found(result, benchmark, window, words_per_automaton)
+    found, step = _found(result, benchmark, window, words_per_automaton, pass_bytes)
     return map_texts(found, step, result.schema).withColumn(
         "n_hit", F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + (s[1] - s[0]))).select(*base.columns, *REPORT)
 
@@ -208,23 +132,24 @@ def _prepared(docs: DataFrame, item_type: T.DataType) -> tuple[DataFrame, DataFr
                                    "hit_items": F.lit(None).cast(T.ArrayType(item_type))})
 
 
-def _found(result: DataFrame, benchmark: DataFrame, window: int, words_per_automaton: int) -> tuple:
+def _found(result: DataFrame, benchmark: DataFrame, window: int, words_per_automaton: int, pass_bytes: int) -> tuple:
     """Documents, and the last step that completes their report.
 
-    With one part that step scans them.  With more, each part's hits are
+    With one pass that step scans them.  With more, each pass's hits are
     written before the next is sent, and the step joins those of a document.
     """
     context = result.sparkSession.sparkContext
-    parts = parts_of(benchmark, window, words_per_automaton)
-    if parts.select("task", "part").distinct().count() <= 1:
-        return result, _scanner(context.broadcast(next(automata(parts, window))))
     fields = [f for f in result.schema.fields if f.name in ("hit_spans", "hit_items")]
     hit_schema = T.StructType([T.StructField("_leak_row", T.LongType()), *fields])
-    # The row's number is written, so that every part and the join read the same one.
-    numbered = staged(result.withColumn("_leak_row", F.monotonically_increasing_id()), "numbered")
-    texts, hits = numbered.select("_leak_row", "text", "n_words", "hit_spans", "hit_items"), None
-    for automaton in automata(parts, window):
-        shared = context.broadcast(automaton)
+    numbered = hits = None
+    for held, last in automata(parts_of(benchmark, window, words_per_automaton), window, pass_bytes):
+        shared = context.broadcast(held)
+        if last and hits is None:
+            return result, _scanner(shared)
+        if hits is None:
+            # The row's number is written, so that every pass and the join read the same one.
+            numbered = staged(result.withColumn("_leak_row", F.monotonically_increasing_id()), "numbered")
+        texts = numbered.select("_leak_row", "text", "n_words", "hit_spans", "hit_items")
         own = staged(map_texts(texts, _chained([_scanner(shared), _only_hits]), hit_schema), "hits")
         shared.destroy()
         hits = own if hits is None else hits.union(own)
@@ -251,18 +176,22 @@ def _chained(steps: list):
 
 
 def _scanner(shared):
-    """Scan texts by an automaton; without one, join what is known of them."""
+    """Scan texts by the automata of a pass; without any, join what is known of them."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = shared.value if shared else None
+        passing = shared.value if shared else []
         for batch in batches:
             counts, all_spans, all_items = [], [], []
             known = zip(batch.column("hit_spans").to_pylist(), batch.column("hit_items").to_pylist())
             for text, (spans, items) in zip(text_bytes(batch.column("text")), known):
                 words = words_of(text)
-                more, hit = automaton.scan(words) if automaton else ([], set())
+                spans, hit = spans or [], set(items or ())
+                for automaton in passing:
+                    more, keys = automaton.scan(words)
+                    spans += more
+                    hit |= keys
                 counts.append(len(words))
-                all_spans.append(_merge((spans or []) + more) if spans else more)
-                all_items.append(sorted(hit.union(items or ()), key=lambda x: (x is not None, x)))
+                all_spans.append(_merge(spans))
+                all_items.append(sorted(hit, key=lambda x: (x is not None, x)))
             new = {"n_words": counts, "hit_spans": all_spans, "hit_items": all_items}
             yield pa.RecordBatch.from_arrays(
                 [pa.array(new[f.name], f.type) if f.name in new else batch.column(f.name) for f in batch.schema],
@@ -272,7 +201,7 @@ def _scanner(shared):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage: float = 0.5,
-                  words_per_automaton: int = 1_000_000) -> DataFrame:
+                  words_per_automaton: int = 1_000_000, pass_bytes: int = 256 << 20) -> DataFrame:
     """Documents without their hit spans; those hit beyond a share of their words go.
 
     From the first to the last word of a span everything is cut out of
@@ -280,7 +209,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_c
     """
     base, result = _prepared(docs, benchmark.schema["item_id"].dataType)
     schema = base.schema
-    found, step = _found(result, benchmark, window, words_per_automaton)
+    found, step = _found(result, benchmark, window, words_per_automaton, pass_bytes)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import sys
 import time
 from collections import Counter
 
@@ -11,6 +12,7 @@ import pytest
 from conftest import prose
 
 from larkspur.llm import chat, decontaminate, fingerprints
+from larkspur.llm.automaton import Automaton
 from larkspur.llm.html_text import main_text, extract_main_text
 
 TOKEN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -90,6 +92,32 @@ def test_a_large_benchmark_passes_in_bounded_parts(leaky, spark, monkeypatch):
     assert one == {(r["doc_id"], r["text"]) for r in decontaminate.decontaminate(frame, benchmark, words_per_automaton=60).collect()}
 
 
+@pytest.mark.parametrize("pass_bytes", [1, 20_000])
+def test_passes_give_what_one_pass_gives(leaky, pass_bytes):
+    docs, benchmark, texts, items = leaky
+    parts = decontaminate.parts_of(benchmark, 10, 60)
+    passes = [held for held, _ in decontaminate.automata(parts, 10, pass_bytes)]
+    assert len(passes) > 2 and all(len(held) == 1 or sum(a.n_bytes() for a in held) <= pass_bytes for held in passes)
+    assert len(list(decontaminate.automata(parts, 10, 256 << 20))) == 1
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], list(r["hit_items"])) for r in
+           decontaminate.find_hits(docs, benchmark, words_per_automaton=60, pass_bytes=pass_bytes).collect()}
+    assert got == {i: hits(t, items) for i, t in texts}
+    options = {"words_per_automaton": 60, "pass_bytes": pass_bytes}
+    assert {tuple(r) for r in decontaminate.decontaminate(docs, benchmark, **options).collect()} == {
+        tuple(r) for r in decontaminate.decontaminate(docs, benchmark).collect()}
+
+
+def test_automaton_is_small():
+    """Flat arrays: far below the kilobyte a word that a dictionary for each state takes."""
+    rng = random.Random(11)
+    words = [f"w{int(rng.paretovariate(0.8)) % 20000}".encode() for _ in range(60_000)]
+    automaton = Automaton([(i, words[low:low + 300]) for i, low in enumerate(range(0, 60_000, 300))], 10)
+    own = sum(sys.getsizeof(word) + 32 for word in set(words)) + sys.getsizeof(automaton.ids)
+    assert automaton.n_bytes() - own < 100 * len(words)
+    assert automaton.scan(words[300:600])[0] == [[0, 300]]
+    assert 1 in automaton.scan(words[305:316])[1] and automaton.scan(words[305:314])[0] == []
+
+
 def test_clean_texts_stay_and_spans_go(leaky, spark):
     docs, benchmark, texts, items = leaky
     long_items = benchmark.filter("item_id < 25")
