@@ -10,7 +10,8 @@ Spark counts the benchmark's words first.  A larger benchmark is cut into parts
 of at most ``words_per_automaton`` words, an item beyond that into pieces that
 overlap by a window less one word.  Automata are sent together, and pass the
 documents together, as long as their measured memory stays within
-``pass_bytes``; so much is the most that the driver or a task holds.  Beyond it
+``pass_bytes`` (a Python worker takes up to twice that while it loads them, and
+the driver some 0.2 GB more while it builds one of a million words).  Beyond it
 there are several passes: the hits of each are written and its automata dropped
 before the next, and hits of all passes then meet by row.
 
