@@ -12,8 +12,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.operators import classify, evaluate, linear, sgd
-from larkspur.operators.prepare import ASSEMBLED, ID, feature_stages, prepare, split_rejects
+from larkspur.operators import classify, evaluate, linear, sgd, wide
+from larkspur.operators.prepare import ID, prepare, split_rejects
 from larkspur.sources.arrays import read_arrays, write_arrays
 from larkspur.sources.models import load_model, save_model, write_predictions
 from larkspur.sources.tables import read_csv, read_feature_csv, read_libsvm
@@ -142,22 +142,22 @@ def task_cpu_seconds(spark: SparkSession) -> float:
     return sum(stages.apply(i).executorCpuTime() for i in range(stages.size())) / 1e9
 
 
-def benchmark_vectors(spark: SparkSession, train_rows: DataFrame, test_rows: DataFrame, **settings) -> DataFrame:
-    """One scaled logistic fit and test over staged vectors: rows, seconds, CPU, rates and objective.
+def benchmark_vectors(spark: SparkSession, train_rows: DataFrame, test_rows: DataFrame, expand: wide.Expand, width: int,
+                      **settings) -> DataFrame:
+    """One scaled logistic fit and test over staged rows: rows, seconds, CPU, rates and objective.
 
-    Rows have ``label`` and the assembled vector; ``values_per_second`` counts
-    training and test values over both times, ``cpu_seconds`` what the tasks
-    used meanwhile by Spark's own status store.
+    Rows have ``label`` and the columns from which ``expand`` makes vectors of
+    ``width`` numbers in every pass; nothing wide is kept.  ``values_per_second``
+    counts training and test values over both times, ``cpu_seconds`` what the
+    tasks' JVMs used meanwhile by Spark's own status store.
     """
     n_train, n_test = train_rows.count(), test_rows.count()
-    width = len(train_rows.first()[ASSEMBLED])
     used, began = task_cpu_seconds(spark), time.perf_counter()
-    scaler = feature_stages([])[1].fit(train_rows)
-    model = PipelineModel(stages=[scaler, classify.logistic(**settings).fit(scaler.transform(train_rows))])
+    model = wide.fit(train_rows, expand, width, classify.logistic(**settings))
     fitted = time.perf_counter()
-    accuracy = evaluate.accuracy(classify.evaluate_rows(model, test_rows)).first()["accuracy"]
+    accuracy = evaluate.accuracy(wide.evaluate_rows(model, test_rows, expand)).first()["accuracy"]
     ended, cpu = time.perf_counter(), task_cpu_seconds(spark) - used
-    history = list(model.stages[-1].summary.objectiveHistory)
+    history = model.objective
     rises = sum(after > before + 1e-12 for before, after in zip(history, history[1:]))
     return spark.createDataFrame(
         [(n_train, n_test, width, spark.sparkContext.defaultParallelism, fitted - began, ended - fitted,
