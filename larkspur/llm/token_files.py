@@ -43,7 +43,7 @@ from larkspur.llm.common import blocks, map_texts, mix64
 from larkspur.llm.wavelet import WaveletMatrix
 
 # Words that an encoder remembers before it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 # Sampled rows for each range; tokens of one stretch, in which places meet shards.
 SAMPLED, SPREAD = 200, 1 << 24
 
@@ -62,7 +62,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.words, self.model = words, self.tokenizer.model
+        self.words, self.model, self.stops = words, self.tokenizer.model, {}
         if words:
             # Letters that stay one piece within a word, and what the model sees of them.
             seen = {c: self._pieces(f"a{c}a") for c in map(chr, range(0x180)) if c.isalpha()}
@@ -76,26 +76,31 @@ class Encoder:
     def _pieces(self, text: str) -> list[str]:
         return [piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(text))]
 
-    def _ids(self, word: str) -> list[int] | array:
+    def _ids(self, word: str) -> list[int]:
         """Ids of a word; a closing comma or stop behind plain letters is a piece of its own."""
         if found := self.plain.fullmatch(word):
             core, stop = found.groups()
-            if not stop:
-                return [t.id for t in self.model.tokenize(word.translate(self.letters))]
-            core, stop = self._slot(core), self._slot(stop)
-            return self.flat[self.ends[core]:self.ends[core + 1]] + self.flat[self.ends[stop]:self.ends[stop + 1]]
+            ids = [t.id for t in self.model.tokenize(core.translate(self.letters))]
+            return ids if stop is None else ids + self._stop(stop)
         if "<" in word:
             return self.tokenizer.encode(word, add_special_tokens=False).ids
         return [t.id for piece in self._pieces(word) for t in self.model.tokenize(piece)]
 
-    def _slot(self, word: str) -> int:
-        found = self.slots.get(word)
-        if found is None:
-            ids = self._ids(word)
-            found = self.slots[word] = len(self.ends) - 1
-            self.flat.extend(ids)
-            self.ends.append(len(self.flat))
-        return found
+    def _stop(self, stop: str) -> list[int]:
+        if stop not in self.stops:
+            self.stops[stop] = self._ids(stop)
+        return self.stops[stop]
+
+    def _slots(self, words: list[str]) -> np.ndarray:
+        """Where the ids of each of these different words stand; words not met before are encoded."""
+        slots = [*map(self.slots.get, words)]
+        for place, slot in enumerate(slots):
+            if slot is None:
+                word = words[place]
+                slots[place] = self.slots[word] = len(self.ends) - 1
+                self.flat.extend(self._ids(word))
+                self.ends.append(len(self.flat))
+        return np.array(slots, dtype=np.int64)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's begin, with the end of all."""
@@ -108,13 +113,18 @@ class Encoder:
         named = split.flatten().dictionary_encode()
         if len(self.slots) > REMEMBERED:
             self.start_anew()
-        slots = np.array([self._slot(word) for word in named.dictionary.to_pylist()], dtype=np.int64)
+        slots = self._slots(named.dictionary.to_pylist())
         ends = np.frombuffer(self.ends, dtype=np.int64)
-        own = slots[named.indices.to_numpy()]
-        begin, sizes = ends[own], (ends[1:] - ends[:-1])[own]
-        total = np.concatenate(([0], np.cumsum(sizes)))
+        begin, sizes = ends[slots], (ends[slots + 1] - ends[slots]).astype(np.int32)
+        own = named.indices.to_numpy()
+        sizes = sizes[own]
+        total = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
         flat = np.frombuffer(self.flat, dtype=np.uint32) if len(self.flat) else np.zeros(0, dtype=np.uint32)
-        ids = flat[np.repeat(begin - total[:-1], sizes) + np.arange(total[-1])]
+        # Places of ids in ``flat``: half the bytes unless a text is enormous.
+        kind = np.int32 if max(total[-1], len(flat)) < 1 << 31 else np.int64
+        places = np.repeat((begin[own] - total[:-1]).astype(kind), sizes)
+        places += np.arange(total[-1], dtype=kind)
+        ids = flat[places]
         del ends, flat
         return ids, total[split.offsets.to_numpy() - split.offsets[0].as_py()]
 

@@ -65,6 +65,20 @@ def test_odd_words(tokenizer):
         assert ids[a:b].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_each_different_word_is_encoded_once_and_keeps_one_entry(tokenizer, monkeypatch):
+    import pyarrow as pa
+
+    encoder, asked = token_files.Encoder(tokenizer.to_str(), True), []
+    monkeypatch.setattr(encoder, "_ids", lambda word, ids=encoder._ids: asked.append(word) or ids(word))
+    texts = ["alpha, beta. alpha, gamma", "gamma alpha, beta", "delta. beta."]
+    for _ in range(2):
+        ids, first = encoder(pa.array(texts))
+        for text, a, b in zip(texts, first[:-1], first[1:]):
+            assert ids[a:b].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    words = set(" ".join(texts).split())
+    assert set(encoder.slots) == words and sorted(asked) == sorted([*words, ",", "."])
+
+
 @pytest.mark.parametrize("kind", ["docs", "odd_docs"])
 def test_files_give_all_tokens_back(spark, tokenizer, tmp_path, request, kind):
     docs = request.getfixturevalue(kind)
